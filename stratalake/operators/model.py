@@ -15,9 +15,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratalake.functions.hashing import content_key
 from stratalake.operators.aggregates import top_values
-from stratalake.operators.ranking import BUCKET, number_bucketed
+from stratalake.operators.ranking import BUCKET, number_bucketed, running
 
 # Fixed values of the source model.
 OTHER = "Other"
@@ -27,6 +26,8 @@ TRAIN_SHARE = 0.8
 SEED = 42
 MAX_ITER = 1000
 HASH_RANGES = 1024
+# a bound for data brought to the driver; above it the fit is refused, not cut short
+MAX_LEVELS = 1000
 
 
 def top_n_or_other(df: DataFrame, col: str, n: int = TOP_CATEGORIES, other: str = OTHER) -> DataFrame:
@@ -40,32 +41,55 @@ def top_n_or_other(df: DataFrame, col: str, n: int = TOP_CATEGORIES, other: str
     )
 
 
+def _cut(share: float, rows: Column) -> Column:
+    return F.round(rows * F.lit(share)).cast("bigint")
+
+
 def stratified_split(
-    df: DataFrame, label: str, frac: float = TRAIN_SHARE, seed: int = SEED, key: Sequence[str] | None = None
+    df: DataFrame, label: str, key: Sequence[str], frac: float = TRAIN_SHARE, seed: int = SEED
 ) -> DataFrame:
     """Add ``is_train``: in every class the share ``frac`` of the rows, exactly.
 
-    Rows are ordered by a seeded hash and numbered range by range, so a class holding most
-    rows is never sorted in one task.
+    ``key`` names columns that tell the rows apart. Rows are ordered by a seeded hash of it
+    and numbered range by range, so a class holding most rows is never sorted in one task.
     """
-    digest = F.xxhash64(F.lit(seed), content_key(key or df.columns))
+    digest = F.xxhash64(F.lit(seed), *[F.col(c) for c in key])
     hashed = df.withColumn("_digest", digest).withColumn(
         BUCKET, F.floor((F.col("_digest") / 2.0**63 + 1) * (HASH_RANGES / 2)).cast("int")
     )
-    numbered = number_bucketed(hashed, [label], ["_digest", *(key or [])], "_place")
-    sizes = df.groupBy(label).agg(F.struct(F.count(F.lit(1)).alias("size")).alias("_class"))
-    cut = numbered.join(
-        sizes.select(F.struct(label).alias("_label"), "_class"), F.struct(label) == F.col("_label")
+    numbered = number_bucketed(hashed, [label], ["_digest", *key], "_place")
+    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
+    cut = numbered.withColumn("_class", F.struct(label)).join(
+        sizes.select(F.struct(label).alias("_class"), "_size"), "_class"
     )
-    return cut.select(
-        *df.columns, (F.col("_place") <= F.round(F.col("_class.size") * F.lit(frac))).alias("is_train")
+    return cut.select(*df.columns, (F.col("_place") <= _cut(frac, F.col("_size"))).alias("is_train"))
+
+
+def split_combinations(
+    df: DataFrame, label: str, frac: float = TRAIN_SHARE, seed: int = SEED
+) -> DataFrame:
+    """Stratified split of rows that are only categories, as weighted combinations.
+
+    Equal rows cannot be told apart, so each distinct combination gets ``n_train`` and
+    ``n_test`` rows: the shares of a running count in hash order, which is exact per class and
+    within one row of proportional per combination.
+    """
+    counts = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("_digest", F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]))
+    ranked = running(counts, "_digest", ["n"], [label])
+    below, after = F.col("before_n"), F.col("before_n") + F.col("n")
+    return ranked.withColumn("n_train", _cut(frac, after) - _cut(frac, below)).select(
+        *df.columns, "n_train", (F.col("n") - F.col("n_train")).alias("n_test")
     )
 
 
 def categories(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
-    """Sorted categories per column from one pass over the distinct combinations."""
-    sets = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in cols]).first()
-    return {c: list(sets[c]) for c in cols}
+    """Sorted categories per column; a column that is not categorical is refused."""
+    found = {c: [r[0] for r in df.select(c).distinct().limit(MAX_LEVELS + 1).collect()] for c in cols}
+    wide = [c for c, values in found.items() if len(values) > MAX_LEVELS]
+    if wide:
+        raise ValueError(f"more than {MAX_LEVELS} categories, merge rare ones first: {wide}")
+    return {c: sorted(values) for c, values in found.items()}
 
 
 def indicator_names(levels: dict[str, list]) -> list[str]:
@@ -120,18 +144,22 @@ def prepare(df: DataFrame, features: Sequence[str], label: str, reduce: Sequence
     return rows
 
 
-def fit_logistic(train: DataFrame, features: Sequence[str], label: str) -> OddsModel | None:
+def fit_logistic(
+    train: DataFrame, features: Sequence[str], label: str, weight: str | None = None
+) -> OddsModel | None:
     """Logistic regression with an L2 penalty of strength 1 on the summed loss.
 
-    None when there are too few rows or only one class.
+    ``weight`` names a column with the number of rows a row stands for. None when there is
+    nothing to tell apart: no rows, or a single class.
     """
-    combos = train.groupBy(*features, label).agg(F.count(F.lit(1)).cast("double").alias("_weight"))
+    rows = F.sum(weight) if weight else F.count(F.lit(1))
+    combos = train.groupBy(*features, label).agg(rows.cast("double").alias("_weight")).filter("_weight > 0")
     combos = combos.withColumn("_label", F.col(label).cast("double"))
     facts = combos.agg(
         F.coalesce(F.sum("_weight"), F.lit(0.0)).alias("n"),
         F.coalesce(F.sum(F.col("_weight") * F.col("_label")), F.lit(0.0)).alias("positive"),
     ).first()
-    if facts.n < MIN_ROWS or facts.positive in (0.0, facts.n):
+    if facts.positive in (0.0, facts.n):
         return None
     levels = categories(combos, features)
     blank = OddsModel(None, levels, indicator_names(levels), float(facts.positive * 2 > facts.n))
@@ -149,12 +177,18 @@ def fit_logistic(train: DataFrame, features: Sequence[str], label: str) -> OddsM
     return OddsModel(fitted, levels, blank.names, blank.majority)
 
 
-def accuracy_vs_majority(scored: DataFrame, label: str, majority: float, prediction: str = "prediction") -> DataFrame:
+def accuracy_vs_majority(
+    scored: DataFrame, label: str, majority: float, prediction: str = "prediction", weight: str | None = None
+) -> DataFrame:
     """Accuracy of the model and of the majority class, and the relative improvement."""
     truth = F.col(label).cast("double")
-    hit = lambda guess: F.avg((truth == guess).cast("double"))
+    rows = F.col(weight) if weight else F.lit(1)
+
+    def accuracy(guess: Column) -> Column:
+        return F.sum(F.when(truth == guess, rows).otherwise(0)) / F.sum(rows)
+
     return scored.agg(
-        hit(F.col(prediction)).alias("model_accuracy"), hit(F.lit(majority)).alias("baseline_accuracy")
+        accuracy(F.col(prediction)).alias("model_accuracy"), accuracy(F.lit(majority)).alias("baseline_accuracy")
     ).withColumn(
         "improvement_pct",
         (F.col("model_accuracy") - F.col("baseline_accuracy")) / (F.col("baseline_accuracy") + 1e-9) * 100,

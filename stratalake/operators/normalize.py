@@ -13,18 +13,39 @@ from stratalake.functions.jsontext import complex_to_json
 from stratalake.functions.scalars import cast_failed, safe_cast, yn_to_bool
 
 # The typed core of the flat layer.
-GOLDEN_SCHEMA = T.StructType.fromDDL("""
-qualified_fips string, court_level string, division_type string, case_number string,
-hearing_date timestamp_ntz, filed_date timestamp_ntz,
-is_appeal boolean, appeal_date timestamp_ntz, appeal_withdrawn_date timestamp_ntz,
-arrest_date timestamp_ntz, locality_name string, locality_code bigint,
-case_category_code string, case_sub_category_code string,
-offense_date timestamp_ntz, disposition_date timestamp_ntz,
-fines_paid_date timestamp_ntz, costs_paid_date timestamp_ntz,
-dmv_license_restrictions_start_date timestamp_ntz,
-is_active boolean, is_criminal boolean, is_traffic_fatality boolean,
-is_dmv_alcohol_safety_action_code boolean, commenced_by string
-""")
+GOLDEN_COLUMNS = {
+    "qualified_fips": "string",
+    "court_level": "string",
+    "division_type": "string",
+    "case_number": "string",
+    "hearing_date": "timestamp",
+    "filed_date": "timestamp",
+    "is_appeal": "boolean",
+    "appeal_date": "timestamp",
+    "appeal_withdrawn_date": "timestamp",
+    "arrest_date": "timestamp",
+    "locality_name": "string",
+    "locality_code": "integer",
+    "case_category_code": "string",
+    "case_sub_category_code": "string",
+    "offense_date": "timestamp",
+    "disposition_date": "timestamp",
+    "fines_paid_date": "timestamp",
+    "costs_paid_date": "timestamp",
+    "dmv_license_restrictions_start_date": "timestamp",
+    "is_active": "boolean",
+    "is_criminal": "boolean",
+    "is_traffic_fatality": "boolean",
+    "is_dmv_alcohol_safety_action_code": "boolean",
+    "commenced_by": "string",
+}
+SPARK_TYPES = {
+    "string": T.StringType(),
+    "timestamp": T.TimestampNTZType(),
+    "boolean": T.BooleanType(),
+    "integer": T.LongType(),
+}
+GOLDEN_SCHEMA = T.StructType([T.StructField(c, SPARK_TYPES[t]) for c, t in GOLDEN_COLUMNS.items()])
 
 # Flattened source name -> name in the flat layer.
 COLUMN_NAMES = {

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stratalake.operators.aggregates import top_values
 from stratalake.operators.quantiles import exact_quantiles
@@ -102,7 +102,7 @@ def _chi_square_tail(x: float, dof: int) -> float:
     return tail
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi_square_tail(x: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([None if v is None or pd.isna(v) else _chi_square_tail(v, int(k)) for v, k in zip(x, dof)])
 
@@ -121,7 +121,7 @@ def _exact_rank_tail(u: float, n1: int, n2: int) -> float:
     return float(ways.sum() / math.comb(n1 + n2, n1))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def rank_sum_p(u: pd.Series, n1: pd.Series, n2: pd.Series, ties: pd.Series, z: pd.Series) -> pd.Series:
     out = []
     for ui, a, b, t, zi in zip(u, n1, n2, ties, z):

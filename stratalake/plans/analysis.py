@@ -64,17 +64,20 @@ def analyse(features: DataFrame) -> dict[str, DataFrame | None]:
 
 
 def fit_dismissal_model(
-    rows: DataFrame, features=MODEL_FEATURES, label: str = LABEL, reduce=REDUCED, key=None
+    rows: DataFrame, features=MODEL_FEATURES, label: str = LABEL, reduce=REDUCED
 ) -> dict[str, DataFrame | None]:
-    """Split, fit, compare with the majority class and list the odds ratios."""
+    """Split, fit, compare with the majority class and list the odds ratios.
+
+    From the split on, the data is a table of category combinations with row counts.
+    """
     prepared = m.prepare(rows, features, label, reduce)
-    # identical rows are interchangeable, so the split counts feature combinations
-    split = m.stratified_split(prepared, label, key=key)
-    fitted = m.fit_logistic(split.filter("is_train"), features, label)
+    split = m.split_combinations(prepared, label)
+    n = split.agg(F.sum(F.col("n_train") + F.col("n_test"))).first()[0] or 0
+    fitted = m.fit_logistic(split, features, label, "n_train") if n >= m.MIN_ROWS else None
     if fitted is None:
         return {"accuracy": None, "odds_ratios": None}
-    scored = fitted.predict(split.filter(~F.col("is_train")))
+    scored = fitted.predict(split.filter("n_test > 0"))
     return {
-        "accuracy": m.accuracy_vs_majority(scored, label, fitted.majority),
+        "accuracy": m.accuracy_vs_majority(scored, label, fitted.majority, weight="n_test"),
         "odds_ratios": m.odds_with_direction(m.odds_ratios(fitted, rows)),
     }
