@@ -85,12 +85,12 @@ def s6(spark, sf):
 
 @query(
     "s7_write_by_date",
-    """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
-    CAST(day(o_orderdate) AS INTEGER) AS day, count(*) AS n FROM orders GROUP BY 1, 2, 3""",
+    """SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+    CAST(day(ts) AS INTEGER) AS day, count(*) AS n FROM events GROUP BY 1, 2, 3""",
 )
 def s7(spark, sf):
     path = new_path(spark, "dated")
-    files.write_by_date(table(spark, sf, "orders").select("o_orderkey", "o_orderdate"), path, "o_orderdate")
+    files.write_by_date(table(spark, sf, "events").select("event_id", "ts"), path, "ts")
     return files.scan_parquet(spark, path).groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -213,12 +213,12 @@ def t5(spark, sf):
 
 @query(
     "x1_file_stream",
-    """SELECT strftime(o_orderdate, '%Y-%m-%d') AS hearing_day, count(*) AS n FROM orders GROUP BY 1""",
+    """SELECT strftime(ts, '%Y-%m-%d') AS hearing_day, count(*) AS n FROM events GROUP BY 1""",
 )
 def x1(spark, sf):
     root = new_path(spark, "stream")
-    table(spark, sf, "orders").selectExpr(
-        "cast(o_orderkey AS string) AS caseNumber", "date_format(o_orderdate, 'MM/dd/yyyy, hh:mm a') AS hearingDate"
+    table(spark, sf, "events").selectExpr(
+        "cast(user_id AS string) AS caseNumber", "date_format(ts, 'MM/dd/yyyy, hh:mm a') AS hearingDate"
     ).write.json(f"{root}/in")
     schema = files.as_struct("caseNumber string, hearingDate string")
     ingest_stream(spark, f"{root}/in", f"{root}/bronze", schema, f"{root}/checkpoint").awaitTermination()

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stratalake.functions.dates import day_index, day_name, days_between, month_start
-from stratalake.operators.quantiles import exact_quantiles, value_table
+from stratalake.operators.quantiles import counted_values, quantiles_of
+from stratalake.session import cut_lineage
 
 FINE = "financialInformation.fines.amount.decimal"
 DISPOSITION = "disposition.dispositionInfo.dispositionText"
@@ -123,11 +124,12 @@ def top_values(df: DataFrame, col: str, n: int = 10, name: str = "count") -> Dat
 def value_share(df: DataFrame, col: str | Column, name: str) -> DataFrame:
     """Count and percentage of all rows per value, null included.
 
-    The total is a scalar subquery: one number, no join.
+    The total is a scalar subquery over the counts: Spark reuses their shuffle, so the rows
+    are read once.
     """
-    total = total_rows(df).scalar()
     col = F.col(col) if isinstance(col, str) else col
     counts = df.groupBy(col.alias(name)).agg(_n().alias("count"))
+    total = counts.agg(F.sum("count")).scalar()
     return counts.select(name, "count", _share(F.col("count"), total).alias("percentage")).orderBy(
         F.desc("count"), F.col(name).asc_nulls_last()
     )
@@ -165,9 +167,8 @@ def dismissal_rate_by(
 
 def fine_distribution(df: DataFrame, fine: str = "fine_amount") -> DataFrame:
     """Minimum, maximum, mean and exact median of positive fines."""
-    positive = df.filter(F.col(fine) > 0)
-    median = exact_quantiles(positive, fine, {"median_fine": 0.5})
-    counts = value_table(positive, fine)
+    counts, few = counted_values(df.filter(F.col(fine) > 0), fine)
+    median = quantiles_of(counts, few, {"median_fine": 0.5})
     return counts.agg(
         F.min("value").alias("min_fine"),
         F.max("value").alias("max_fine"),
@@ -221,10 +222,11 @@ def charge_profile(
 ) -> DataFrame:
     """Disposition counts of the n most frequent charges.
 
-    Both steps work on the (charge, disposition) counts: the rows are aggregated once and no
-    join over them is needed. The n charge names are the only broadcast data.
+    Both steps work on the (charge, disposition) counts, which are materialised: else the
+    optimizer pushes the semi join to the rows and reads them twice. The n charge names are
+    the only broadcast data.
     """
-    counts = df.groupBy(charge, disposition).agg(_n().alias("count"))
+    counts = cut_lineage(df.groupBy(charge, disposition).agg(_n().alias("count")))
     top = (
         counts.groupBy(charge)
         .agg(F.sum("count").alias("_total"))

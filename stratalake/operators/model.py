@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stratalake.operators.aggregates import top_values
 from stratalake.operators.ranking import BUCKET, number_bucketed, running
+from stratalake.session import cut_lineage
 
 # Fixed values of the source model.
 OTHER = "Other"
@@ -72,20 +73,25 @@ def split_combinations(
 
     Equal rows cannot be told apart, so each distinct combination gets ``n_train`` and
     ``n_test`` rows: the shares of a running count in hash order, which is exact per class and
-    within one row of proportional per combination.
+    within one row of proportional per combination. The small result is materialised, since
+    fitting and scoring read it many times.
     """
-    counts = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
+    counts = cut_lineage(df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n")))
     counts = counts.withColumn("_digest", F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]))
     ranked = running(counts, "_digest", ["n"], [label])
     below, after = F.col("before_n"), F.col("before_n") + F.col("n")
-    return ranked.withColumn("n_train", _cut(frac, after) - _cut(frac, below)).select(
+    split = ranked.withColumn("n_train", _cut(frac, after) - _cut(frac, below)).select(
         *df.columns, "n_train", (F.col("n") - F.col("n_train")).alias("n_test")
     )
+    return cut_lineage(split)
 
 
 def categories(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
     """Sorted categories per column; a column that is not categorical is refused."""
-    found = {c: [r[0] for r in df.select(c).distinct().limit(MAX_LEVELS + 1).collect()] for c in cols}
+    pairs = F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("level")) for c in cols])
+    found: dict[str, list] = {c: [] for c in cols}
+    for row in df.select(F.inline(pairs)).distinct().limit(len(cols) * MAX_LEVELS + 1).collect():
+        found[row.col].append(row.level)
     wide = [c for c, values in found.items() if len(values) > MAX_LEVELS]
     if wide:
         raise ValueError(f"more than {MAX_LEVELS} categories, merge rare ones first: {wide}")

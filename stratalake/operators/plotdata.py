@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratalake.operators.quantiles import exact_quantiles, value_table
+from stratalake.operators.quantiles import counted_values, exact_quantiles, quantiles_of, value_table
 from stratalake.operators.stats import QUARTILES, crosstab
 
 WHISKER = 1.5
@@ -54,8 +54,8 @@ def histogram(df: DataFrame, col: str, bins: int | None = None) -> DataFrame:
 def box_stats_by(df: DataFrame, group: str | None, col: str) -> DataFrame:
     """Quartiles, whiskers within 1.5 IQR, outliers and mean, per group or over all rows."""
     keys = [group] if group else []
-    counts = value_table(df, col, keys)
-    boxes = exact_quantiles(df, col, QUARTILES, keys)
+    counts, few = counted_values(df, col, keys)
+    boxes = quantiles_of(counts, few, QUARTILES, keys)
     box = F.struct("q1", "median", "q3").alias("_box")
     if group:
         # struct keys let a null group keep its box

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from stratalake.operators.ranking import running
+from stratalake.session import cut_lineage
 
 # Up to this many distinct values a quantile buffer is small (a few MB), so the built-in
 # aggregate is used; beyond it the ranks are found by a distributed running count.
@@ -27,6 +28,27 @@ def has_few_values(df: DataFrame, value: str, limit: int = SMALL_DISTINCT) -> bo
     return df.agg(F.approx_count_distinct(value)).first()[0] <= limit
 
 
+def counted_values(
+    df: DataFrame, value: str, group: Sequence[str] = (), small_distinct: int = SMALL_DISTINCT
+) -> tuple[DataFrame, bool]:
+    """The value table and whether it has few distinct values.
+
+    A large table is read several times by the ranking, so it is materialised once.
+    """
+    few = has_few_values(df, value, small_distinct)
+    counts = value_table(df, value, group)
+    return (counts, True) if few else (cut_lineage(counts), False)
+
+
+def quantiles_of(counts: DataFrame, few: bool, probs: dict[str, float], group: Sequence[str] = ()) -> DataFrame:
+    """Quantiles of a value table: one row per group, a column per named probability."""
+    if not few:
+        return ranked_quantiles(counts, probs, group)
+    return counts.groupBy(*group).agg(
+        *[F.percentile("value", F.lit(p), F.col("n")).alias(name) for name, p in probs.items()]
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -35,13 +57,7 @@ def exact_quantiles(
     small_distinct: int = SMALL_DISTINCT,
 ) -> DataFrame:
     """One row per group with a column per named probability."""
-    few = has_few_values(df, value, small_distinct)
-    counts = value_table(df, value, group)
-    if few:
-        return counts.groupBy(*group).agg(
-            *[F.percentile("value", F.lit(p), F.col("n")).alias(name) for name, p in probs.items()]
-        )
-    return ranked_quantiles(counts, probs, group)
+    return quantiles_of(*counted_values(df, value, group, small_distinct), probs, group)
 
 
 def ranked_quantiles(counts: DataFrame, probs: dict[str, float], group: Sequence[str] = ()) -> DataFrame:

@@ -12,7 +12,11 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from stratalake.session import cut_lineage
+
 MAX_RANGES = 1024
+# a sort of this many rows fits one task easily
+HOT_ROWS = 1_000_000
 BUCKET = "_bucket"
 
 
@@ -84,6 +88,10 @@ def offsets(bucketed: DataFrame, group: Sequence[str], sums: dict[str, Column])
     )
 
 
+def _group_key(group: Sequence[str]) -> Column:
+    return F.struct(*[F.col(c) for c in group]) if group else F.struct(F.lit(0).alias("all"))
+
+
 def numbered(
     df: DataFrame,
     partition: Sequence[str],
@@ -91,19 +99,44 @@ def numbered(
     tiebreak: Sequence[str] = (),
     name: str = "row_number",
     ranges: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``row_number() OVER (PARTITION BY partition ORDER BY order, tiebreak)``, nulls last."""
+    """``row_number() OVER (PARTITION BY partition ORDER BY order, tiebreak)``, nulls last.
+
+    Keys are counted first. Where none has more than ``hot_rows`` rows the plain window is
+    used; otherwise only the rows of such keys are cut into ranges.
+    """
+    sorting = [F.col(c).asc_nulls_last() for c in [order, *tiebreak]]
+    hot = cut_lineage(
+        df.groupBy(_group_key(partition).alias("_group")).agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > hot_rows)
+        .select("_group", F.lit(True).alias("_hot"))
+    )
+    if hot.isEmpty():
+        keys = partition or [F.lit(0)]
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*sorting)).cast("bigint"))
+    # Spark broadcasts the hot keys only while they are small
+    marked = df.withColumn("_group", _group_key(partition)).join(hot, "_group", "left").drop("_group")
+    crowded = marked.filter("_hot")
     position = order_position(df, order)
-    bounds = range_bounds(df, position, ranges or default_ranges(df))
-    return number_bucketed(
-        with_ranges(df, position, bounds), partition, [order, *tiebreak], name
+    bounds = range_bounds(crowded, position, ranges or default_ranges(df))
+    ranged = with_ranges(marked, position, bounds).withColumn(
+        BUCKET, F.when(F.col("_hot"), F.col(BUCKET)).otherwise(F.lit(0))
+    )
+    before = offsets(ranged.filter("_hot"), partition, {"n": F.count(F.lit(1))})
+    within = Window.partitionBy("_range").orderBy(*sorting)
+    place = F.coalesce(F.col("_before_n"), F.lit(0)) + F.row_number().over(within)
+    return (
+        ranged.withColumn("_range", _range_key(partition))
+        .join(before, "_range", "left")
+        .select(*df.columns, place.cast("bigint").alias(name))
     )
 
 
 def number_bucketed(
     bucketed: DataFrame, partition: Sequence[str], order: Sequence[str], name: str = "row_number"
 ) -> DataFrame:
-    """As ``numbered``, for rows that already carry a range number in the order's sense."""
+    """Row numbers where all groups are large and the rows already carry a range number."""
     before = offsets(bucketed, partition, {"n": F.count(F.lit(1))})
     within = Window.partitionBy("_range").orderBy(*[F.col(c).asc_nulls_last() for c in order])
     return (

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stratalake.operators.ranking import numbered
+from stratalake.operators.ranking import HOT_ROWS, numbered
 
 BATCH_SIZE = 300
 
@@ -47,20 +47,26 @@ def assign_batches(
     size: int = BATCH_SIZE,
     tiebreak: Sequence[str] = (),
     name: str = "batch",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Number the chunks of ``size`` rows within each partition, in order, from 0."""
-    ranked = numbered(df, partition, order, tiebreak, name="_position_in_day")
+    ranked = numbered(df, partition, order, tiebreak, name="_position_in_day", hot_rows=hot_rows)
     return ranked.withColumn(name, F.floor((F.col("_position_in_day") - 1) / size).cast("bigint")).drop(
         "_position_in_day"
     )
 
 
 def ordered_children(
-    df: DataFrame, key: Sequence[str], order: str, tiebreak: Sequence[str] = (), name: str = "position"
+    df: DataFrame,
+    key: Sequence[str],
+    order: str,
+    tiebreak: Sequence[str] = (),
+    name: str = "position",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Child rows with their place in the parent's order, from 1.
 
     One row per child instead of one array per parent: an entity with very many children
     stays spread over tasks.
     """
-    return numbered(df, key, order, tiebreak, name)
+    return numbered(df, key, order, tiebreak, name, hot_rows=hot_rows)

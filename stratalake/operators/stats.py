@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from stratalake.operators.aggregates import top_values
-from stratalake.operators.quantiles import exact_quantiles
+from stratalake.operators.quantiles import SMALL_DISTINCT, exact_quantiles, quantiles_of
 from stratalake.operators.ranking import running
+from stratalake.session import cut_lineage
 
 ALPHA = 0.05
 MIN_GROUP = 5
@@ -80,13 +80,11 @@ def group_median(df: DataFrame, group: str, measure: str, name: str = "median")
     return exact_quantiles(df, measure, {name: 0.5}, [group])
 
 
-# --- tail probabilities: applied to one-row results only ---------------------------------------
+# --- tail probabilities ---------------------------------------------------------------------------
 
 
 def _chi_square_tail(x: float, dof: int) -> float:
     """P(X > x) for an integer number of degrees of freedom, by the finite series."""
-    if dof < 1 or math.isnan(x):
-        return math.nan
     half = x / 2
     if dof % 2 == 0:
         term, total = 1.0, 1.0
@@ -102,11 +100,6 @@ def _chi_square_tail(x: float, dof: int) -> float:
     return tail
 
 
-@F.pandas_udf(T.DoubleType())
-def chi_square_tail(x: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([None if v is None or pd.isna(v) else _chi_square_tail(v, int(k)) for v, k in zip(x, dof)])
-
-
 def _exact_rank_tail(u: float, n1: int, n2: int) -> float:
     """P(U >= u) without ties: coefficients of the Gaussian binomial up to the lower tail."""
     top = int(n1 * n2 - math.ceil(u))  # P(U >= u) = P(U <= n1·n2 - u)
@@ -121,17 +114,19 @@ def _exact_rank_tail(u: float, n1: int, n2: int) -> float:
     return float(ways.sum() / math.comb(n1 + n2, n1))
 
 
-@F.pandas_udf(T.DoubleType())
-def rank_sum_p(u: pd.Series, n1: pd.Series, n2: pd.Series, ties: pd.Series, z: pd.Series) -> pd.Series:
-    out = []
-    for ui, a, b, t, zi in zip(u, n1, n2, ties, z):
-        if pd.isna(ui):
-            out.append(None)
-        elif min(a, b) <= EXACT_GROUP and t == 0:
-            out.append(min(1.0, 2 * _exact_rank_tail(ui, int(a), int(b))))
-        else:
-            out.append(min(1.0, math.erfc(zi / math.sqrt(2))))
-    return pd.Series(out)
+def _rank_sum_p(row: Row) -> float | None:
+    if row.u1 is None:
+        return None
+    if min(row.n1, row.n2) <= EXACT_GROUP and row.tie_term == 0:
+        return min(1.0, 2 * _exact_rank_tail(max(row.u1, row.u2), row.n1, row.n2))
+    return min(1.0, math.erfc(row.z / math.sqrt(2)))
+
+
+def _with_result(one: DataFrame, name: str, tail: Callable[[Row], float | None]) -> DataFrame:
+    """Add a tail probability to a one-row result; only that row visits the driver."""
+    row = one.first()
+    schema = T.StructType([*one.schema.fields, T.StructField(name, T.DoubleType())])
+    return one.sparkSession.createDataFrame([(*row, tail(row))], schema)
 
 
 # --- tests ----------------------------------------------------------------------------------------
@@ -144,7 +139,10 @@ def chi_square(df: DataFrame, a: str, b: str, correction: bool = True) -> DataFr
     Σ (o-e)²/e = N (Σ o²/(r c) - 1), so empty cells need no rows. Yates' correction applies
     when there is one degree of freedom.
     """
-    counts = df.dropna(subset=[a, b]).groupBy(a, b).agg(F.count(F.lit(1)).cast("double").alias("o"))
+    # one scan of the rows; margins and cells then come from the small table of counts
+    counts = cut_lineage(
+        df.dropna(subset=[a, b]).groupBy(a, b).agg(F.count(F.lit(1)).cast("double").alias("o"))
+    )
     rows = counts.groupBy(a).agg(F.sum("o").alias("r"))
     cols = counts.groupBy(b).agg(F.sum("o").alias("c"))
     row_facts = rows.agg(
@@ -166,12 +164,12 @@ def chi_square(df: DataFrame, a: str, b: str, correction: bool = True) -> DataFr
     plain = n * (F.col("_s") - 1)
     dof = ((k_r - 1) * (k_c - 1)).cast("bigint")
     statistic = F.when((dof == 1) & F.lit(correction), corrected).when(dof >= 1, F.greatest(plain, F.lit(0.0)))
-    return one.select(statistic.alias("statistic"), dof.alias("dof"), n.cast("bigint").alias("n")).select(
-        "statistic",
-        "dof",
-        "n",
-        chi_square_tail("statistic", "dof").alias("p_value"),
-    ).withColumn("significant", F.col("p_value") < ALPHA)
+    facts = one.select(statistic.alias("statistic"), dof.alias("dof"), n.cast("bigint").alias("n"))
+
+    def tail(row: Row) -> float | None:
+        return None if row.statistic is None else _chi_square_tail(row.statistic, row.dof)
+
+    return _with_result(facts, "p_value", tail).withColumn("significant", F.col("p_value") < ALPHA)
 
 
 def expected_counts(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -204,6 +202,8 @@ def mann_whitney(df: DataFrame, group: str, measure: str, first: str) -> DataFra
     counts = known.groupBy("value").agg(
         F.count_if("is_first").alias("n1"), F.count_if(~F.col("is_first")).alias("n2")
     ).withColumn("t", F.col("n1") + F.col("n2"))
+    counts = cut_lineage(counts)  # read by the ranking and both medians
+    few = counts.count() <= SMALL_DISTINCT
     ranked = running(counts, "value", ["t"])
     mid_rank = F.col("before_t") + (F.col("t") + 1) / 2
     t = F.col("t").cast("double")
@@ -213,11 +213,10 @@ def mann_whitney(df: DataFrame, group: str, measure: str, first: str) -> DataFra
         F.sum(F.col("n1") * mid_rank).alias("_r1"),
         F.sum(t * t * t - t).alias("tie_term"),
     )
-    labelled = known.withColumn("side", F.when(F.col("is_first"), "first").otherwise("other"))
-    medians = exact_quantiles(labelled, "value", {"m": 0.5}, ["side"])
 
-    def median_of(side: str) -> Column:
-        return medians.filter(F.col("side") == side).select("m").scalar()
+    def median_of(n: str) -> Column:
+        side = counts.filter(F.col(n) > 0).select("value", F.col(n).alias("n"))
+        return quantiles_of(side, few, {"m": 0.5}).scalar()
 
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
     n = n1 + n2
@@ -237,15 +236,14 @@ def mann_whitney(df: DataFrame, group: str, measure: str, first: str) -> DataFra
     z = F.when(F.col("sigma") > 0, (top - F.col("n1") * F.col("n2") / 2 - 0.5) / F.col("sigma")).when(
         F.col("sigma") == 0, F.lit(0.0)
     )
-    return (
+    facts = (
         staged.withColumn("z", z)
-        .withColumn("p_value", rank_sum_p(top, F.col("n1"), F.col("n2"), F.col("tie_term"), F.col("z")))
-        .withColumn("median_first", median_of("first"))
-        .withColumn("median_other", median_of("other"))
-        .withColumn(
-            "verdict",
-            F.when(F.col("u1").isNull(), "insufficient")
-            .when(F.col("p_value") < ALPHA, "significant")
-            .otherwise("not significant"),
-        )
+        .withColumn("median_first", median_of("n1"))
+        .withColumn("median_other", median_of("n2"))
+    )
+    return _with_result(facts, "p_value", _rank_sum_p).withColumn(
+        "verdict",
+        F.when(F.col("u1").isNull(), "insufficient")
+        .when(F.col("p_value") < ALPHA, "significant")
+        .otherwise("not significant"),
     )
