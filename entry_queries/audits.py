@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from entry_queries.frames import HEARINGS_SQL as H, hearings, joined, JOINED_SQL, table
 from entry_queries.registry import query
 from stratalake.operators import quality, validate
-from stratalake.session import new_path
+from stratalake.session import new_path, spread
 
 ORDER_SCHEMA = {
     "type": "array",
@@ -34,7 +34,7 @@ ORDER_SCHEMA = {
 
 def order_lines(spark, sf):
     """Orders as JSON lines; what is wrong with a line follows from its status and priority."""
-    return table(spark, sf, "orders").selectExpr(
+    return spread(table(spark, sf, "orders"), "o_orderkey").selectExpr(
         "o_orderkey",
         """CASE
              WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN concat('{bad', o_orderkey)

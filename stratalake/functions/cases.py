@@ -63,13 +63,16 @@ def first_defendant(participants: Column, code: str = DEFENDANT) -> Column:
     """
     matching = F.filter(participants, lambda p: p.getField("participantCode") == code)
 
-    def first_known(name: str) -> Column:
-        values = F.transform(matching, lambda p: p.getField("personalDetails").getField(name))
-        return F.get(F.filter(values, lambda v: v.isNotNull()), F.lit(0))
-
-    attorneys = F.get(matching, F.lit(0)).getField("attorneyDetails")
-    return F.struct(
-        first_known("race").alias("race"),
-        first_known("gender").alias("gender"),
-        F.when(F.size(matching) > 0, attorney_type(attorneys)).alias("attorneyType"),
-    )
+    def facts(parts: Column) -> Column:
+        # field access on an array gives the array of that field
+        details = parts.getField("personalDetails")
+        return F.struct(
+            F.get(F.array_compact(details.getField("race")), F.lit(0)).alias("race"),
+            F.get(F.array_compact(details.getField("gender")), F.lit(0)).alias("gender"),
+            F.when(
+                F.size(parts) > 0, attorney_type(F.get(parts, F.lit(0)).getField("attorneyDetails"))
+            ).alias("attorneyType"),
+        )
+
+    # the one-element array binds the filtered list to a name, so it is built once
+    return F.get(F.transform(F.array(matching), facts), F.lit(0))

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from stratalake.operators.ranking import running
 from stratalake.session import cut_lineage
 
-# Up to this many distinct values a quantile buffer is small (a few MB), so the built-in
-# aggregate is used; beyond it the ranks are found by a distributed running count.
-SMALL_DISTINCT = 200_000
+# Up to this many rows a value table is sorted by one task per group in well under a second.
+SMALL_TABLE = 200_000
 
 
 def value_table(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
@@ -23,55 +22,44 @@ def value_table(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFra
     )
 
 
-def has_few_values(df: DataFrame, value: str, limit: int = SMALL_DISTINCT) -> bool:
-    """Whether a quantile buffer over the column stays small, from a distinct-count sketch."""
-    return df.agg(F.approx_count_distinct(value)).first()[0] <= limit
-
-
 def counted_values(
-    df: DataFrame, value: str, group: Sequence[str] = (), small_distinct: int = SMALL_DISTINCT
+    df: DataFrame, value: str, group: Sequence[str] = (), small_table: int = SMALL_TABLE
 ) -> tuple[DataFrame, bool]:
-    """The value table and whether it has few distinct values.
+    """The value table, materialised so that the rows are read once, and whether it is small."""
+    counts = cut_lineage(value_table(df, value, group))
+    return counts, counts.count() <= small_table
 
-    A large table is read several times by the ranking, so it is materialised once.
-    """
-    few = has_few_values(df, value, small_distinct)
-    counts = value_table(df, value, group)
-    return (counts, True) if few else (cut_lineage(counts), False)
 
+def quantiles_of(counts: DataFrame, small: bool, probs: dict[str, float], group: Sequence[str] = ()) -> DataFrame:
+    """Quantiles of a value table: one row per group, a column per named probability.
 
-def quantiles_of(counts: DataFrame, few: bool, probs: dict[str, float], group: Sequence[str] = ()) -> DataFrame:
-    """Quantiles of a value table: one row per group, a column per named probability."""
-    if not few:
-        return ranked_quantiles(counts, probs, group)
-    return counts.groupBy(*group).agg(
-        *[F.percentile("value", F.lit(p), F.col("n")).alias(name) for name, p in probs.items()]
-    )
+    The value at a rank is the one whose running count first passes it. A small table is
+    sorted per group; a large one is cut into value ranges first, so that neither a hot group
+    nor the lack of groups puts it into one task.
+    """
+    group = list(group)
+    if small:
+        keys = group or [F.lit(0)]
+        below = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = counts.withColumn("before_n", F.coalesce(F.sum("n").over(below), F.lit(0))).withColumn(
+            "_total", F.sum("n").over(Window.partitionBy(*keys))
+        )
+    else:
+        ranked = _with_totals(running(counts, "value", ["n"], group), counts, group)
+    return _pick(ranked, probs, group)
 
 
-def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: dict[str, float],
-    group: Sequence[str] = (),
-    small_distinct: int = SMALL_DISTINCT,
-) -> DataFrame:
-    """One row per group with a column per named probability."""
-    return quantiles_of(*counted_values(df, value, group, small_distinct), probs, group)
+def _with_totals(ranked: DataFrame, counts: DataFrame, group: list[str]) -> DataFrame:
+    sizes = counts.groupBy(*group).agg(F.sum("n").alias("_total"))
+    if not group:
+        return ranked.withColumn("_total", sizes.select("_total").scalar())
+    # a struct key makes null groups join like any other
+    return ranked.withColumn("_group", F.struct(*group)).join(
+        sizes.select(F.struct(*group).alias("_group"), "_total"), "_group"
+    )
 
 
-def ranked_quantiles(counts: DataFrame, probs: dict[str, float], group: Sequence[str] = ()) -> DataFrame:
-    """Quantiles of a value table, by the running count below each value."""
-    group = list(group)
-    ranked = running(counts, "value", ["n"], group)
-    # a struct key makes null groups join like any other
-    sizes = counts.groupBy(*group).agg(F.sum("n").alias("_total"))
-    if group:
-        ranked = ranked.withColumn("_group", F.struct(*group)).join(
-            sizes.select(F.struct(*group).alias("_group"), "_total"), "_group"
-        )
-    else:
-        ranked = ranked.withColumn("_total", sizes.select("_total").scalar())
+def _pick(ranked: DataFrame, probs: dict[str, float], group: list[str]) -> DataFrame:
     first, last = F.col("before_n"), F.col("before_n") + F.col("n") - 1
     picks, finals = [], []
     for name, p in probs.items():
@@ -85,3 +73,14 @@ def ranked_quantiles(counts: DataFrame, probs: dict[str, float], group: Sequence
         low_value, high_value = F.col(f"_low_{name}"), F.col(f"_high_{name}")
         finals.append((low_value + (high_value - low_value) * F.col(f"_part_{name}")).alias(name))
     return ranked.groupBy(*group).agg(*picks).select(*group, *finals)
+
+
+def exact_quantiles(
+    df: DataFrame,
+    value: str,
+    probs: dict[str, float],
+    group: Sequence[str] = (),
+    small_table: int = SMALL_TABLE,
+) -> DataFrame:
+    """One row per group with a column per named probability."""
+    return quantiles_of(*counted_values(df, value, group, small_table), probs, group)

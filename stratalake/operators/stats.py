@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from stratalake.operators.aggregates import top_values
-from stratalake.operators.quantiles import SMALL_DISTINCT, exact_quantiles, quantiles_of
+from stratalake.operators.quantiles import SMALL_TABLE, counted_values, exact_quantiles, quantiles_of
 from stratalake.operators.ranking import running
 from stratalake.session import cut_lineage
 
@@ -20,24 +20,36 @@ EXACT_GROUP = 8
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
-def sample_skewness(n: Column, population: Column) -> Column:
-    """Bias-corrected skewness from the population value; null below three values."""
-    factor = F.sqrt(n * (n - 1)) / (n - 2)
-    return F.when(n >= 3, population * factor)
+def sample_skewness(n: Column, m2: Column, m3: Column) -> Column:
+    """Bias-corrected skewness from the sums of squared and cubed deviations.
+
+    Null below three values and for constant data.
+    """
+    population = F.sqrt(n) * m3 / F.pow(m2, 1.5)
+    return F.when((n >= 3) & (m2 > 0), population * F.sqrt(n * (n - 1)) / (n - 2))
 
 
 def describe_measures(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Mean, quartiles, IQR and skewness per measure over its known values.
 
-    All measures are handled in the same jobs, as (measure, value) rows. A measure without
-    values gives no row.
+    All measures are handled in the same jobs: the rows are read once, into counts per
+    (measure, value). A measure without values gives no row.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in cols])
-    long = df.select(F.inline(pairs)).filter(F.col("value").isNotNull())
-    moments = long.groupBy("measure").agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.skewness("value").alias("_skew")
+    counts, small = counted_values(df.select(F.inline(pairs)), "value", ["measure"])
+    n, value = F.col("n"), F.col("value")
+    means = counts.groupBy("measure").agg((F.sum(n * value) / F.sum(n)).alias("mean")).collect()
+    mean = F.lit(None).cast("double")
+    for row in means:  # one row per measure
+        mean = F.when(F.col("measure") == row.measure, F.lit(row.mean)).otherwise(mean)
+    gap = value - mean
+    moments = counts.groupBy("measure").agg(
+        F.sum(n).alias("n"),
+        F.max(mean).alias("mean"),
+        F.sum(n * gap * gap).alias("_m2"),
+        F.sum(n * gap * gap * gap).alias("_m3"),
     )
-    quartiles = exact_quantiles(long, "value", QUARTILES, ["measure"])
+    quartiles = quantiles_of(counts, small, QUARTILES, ["measure"])
     return moments.join(quartiles, "measure").select(
         "measure",
         "n",
@@ -46,7 +58,7 @@ def describe_measures(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         "q1",
         "q3",
         (F.col("q3") - F.col("q1")).alias("iqr"),
-        sample_skewness(F.col("n"), F.col("_skew")).alias("skew"),
+        sample_skewness(F.col("n"), F.col("_m2"), F.col("_m3")).alias("skew"),
     )
 
 
@@ -132,9 +144,13 @@ def _with_result(one: DataFrame, name: str, tail: Callable[[Row], float | None])
 # --- tests ----------------------------------------------------------------------------------------
 
 
-def chi_square(df: DataFrame, a: str, b: str, correction: bool = True) -> DataFrame:
+def chi_square(
+    df: DataFrame, a: str, b: str, correction: bool = True, top: int | None = None
+) -> DataFrame:
     """Independence test on the a × b counts: one row with statistic, dof and p.
 
+    ``top`` compares only the most frequent groups of ``a``.
+
     Works from the cells that occur: with r and c the margins and N the total,
     Σ (o-e)²/e = N (Σ o²/(r c) - 1), so empty cells need no rows. Yates' correction applies
     when there is one degree of freedom.
@@ -144,6 +160,9 @@ def chi_square(df: DataFrame, a: str, b: str, correction: bool = True) -> DataFr
         df.dropna(subset=[a, b]).groupBy(a, b).agg(F.count(F.lit(1)).cast("double").alias("o"))
     )
     rows = counts.groupBy(a).agg(F.sum("o").alias("r"))
+    if top:
+        rows = rows.orderBy(F.desc("r"), a).limit(top)
+        counts = counts.join(F.broadcast(rows.select(a)), a, "left_semi")
     cols = counts.groupBy(b).agg(F.sum("o").alias("c"))
     row_facts = rows.agg(
         F.struct(F.sum("r").alias("n"), F.count(F.lit(1)).alias("k"), F.sum(1 / F.col("r")).alias("inv"))
@@ -203,7 +222,7 @@ def mann_whitney(df: DataFrame, group: str, measure: str, first: str) -> DataFra
         F.count_if("is_first").alias("n1"), F.count_if(~F.col("is_first")).alias("n2")
     ).withColumn("t", F.col("n1") + F.col("n2"))
     counts = cut_lineage(counts)  # read by the ranking and both medians
-    few = counts.count() <= SMALL_DISTINCT
+    small = counts.count() <= SMALL_TABLE
     ranked = running(counts, "value", ["t"])
     mid_rank = F.col("before_t") + (F.col("t") + 1) / 2
     t = F.col("t").cast("double")
@@ -216,7 +235,7 @@ def mann_whitney(df: DataFrame, group: str, measure: str, first: str) -> DataFra
 
     def median_of(n: str) -> Column:
         side = counts.filter(F.col(n) > 0).select("value", F.col(n).alias("n"))
-        return quantiles_of(side, few, {"m": 0.5}).scalar()
+        return quantiles_of(side, small, {"m": 0.5}).scalar()
 
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
     n = n1 + n2

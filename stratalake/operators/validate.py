@@ -9,8 +9,6 @@ from __future__ import annotations
 
 import json
 import logging
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stratalake.sources.files import SOURCE_FILE, has_input
@@ -33,105 +31,114 @@ class SchemaViolation(ValueError):
     """Raised by the gate when records break the schema."""
 
 
-def _kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
-
-
-def _is_integer(value: Column, kind: Column) -> Column:
-    number = F.try_variant_get(value, "$", "double")
-    whole = (kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")) & (number == F.floor(number))
-    return (kind == "BIGINT") | whole
-
-
-# type name -> test on (value, its VARIANT type)
-TYPE_TESTS: dict[str, Callable[[Column, Column], Column]] = {
-    "object": lambda v, k: k.startswith("OBJECT"),
-    "array": lambda v, k: k.startswith("ARRAY"),
-    "string": lambda v, k: k == "STRING",
-    "boolean": lambda v, k: k == "BOOLEAN",
-    "null": lambda v, k: k == "VOID",
-    "number": lambda v, k: (k == "BIGINT") | k.startswith("DECIMAL") | k.isin("DOUBLE", "FLOAT"),
-    "integer": _is_integer,
-}
+# VARIANT type names of the JSON scalars with one spelling
+EXACT_KINDS = {"string": "STRING", "boolean": "BOOLEAN", "null": "VOID"}
 
 
-def _none() -> Column:
-    return F.array().cast(NO_ERRORS)
-
-
-def _when(condition: Column, errors: Column) -> Column:
-    return F.when(F.coalesce(condition, F.lit(False)), errors).otherwise(_none())
-
-
-def _at(root: Column, where: str) -> Column:
-    # null means missing; an explicit JSON null is a VARIANT null and not SQL null
-    return root if where == "$" else F.try_variant_get(root, where, "variant")
+def _at(root: Column, where: str, to: str = "variant") -> Column:
+    # null means missing (or of another type than ``to``); an explicit JSON null is a
+    # VARIANT null, which is not SQL null
+    return root if where == "$" and to == "variant" else F.try_variant_get(root, where, to)
 
 
 def _step(where: str, name: str) -> str:
     return where + "['" + name.replace("'", "\\'") + "']"
 
 
-def _join(parts: list[Column]) -> Column:
-    if not parts:
-        return _none()
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+def _is_number(value: Column, kind: Column) -> Column:
+    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
 
 
-def compile_errors(root: Column, schema: dict, path: str = "", where: str = "$") -> Column:
-    """Array of error texts for the value at ``where`` inside ``root``, which is present.
+def _is_integer(value: Column, kind: Column) -> Column:
+    number = F.try_variant_get(value, "$", "double")
+    return (kind == "BIGINT") | (_is_number(value, kind) & (number % 1 == 0))
 
-    Paths start at the record or at the enclosing array element, so a nested value is
-    reached by one extraction.
-    """
+
+def _fits(root: Column, where: str, names: set[str]) -> Column:
+    """Whether a value has one of the types; null where the value is missing."""
     value = _at(root, where)
+    kind = F.schema_of_variant(value)
+    exact = [EXACT_KINDS[n] for n in sorted(names) if n in EXACT_KINDS]
+    tests = [kind.isin(*exact)] if exact else []
+    if "integer" in names:
+        tests.append(_is_integer(value, kind))
+    if "number" in names:
+        tests.append(_is_number(value, kind))
+    # containers are recognised by a shallow cast, their type text would be built recursively
+    if "object" in names:
+        tests.append(_at(root, where, "map<string,variant>").isNotNull())
+    if "array" in names:
+        tests.append(_at(root, where, "array<variant>").isNotNull())
+    fits = tests[0]
+    for test in tests[1:]:
+        fits = fits | test
+    return fits if exact or "integer" in names or "number" in names else F.when(value.isNotNull(), fits)
+
+
+def _errors(
+    root: Column, schema: dict, path: str, where: str, nullable: bool = False
+) -> tuple[list[Column], list[Column]]:
+    """Checks of the value at ``where``: nullable error texts and arrays of error texts.
+
+    All paths start at ``root`` (a record or an array element). A value below something that
+    is missing or of another type is missing itself, so type checks need no gates; only
+    ``required`` asks whether its parent is an object.
+    """
     unknown = set(schema) - CHECKED - ANNOTATIONS
     if unknown:
         raise ValueError(f"unsupported schema keywords: {sorted(unknown)}")
-    kind = _kind(value)
-    parts = []
+    texts, lists = [], []
     if "type" in schema:
-        names = schema["type"] if isinstance(schema["type"], list) else [schema["type"]]
-        fits = F.lit(False)
-        for name in names:
-            fits = fits | F.coalesce(TYPE_TESTS[name](value, kind), F.lit(False))
-        parts.append(_when(~fits, F.array(F.lit(f"type of {path or 'record'}"))))
+        names = set(schema["type"] if isinstance(schema["type"], list) else [schema["type"]])
+        fits = _fits(root, where, names | ({"null"} if nullable else set()))
+        texts.append(F.when(~fits, F.lit(f"type of {path or 'record'}")))
     prefix = f"{path}." if path else ""
-    is_object, is_array = kind.startswith("OBJECT"), kind.startswith("ARRAY")
-    missing = [
-        F.when(_at(root, _step(where, name)).isNull(), F.lit(f"required {prefix}{name}"))
-        for name in schema.get("required", [])
-    ]
-    inner = [
-        _when(
-            _at(root, _step(where, name)).isNotNull(),
-            compile_errors(root, sub, f"{prefix}{name}", _step(where, name)),
-        )
-        for name, sub in schema.get("properties", {}).items()
-        if sub
-    ]
-    if missing:
-        inner.insert(0, F.array_compact(F.array(*missing)))
-    if inner:
-        parts.append(_when(is_object, _join(inner)))
+    if schema.get("required"):
+        missing = [
+            F.when(_at(root, _step(where, name)).isNull(), F.lit(f"required {prefix}{name}"))
+            for name in schema["required"]
+        ]
+        is_object = _at(root, where, "map<string,variant>").isNotNull()
+        lists.append(F.when(is_object, F.array_compact(F.array(*missing))))
+    for name, sub in schema.get("properties", {}).items():
+        more = _errors(root, sub, f"{prefix}{name}", _step(where, name))
+        texts += more[0]
+        lists += more[1]
     if schema.get("items"):
-        elements = F.try_variant_get(value, "$", "array<variant>")
-        per_item = F.transform(elements, lambda x: compile_errors(x, schema["items"], f"{path}[]"))
-        parts.append(_when(is_array, F.flatten(per_item)))
+        elements = _at(root, where, "array<variant>")
+        lists.append(
+            F.flatten(F.transform(elements, lambda x: compile_errors(x, schema["items"], f"{path}[]")))
+        )
     if "anyOf" in schema:
-        parts.append(_any_of(root, kind, schema["anyOf"], path, where))
-    return _join(parts)
+        more = _any_of(root, schema["anyOf"], path, where)
+        texts += more[0]
+        lists += more[1]
+    return texts, lists
 
 
-def _any_of(root: Column, kind: Column, options: list[dict], path: str, where: str) -> Column:
+def _any_of(root: Column, options: list[dict], path: str, where: str) -> tuple[list[Column], list[Column]]:
     others = [o for o in options if o.get("type") != "null"]
     if len(others) == 1 and len(options) == 2:
         # nullable value: report what is wrong inside it
-        return _when(kind != "VOID", compile_errors(root, others[0], path, where))
-    failed = F.lit(True)
+        return _errors(root, others[0], path, where, nullable=True)
+    failed = _at(root, where).isNotNull()
     for option in options:
-        failed = failed & (F.size(compile_errors(root, option, path, where)) > 0)
-    return _when(failed, F.array(F.lit(f"anyOf of {path or 'record'}")))
+        failed = failed & (F.size(_gather(*_errors(root, option, path, where))) > 0)
+    return [F.when(failed, F.lit(f"anyOf of {path or 'record'}"))], []
+
+
+def _gather(texts: list[Column], lists: list[Column]) -> Column:
+    parts = [F.coalesce(part, F.array().cast(NO_ERRORS)) for part in lists]
+    if texts:
+        parts.append(F.array_compact(F.array(*texts)))
+    if not parts:
+        return F.array().cast(NO_ERRORS)
+    return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+
+def compile_errors(root: Column, schema: dict, path: str = "") -> Column:
+    """Array of error texts of a VARIANT value that is present: missing keys, then types."""
+    return _gather(*_errors(root, schema, path, "$"))
 
 
 def validate_json(df: DataFrame, json_col: str, schema: dict) -> DataFrame:

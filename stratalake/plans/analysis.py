@@ -56,7 +56,7 @@ def analyse(features: DataFrame) -> dict[str, DataFrame | None]:
     out = {
         "descriptive": stats.describe_measures(rows, MEASURES),
         "race_by_dismissal": stats.crosstab(majors, "race", LABEL, [False, True]),
-        "chi_square": stats.chi_square(majors, "race", LABEL),
+        "chi_square": stats.chi_square(rows, "race", LABEL, top=3),
         "mann_whitney": stats.mann_whitney(sentenced, "attorneyType", "netSentenceDays", PUBLIC_DEFENDER),
     }
     out.update(fit_dismissal_model(rows))
