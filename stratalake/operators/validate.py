@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import json
 import logging
+import re
+from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stratalake.sources.files import SOURCE_FILE, has_input
@@ -160,16 +162,17 @@ def sample_files(
 
     Spark keeps at most ``n_lines`` per file in every input split before the shuffle.
     """
-    lines = spark.read.text(glob).select(
+    paths: str | list[str] = glob
+    if n_files > 0:
+        # names come from the file listing, so other files are not read
+        listed = sorted(spark.read.text(glob).inputFiles())[:n_files]
+        paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(name)) for name in listed]
+    lines = spark.read.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias(SOURCE_FILE),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_seq"),
     )
-    if n_files > 0:
-        paths = lines.select(SOURCE_FILE).distinct().orderBy(SOURCE_FILE).limit(n_files)
-        wanted = [row[0] for row in paths.collect()]  # at most n_files names
-        lines = lines.filter(F.col(SOURCE_FILE).isin(wanted))
     if n_lines <= 0:
         return lines.drop("_block", "_seq")
     in_file = Window.partitionBy(SOURCE_FILE).orderBy("_block", "_seq")

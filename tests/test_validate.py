@@ -88,7 +88,7 @@ def test_unsupported_keywords_are_refused():
 
 
 def test_sampling_takes_first_files_and_lines(spark, write_lines):
-    root = write_lines({f"f{i}.jsonl": [f'{{"i":{i},"l":{j}}}' for j in range(1, 8)] for i in range(4)})
+    root = write_lines({f"f {i}[x].jsonl": [f'{{"i":{i},"l":{j}}}' for j in range(1, 8)] for i in range(4)})
     found = validate.sample_files(spark, f"{root}/*.jsonl", n_files=2, n_lines=3)
     got = sorted(rows(found.select("line", "value")))
     assert got == sorted((j, f'{{"i":{i},"l":{j}}}') for i in range(2) for j in range(1, 4))
