@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from stratalake.session import cut_lineage
+from stratalake.session import broadcast_if_small, cut_lineage
 
 MAX_RANGES = 1024
 # a sort of this many rows fits one task easily
@@ -112,14 +112,18 @@ def numbered(
         .filter(F.col("n") > hot_rows)
         .select("_group", F.lit(True).alias("_hot"))
     )
-    if hot.isEmpty():
+    hot_keys = hot.count()
+    if hot_keys == 0:
         keys = partition or [F.lit(0)]
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*sorting)).cast("bigint"))
-    # Spark broadcasts the hot keys only while they are small
-    marked = df.withColumn("_group", _group_key(partition)).join(hot, "_group", "left").drop("_group")
-    crowded = marked.filter("_hot")
+    ranges = ranges or default_ranges(df)
+    marked = (
+        df.withColumn("_group", _group_key(partition))
+        .join(broadcast_if_small(hot, hot_keys), "_group", "left")
+        .drop("_group")
+    )
     position = order_position(df, order)
-    bounds = range_bounds(crowded, position, ranges or default_ranges(df))
+    bounds = range_bounds(marked.filter("_hot"), position, ranges)
     ranged = with_ranges(marked, position, bounds).withColumn(
         BUCKET, F.when(F.col("_hot"), F.col(BUCKET)).otherwise(F.lit(0))
     )
@@ -128,7 +132,7 @@ def numbered(
     place = F.coalesce(F.col("_before_n"), F.lit(0)) + F.row_number().over(within)
     return (
         ranged.withColumn("_range", _range_key(partition))
-        .join(before, "_range", "left")
+        .join(broadcast_if_small(before, hot_keys * (ranges + 1)), "_range", "left")
         .select(*df.columns, place.cast("bigint").alias(name))
     )
 

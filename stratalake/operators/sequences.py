@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stratalake.operators.ranking import HOT_ROWS, numbered
+from stratalake.session import BROADCAST_ROWS, cut_lineage
 
 BATCH_SIZE = 300
 
@@ -24,6 +25,30 @@ def latest_per_key(
     return df.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 
 
+def latest_of_rare_copies(
+    df: DataFrame, key: Sequence[str], order: str | Column, tiebreak: Sequence[Column] = ()
+) -> DataFrame:
+    """``latest_per_key`` for wide rows of which few have copies.
+
+    A first pass over the key columns alone finds the keys that occur more than once. While
+    they are few, only their rows are shuffled and all others pass through in place; with
+    many copied keys all rows go through ``latest_per_key``.
+    """
+    copied = cut_lineage(
+        df.groupBy(F.struct(*key).alias("_key")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        .select("_key", F.lit(True).alias("_copied"))
+    )
+    n = copied.count()
+    if n == 0:
+        return df
+    if n > BROADCAST_ROWS:
+        return latest_per_key(df, key, order, tiebreak)
+    marked = df.withColumn("_key", F.struct(*key)).join(F.broadcast(copied), "_key", "left").drop("_key")
+    single = marked.filter(F.col("_copied").isNull())
+    latest = latest_per_key(marked.filter("_copied"), key, order, tiebreak)
+    return single.unionByName(latest).drop("_copied")
+
+
 def mean_gap_days(df: DataFrame, key: Sequence[str], date: str, name: str = "mean_gap_days") -> DataFrame:
     """Mean days between consecutive dates per key, null below two dates.
 

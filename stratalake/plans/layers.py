@@ -37,7 +37,7 @@ def build_bronze(
 
 
 def build_silver(spark: SparkSession, bronze: str, out: str) -> DataFrame:
-    write_layer(to_silver(scan_parquet(spark, bronze)), out)
+    write_layer(to_silver(scan_parquet(spark, bronze), rare_copies=True), out)
     return scan_parquet(spark, out)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stratalake.functions.cases import first_defendant, net_sentence_days, total_financial
 from stratalake.functions.dates import days_between_nonneg, parse_date, parse_date_lenient, parse_ts
 from stratalake.functions.hashing import content_key, hash_in_array, hash_text, with_lineage
-from stratalake.operators.sequences import latest_per_key
+from stratalake.operators.sequences import latest_of_rare_copies, latest_per_key
 from stratalake.sources.files import SOURCE_FILE
 
 DEDUPE_KEY = ("caseNumber", "hearingDate")
@@ -28,15 +28,19 @@ def to_silver(
     key: Sequence[str] = DEDUPE_KEY,
     order: str = SOURCE_FILE,
     tiebreak: Sequence[Column] | None = None,
+    rare_copies: bool = False,
 ) -> DataFrame:
     """The 18 silver columns in their fixed order.
 
     Only the columns that are read enter the deduplication, so its shuffle stays narrow.
+    ``rare_copies`` looks at the keys first and shuffles only rows that have copies while
+    such keys are few; it reads the input once more, which pays where that is a stored layer.
     Copies within one file are told apart by their content unless a tie-break is given.
     """
     if tiebreak is None:
         tiebreak = [content_key(INPUTS)]
-    latest = latest_per_key(bronze, key, order, tiebreak)
+    dedupe = latest_of_rare_copies if rare_copies else latest_per_key
+    latest = dedupe(bronze, key, order, tiebreak)
     silver = latest.select(
         *IDENTITY,
         hash_text(F.col("name")).alias("defendant_name_hash"),

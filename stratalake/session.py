@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Every setting here can also be changed on a running session.
 SESSION_SETTINGS = {
@@ -16,8 +16,13 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # the JVM does not compile larger methods; Spark then splits wide nested projections
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Keys of a few dozen bytes: some 20 MB on every executor.
+BROADCAST_ROWS = 200_000
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators rely on to an existing session."""
@@ -70,6 +75,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a key table whose row count is known and small; else Spark picks the join."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Distribute a scan over all cores when its files give fewer splits than there are.
 

@@ -91,5 +91,5 @@ def refresh_silver(
     if None in days:
         wanted = wanted | F.col(DAY).isNull()
     rows = read_bronze(spark, bronze, schema).filter(wanted)
-    rebuilt = to_silver(rows)
+    rebuilt = to_silver(rows, rare_copies=True)
     _write_days(rebuilt.withColumn(DAY, F.date_format("hearing_timestamp", "yyyy-MM-dd")), silver, DAY)

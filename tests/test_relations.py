@@ -74,6 +74,17 @@ def test_hot_key_dedupe_keeps_one_row_and_limits_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") >= 2 and "Partial" in plan
 
 
+@pytest.mark.parametrize("limit", [0, 3, 10**6])
+def test_rare_copies_give_the_same_rows(spark, monkeypatch, limit):
+    monkeypatch.setattr(sequences, "BROADCAST_ROWS", limit)
+    data = [(None if i % 9 == 0 else i % 40, i % 7, i) for i in range(60)] + [(100 + i, 0, i) for i in range(20)]
+    df = spark.createDataFrame(data, "k int, o int, id int")
+    want = sorted(rows(sequences.latest_per_key(df, ["k"], "o", [F.col("id")])), key=str)
+    assert sorted(rows(sequences.latest_of_rare_copies(df, ["k"], "o", [F.col("id")])), key=str) == want
+    single = df.filter("k >= 100")
+    assert sequences.latest_of_rare_copies(single, ["k"], "o").count() == 20
+
+
 # --- joins -------------------------------------------------------------------------------------
 
 
