@@ -7,9 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from entry_queries.frames import LATEST_SQL, hearings, records, table
+from entry_queries.frames import LATEST_SQL, records, table
 from entry_queries.registry import query
-from stratalake.operators import aggregates as agg
+from entry_queries.shapes import features
 from stratalake.plans import analysis, layers
 from stratalake.session import new_path
 from stratalake.sources import catalog, files, schemas
@@ -186,8 +186,6 @@ def s15(spark, sf):
 
 @query("s16_feature_sample")
 def s16(spark, sf):
-    from entry_queries.shapes import features
-
     return catalog.sample_features(features(spark, sf), 10000)
 
 

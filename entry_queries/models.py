@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from entry_queries.frames import HEARINGS_SQL as H, RECORDS_SQL, hearings, joined, table
 from entry_queries.registry import query
+from entry_queries.shapes import features
 from stratalake.operators import model, plotdata, stats
 from stratalake.plans import analysis
 
@@ -25,7 +26,7 @@ def _round(df, *cols, digits=6):
     c AS (SELECT race, f, count(*) AS o FROM t GROUP BY 1, 2),
     e AS (SELECT o, sum(o) OVER (PARTITION BY race) * sum(o) OVER (PARTITION BY f) / CAST(sum(o) OVER () AS DOUBLE) AS e
       FROM c), s AS (SELECT sum((o - e) * (o - e) / e) AS x, sum(o) AS n FROM e)
-    SELECT round(x, 6) AS statistic, 2 AS dof, CAST(n AS BIGINT) AS n, round(exp(-x / 2), 6) AS p_value,
+    SELECT round(x, 6) AS statistic, CAST(2 AS BIGINT) AS dof, CAST(n AS BIGINT) AS n, round(exp(-x / 2), 6) AS p_value,
     exp(-x / 2) < 0.05 AS significant FROM s""",
 )
 def m1(spark, sf):
@@ -48,8 +49,6 @@ def m1(spark, sf):
     (SELECT median(v) FROM x WHERE f) AS median_first, (SELECT median(v) FROM x WHERE NOT f) AS median_other FROM u""",
 )
 def m2(spark, sf):
-    from entry_queries.shapes import features
-
     rows = features(spark, sf).filter("netSentenceDays > 0")
     out = stats.mann_whitney(rows, "attorneyType", "netSentenceDays", "Public Defender")
     return _round(_round(out, "z"), "sigma", digits=4).drop("p_value", "verdict")

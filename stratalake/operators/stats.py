@@ -17,6 +17,9 @@ ALPHA = 0.05
 MIN_GROUP = 5
 # scipy's rule: exact distribution when a group is this small and nothing is tied
 EXACT_GROUP = 8
+# beyond this many possible statistics the exact and the normal tail agree, and the table of
+# the former would not fit the driver
+EXACT_VALUES = 50_000_000
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
@@ -129,7 +132,8 @@ def _exact_rank_tail(u: float, n1: int, n2: int) -> float:
 def _rank_sum_p(row: Row) -> float | None:
     if row.u1 is None:
         return None
-    if min(row.n1, row.n2) <= EXACT_GROUP and row.tie_term == 0:
+    exact = min(row.n1, row.n2) <= EXACT_GROUP and row.n1 * row.n2 <= EXACT_VALUES
+    if exact and row.tie_term == 0:
         return min(1.0, 2 * _exact_rank_tail(max(row.u1, row.u2), row.n1, row.n2))
     return min(1.0, math.erfc(row.z / math.sqrt(2)))
 

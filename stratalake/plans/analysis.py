@@ -10,7 +10,7 @@ from stratalake.functions.cases import PUBLIC_DEFENDER
 from stratalake.functions.scalars import is_code
 from stratalake.operators import aggregates as agg, model as m, stats
 from stratalake.plans.silver import add_features
-from stratalake.sources.files import scan_jsonl_tolerant
+from stratalake.sources.files import has_input, scan_jsonl_tolerant
 from stratalake.sources.schemas import CASE_SCHEMA
 
 MEASURES = ("daysToDisposition", "netSentenceDays", "totalFinancial")
@@ -38,8 +38,6 @@ def eda_reports(flat: DataFrame, min_count: int = 100) -> dict[str, DataFrame]:
 
 def load_case_features(spark: SparkSession, path: str, schema: T.StructType | str = CASE_SCHEMA) -> DataFrame:
     """Feature frame of one JSON-lines file; a missing file ends with code 1, an empty one with 0."""
-    from stratalake.sources.files import has_input
-
     if not has_input(spark, path):
         sys.exit(1)
     good, _ = scan_jsonl_tolerant(spark, path, schema)
