@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,8 +20,12 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # the JVM does not compile larger methods; Spark then splits wide nested projections
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # texts can be long: a batch handed to Python stays small
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
 }
 
+_OWN_DIRS: dict[str, str] = {}
+
 # Keys of a few dozen bytes: some 20 MB on every executor.
 BROADCAST_ROWS = 200_000
 
@@ -49,17 +55,23 @@ def local_session(cores: int | str = "*", app: str = "stratalake", partitions: i
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach: the one the cluster names for checkpoints.
+    """Folder all executors can reach: the one ``spark.checkpoint.dir`` names.
 
-    A local temporary folder is used only where the setting is missing, and only in
-    local mode, where driver and executors are the same machine.
+    Where the setting is missing in local mode (driver and executors are one machine), one
+    folder per application is made, set as the checkpoint folder and removed at exit; on a
+    cluster a missing setting is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="stratalake-")
+    if context.applicationId not in _OWN_DIRS:
+        own = tempfile.mkdtemp(prefix="stratalake-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        _OWN_DIRS[context.applicationId] = own
+    return _OWN_DIRS[context.applicationId]
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -67,6 +79,13 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/stratalake-{label}-{uuid.uuid4().hex}"
 
 
+def keep(df: DataFrame, label: str) -> DataFrame:
+    """Store a table in the shared folder and read it from there: it survives lost executors."""
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors."""
     spark = df.sparkSession
