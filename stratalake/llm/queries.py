@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from entry_queries.registry import query
-from stratalake.llm import bpe
+from stratalake.llm import bpe, neardup
 from stratalake.llm.common import table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -32,3 +32,8 @@ def digest(rows: DataFrame) -> DataFrame:
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = vocabulary("word_bpe_49k.json")
     return digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), words), words))
+
+
+@query("op3_minhash")
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
