@@ -7,8 +7,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from entry_queries.registry import query
-from stratalake.llm import bpe, neardup
-from stratalake.llm.common import table
+from stratalake.llm import bpe, neardup, quality, rules
+from stratalake.llm.common import crc_remainder, table
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -37,3 +37,16 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_minhash")
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op1_quality")
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    held_out = crc_remainder(F.col("doc_id"), 5) == 0
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
+
+
+@query("op8_rules")
+def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
