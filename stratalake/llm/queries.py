@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from entry_queries.registry import query
-from stratalake.llm import bpe, neardup, quality, rules
+from stratalake.llm import bpe, chat, langid, neardup, quality, rules
 from stratalake.llm.common import crc_remainder, table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -50,3 +50,21 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_rules")
 def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_langid")
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.fit(docs))
+    return found.select("doc_id", (crc_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_chat")
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    vocab = vocabulary("byte_bpe_50k.json")
+    formatted = chat.format_turns(turns, vocab)
+    read = chat.read_back(formatted, vocab, ["conv_id", "turn", "_role", "_text"])
+    return chat.digests(read, "conv_id", ["turn", "_role", "_text"])
