@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from entry_queries.registry import query
-from stratalake.llm import bpe, chat, langid, neardup, quality, rules
+from stratalake.llm import bpe, chat, langid, mixing, neardup, quality, rules
 from stratalake.llm.common import crc_remainder, table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -68,3 +68,34 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     formatted = chat.format_turns(turns, vocab)
     read = chat.read_back(formatted, vocab, ["conv_id", "turn", "_role", "_text"])
     return chat.digests(read, "conv_id", ["turn", "_role", "_text"])
+
+
+OP7_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+  FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 3.0::DOUBLE * sum(size) AS cap,
+         CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS weight
+  FROM sized GROUP BY source),
+ordered AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM sources),
+goal AS (
+  SELECT source, source_size, least(cap, weight * max(level) OVER ()) AS target FROM ordered),
+running AS (
+  SELECT s.doc_id, s.size, g.source_size, g.target, CAST(round(g.target) AS BIGINT) AS budget,
+         sum(s.size) OVER (PARTITION BY s.source ORDER BY s.k, s.size ROWS UNBOUNDED PRECEDING) - s.size AS before
+  FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target,
+       CAST(CASE WHEN source_size > 0 THEN (budget // source_size) * size ELSE 0 END
+            + least(greatest(CASE WHEN source_size > 0 THEN budget % source_size ELSE budget END - before, 0), size) AS BIGINT) AS taken
+FROM running
+"""
+
+
+@query("op7_mixing", OP7_SQL)
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
