@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from entry_queries.registry import query
-from stratalake.llm import bpe, chat, langid, mixing, neardup, quality, rules
+from stratalake.llm import ann, bpe, chat, langid, mixing, neardup, quality, rules
 from stratalake.llm.common import crc_remainder, table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -99,3 +99,8 @@ FROM running
 @query("op7_mixing", OP7_SQL)
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+
+
+@query("op10_ann")
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
