@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from entry_queries.registry import query
-from stratalake.llm import ann, bpe, chat, langid, mixing, neardup, quality, rules
+from stratalake.llm import ann, bpe, chat, langid, linedup, mixing, neardup, quality, rules
 from stratalake.llm.common import crc_remainder, table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -104,3 +104,37 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_ann")
 def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+OP4_SQL = r"""
+WITH docs AS (SELECT doc_id, text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+split AS (
+  SELECT doc_id, generate_subscripts(string_split(low, chr(10)), 1) - 1 AS no, unnest(string_split(low, chr(10))) AS line, unnest(string_split(text, chr(10))) AS raw
+  FROM docs),
+worded AS (SELECT doc_id, no, raw, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM split),
+tokens AS (
+  SELECT DISTINCT doc_id, no, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) || CASE WHEN len(w) < 5 THEN '!' ELSE '' END AS t
+  FROM worded WHERE len(w) > 0),
+sizes AS (SELECT doc_id, no, count(*) AS n FROM tokens GROUP BY ALL),
+common AS (
+  SELECT x.doc_id AS xd, x.no AS xn, y.doc_id AS yd, y.no AS yn, count(*) AS c
+  FROM tokens x JOIN tokens y ON x.t = y.t AND (y.doc_id < x.doc_id OR y.doc_id = x.doc_id AND y.no < x.no)
+  GROUP BY ALL),
+gone AS (
+  SELECT DISTINCT xd AS doc_id, xn AS no FROM common
+  JOIN sizes a ON a.doc_id = xd AND a.no = xn JOIN sizes b ON b.doc_id = yd AND b.no = yn
+  WHERE 100 * c >= 75 * (a.n + b.n - c)),
+left_over AS (
+  SELECT w.doc_id, string_agg(CASE WHEN g.no IS NULL THEN raw END, chr(10) ORDER BY w.no) AS text,
+         count(*) FILTER (WHERE len(w) > 0) AS n_lines, count(g.no) AS n_removed
+  FROM worded w LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.no = w.no GROUP BY w.doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(l.text, '')) AS text_sha256
+FROM documents d LEFT JOIN left_over l USING (doc_id)
+"""
+
+
+@query("op4_linedup", OP4_SQL)
+def op4_linedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = linedup.line_dedup(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
