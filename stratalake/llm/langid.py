@@ -109,9 +109,9 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train_shard(model: Model, rows: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarray:
+def train_shard(places: int, classes: int, rows: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarray:
     """Follow the regularised leader over the rows; weights are sparse through L1."""
-    z = np.zeros((BUCKETS + 1, len(model.langs)))
+    z = np.zeros((places, classes))
     n = np.zeros_like(z)
 
     def weights(places: np.ndarray | slice) -> np.ndarray:
@@ -154,7 +154,7 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
                     rows.append((*base.vector(found), base.langs.index(name)))
         if rows:
             order = np.random.default_rng(3).permutation(len(rows))
-            weights = train_shard(base, [rows[i] for i in order]).astype(np.float32)
+            weights = train_shard(BUCKETS + 1, len(base.langs), [rows[i] for i in order]).astype(np.float32)
             yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary()), pa.array([len(rows)])], ["w", "n"])
 
     parts = sample.where("_h % 5 != 0").repartition(SHARDS, F.col("_h")).select("_text", "_lang").mapInArrow(shard, "w binary, n long").collect()

@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from entry_queries.registry import query
-from stratalake.llm import ann, bpe, chat, langid, linedup, mixing, neardup, quality, rules
+from stratalake.llm import ann, bpe, chat, langid, licences, linedup, mixing, neardup, quality, rules
 from stratalake.llm.common import crc_remainder, table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -138,3 +138,16 @@ FROM documents d LEFT JOIN left_over l USING (doc_id)
 def op4_linedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = linedup.line_dedup(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+@query("op5_licences")
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.fit(docs))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
