@@ -82,7 +82,7 @@ class Grams:
     def __init__(self):
         self.known: dict[str, int] = {}
 
-    def places(self, row: list[str]) -> np.ndarray:
+    def hashes(self, row: list[str]) -> np.ndarray:
         if len(self.known) > 500_000:
             self.known.clear()
         h = []
@@ -91,15 +91,32 @@ class Grams:
             if v is None:
                 v = self.known[w] = xxhash.xxh3_64_intdigest(w)
             h.append(v)
-        one = np.array(h, np.uint64)
+        return np.array(h, np.uint64)
+
+    def places(self, row: list[str]) -> list[np.ndarray]:
+        """Places of the one-, two- and three-word runs that begin at each word."""
+        one = self.hashes(row)
         two = one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:]
         three = two[:-1] * np.uint64(0xBF58476D1CE4E5B9) + one[2:]
-        every = np.concatenate([one, two ^ np.uint64(0x5555), three]) * np.uint64(0xD6E8FEB86659FD93)
-        return np.unique(every >> np.uint64(50)).astype(np.int64)
+        mixed = (one, two ^ np.uint64(0x5555), three)
+        return [(x * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(50)).astype(np.int64) for x in mixed]
 
     def vector(self, row: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = self.places(row)
-        return np.append(found, PLACES), np.append(np.full(len(found), 1 / np.sqrt(max(len(found), 1))), 0.3)
+        found, count = np.unique(np.concatenate(self.places(row)), return_counts=True)
+        return np.append(found, PLACES), np.append(count / np.sqrt(max(count.sum(), 1)), 0.3)
+
+    def logits(self, row: list[str], parts: list[tuple[int, int]], weights: np.ndarray) -> np.ndarray:
+        """Logits of several word ranges of one text at once, by running sums."""
+        begin, end = np.array(parts).T
+        total, runs = np.zeros((len(parts), weights.shape[1])), np.zeros(len(parts))
+        for order, places in enumerate(self.places(row)):
+            sums = np.zeros((len(places) + 1, weights.shape[1]))
+            np.cumsum(weights[places], axis=0, out=sums[1:])
+            last = np.maximum(end - order, begin)
+            runs += last - begin
+            begin_, last = np.minimum(begin, len(places)), np.minimum(last, len(places))
+            total += sums[last] - sums[begin_]
+        return total / np.sqrt(np.maximum(runs, 1))[:, None] + 0.3 * weights[PLACES]
 
 
 @dataclass
@@ -110,10 +127,11 @@ class Model:
     bound: float = 0.5
 
 
-def windows(row: list[str]) -> list[list[str]]:
-    if len(row) <= WINDOW:
-        return [row] if row else []
-    return [row[i : i + WINDOW] for i in range(0, len(row) - STEP, STEP)]
+def windows(n: int, start: int = 0) -> list[tuple[int, int]]:
+    """Word ranges of a paragraph of n words."""
+    if n <= WINDOW:
+        return [(start, start + n)] if n else []
+    return [(start + i, start + min(i + WINDOW, n)) for i in range(0, n - STEP, STEP)]
 
 
 def fit(df: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
@@ -123,7 +141,8 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
     total = lines.count()
     bound = int((1 << 30) * min(1.0, FIT_ROWS / max(total, 1)))
     plain = sorted(r[0] for r in lines.where(F.col("_h") < bound).select("_line").collect())  # about FIT_ROWS
-    none = [w for line in plain for w in windows(words(line))[:1] if resemblance(w) < 0.3]
+    rows = [words(line) for line in plain]
+    none = [part for row in rows for i, j in windows(len(row)) if resemblance(part := row[i:j]) < 0.3]
     random = np.random.default_rng(8)
     families = [NONE, *sorted({f for f, _ in NOTICES})]
     rows = [(w, 0) for w in none]
@@ -158,20 +177,24 @@ def scan(df: DataFrame, model: Model, columns: list[str | Column] | None = None,
         known, grams = shared.value, Grams()
 
         def findings(value: str):
-            n, found = 0, []
+            row, parts, owner = [], [], []
             for number, line in enumerate(value.split("\n")):
-                row = words(line)
-                n += bool(row)
-                best: dict[str, float] = {}
-                for part in windows(row):
-                    places, values = grams.vector(part)
-                    p = softmax(values @ known.weights[places] / known.temperature)
-                    top = int(p[1:].argmax()) + 1
-                    family = known.families[top]
-                    if p[top] > known.bound and p[top] > best.get(family, 0) and resemblance(part, family) >= CONFIRM:
-                        best[family] = float(p[top])
-                found += [{"family": f, "paragraph": number, "confidence": c} for f, c in sorted(best.items())]
-            return n, found
+                mine = words(line)
+                cut = windows(len(mine), len(row))
+                row += mine
+                parts += cut
+                owner += [number] * len(cut)
+            if not parts:
+                return 0, []
+            p = softmax(grams.logits(row, parts, known.weights) / known.temperature)
+            tops = p[:, 1:].argmax(axis=1) + 1
+            best: dict[tuple[int, str], float] = {}
+            for i in np.flatnonzero(p[np.arange(len(parts)), tops] > known.bound):
+                family, c = known.families[tops[i]], float(p[i, tops[i]])
+                at = (owner[i], family)
+                if c > best.get(at, 0) and resemblance(row[slice(*parts[i])], family) >= CONFIRM:
+                    best[at] = c
+            return len(set(owner)), [{"family": f, "paragraph": n, "confidence": c} for (n, f), c in sorted(best.items())]
 
         def step(batch: pa.RecordBatch):
             both = [findings(t) for t in texts(batch, "_text")]
