@@ -7,9 +7,10 @@ kept and packed. Classes that share a band key are candidates. Their similarity
 counting equal four-bit fields and correcting for chance equality; only pairs far below the
 threshold (five standard deviations) are left out. The others are confirmed on their full sets.
 
-Buckets are never expanded into all their pairs. First each member is tied to the bucket's
-smallest; pairs within one component need no further look. What is left between components is
-tried best estimate first, then completely, so that no link between components is lost.
+Buckets are never expanded into all their pairs. First each member is tried with the bucket's
+member that shares most buckets; pairs within one component need no further look. What is left
+between components is then tried completely inside a join that yields only confirmed links, so no
+link between components is lost.
 
 Results for special cases: null, empty and blank texts have an empty set and stay alone; rows
 with a null doc_id take their class's component and are never kept; repeated rows get the same
@@ -31,7 +32,6 @@ from stratalake.session import keep
 
 MINIMA, BANDS, BITS = 128, 32, 4
 DEVIATIONS = 5.0
-BEST_ROUNDS = 2  # rounds of one best candidate per document before all the rest are tried
 CHUNK = 2048
 CACHED_WORDS = 500_000
 PACKED = MINIMA * BITS // 64
@@ -182,31 +182,24 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     )
     classes = keep(classes, "classes")
     known = classes.where("_rep is not null")
-    signs = known.select("_rep", "_bits")
     members = known.select("_rep", F.explode("_bands").alias("_band"))
-    shared = members.groupBy("_band").agg(F.min("_rep").alias("_pivot"), F.max("_rep").alias("_last")).where("_pivot < _last")
-    members = keep(members.join(shared.select("_band", "_pivot"), "_band"), "buckets")
-
-    def signed(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.join(signs.select(F.col("_rep").alias("a"), F.col("_bits").alias("_ba")), "a")
-        pairs = pairs.join(signs.select(F.col("_rep").alias("b"), F.col("_bits").alias("_bb")), "b")
-        return pairs.withColumn("_equal", equal_fields(F.col("_ba"), F.col("_bb"))).drop("_ba", "_bb")
-
-    enough = F.col("_equal") >= least_equal(percent / 100)
-    stars = members.where("_pivot < _rep").select(F.col("_pivot").alias("a"), F.col("_rep").alias("b")).distinct()
-    tried = keep(signed(stars).where(enough).select("a", "b"), "tried")
-    links = keep(confirmed(tried, docs, percent, size), "links")
+    shared = members.groupBy("_band").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    members = keep(members.join(shared, "_band"), "buckets")
+    # the pivot of a bucket is the member that shares most buckets: of edited copies, their origin
+    degree = members.groupBy("_rep").agg(F.sum("_n").alias("_degree"))
+    members = members.drop("_n")
+    pivots = members.join(degree, "_rep").groupBy("_band").agg(F.max(F.struct("_degree", (-F.col("_rep")).alias("_m"))).alias("_p"))
+    ends = members.join(pivots.select("_band", (-F.col("_p._m")).alias("_pivot")), "_band").where("_pivot <> _rep")
+    stars = ends.select(F.least("_pivot", "_rep").alias("a"), F.greatest("_pivot", "_rep").alias("b")).distinct()
+    signs = known.select("_rep", "_bits")
+    stars = stars.join(signs.select(F.col("_rep").alias("a"), F.col("_bits").alias("_ba")), "a")
+    stars = stars.join(signs.select(F.col("_rep").alias("b"), F.col("_bits").alias("_bb")), "b")
+    least = least_equal(percent / 100)
+    stars = keep(stars.where(equal_fields(F.col("_ba"), F.col("_bb")) >= least).select("a", "b"), "stars")
+    links = keep(confirmed(stars, docs, percent, size), "links")
     found = keep(components(links), "components")
-    for turn in range(BEST_ROUNDS + 1):
-        left = keep(_between(members, found, signs, enough, tried), "between")
-        if left.isEmpty():
-            break
-        if turn < BEST_ROUNDS:
-            best = [left.groupBy(end).agg(F.max_by(F.struct("a", "b"), "_equal").alias("p")).select("p.*") for end in ("a", "b")]
-            left = keep(best[0].unionByName(best[1]).distinct(), "best")
-        more = keep(confirmed(left.select("a", "b"), docs, percent, size), "links")
-        tried, links = tried.unionByName(left.select("a", "b")), links.unionByName(more)
-        found = keep(components(links), "components")
+    links = links.unionByName(_between(members, known, found, docs, least, percent, size))
+    found = components(links)
     roots = classes.join(found, classes["_rep"] == found["node"], "left").select("_s1", "_s2", F.coalesce("root", "_rep").alias("_root"))
     result = rows.select("_doc", "n_shingles", "_s1", "_s2").join(roots, ["_s1", "_s2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("_root")).otherwise(F.col("_doc"))
@@ -215,16 +208,37 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     )
 
 
-def _between(members: DataFrame, found: DataFrame, signs: DataFrame, enough: Column, tried: DataFrame) -> DataFrame:
-    """Untried pairs of one bucket whose ends are in different components, with their estimate.
+def _between(members: DataFrame, known: DataFrame, found: DataFrame, docs: DataFrame, least: int, percent: int, size: int) -> DataFrame:
+    """All further links ``a``, ``b`` of one bucket between different components.
 
-    Only buckets that hold several components are looked at, and only pairs that pass the
-    estimate leave the join.
+    Only buckets that hold several components are looked at. A first join asks of each member
+    whether any partner of another component passes the estimate; only members with one get
+    their full sets, and a second join yields the confirmed links alone. A pair that shares
+    several buckets is looked at in the first of them.
     """
     placed = members.join(found, members["_rep"] == found["node"], "left").select("_band", "_rep", F.coalesce("root", "_rep").alias("_root"))
     mixed = placed.groupBy("_band").agg(F.min("_root").alias("_r0"), F.max("_root").alias("_r1")).where("_r0 < _r1").select("_band")
-    rows = keep(placed.join(mixed, "_band").join(signs, "_rep"), "mixed")
-    x = rows.select("_band", F.col("_rep").alias("a"), F.col("_root").alias("_ra"), F.col("_bits").alias("_ba"))
-    y = rows.select("_band", F.col("_rep").alias("b"), F.col("_root").alias("_rb"), F.col("_bits").alias("_bb"))
-    pairs = x.join(y, "_band").where("a < b and _ra != _rb").withColumn("_equal", equal_fields(F.col("_ba"), F.col("_bb")))
-    return pairs.where(enough).groupBy("a", "b").agg(F.first("_equal").alias("_equal")).join(tried, ["a", "b"], "left_anti")
+    rows = keep(placed.join(mixed, "_band").join(known.select("_rep", "_bits", "_bands"), "_rep"), "mixed")
+
+    def meet(x: DataFrame, y: DataFrame, ordered: bool) -> Column:
+        apart = (x["_rep"] < y["_rep"]) if ordered else (x["_rep"] != y["_rep"])
+        first = F.get(F.array_intersect(x["_bands"], y["_bands"]), F.lit(0)) == x["_band"]
+        return (x["_band"] == y["_band"]) & apart & (x["_root"] != y["_root"]) & (equal_fields(x["_bits"], y["_bits"]) >= least) & first
+
+    x, y = rows.alias("x"), rows.select(*[F.col(c).alias(f"_y{c}") for c in rows.columns])
+    y = y.toDF(*rows.columns)
+    open_rows = keep(x.join(y, meet(x, y, False), "left_semi").select(*rows.columns), "open")
+    wanted = open_rows.select("_rep").distinct()
+
+    def start():
+        shingles = shingler(size)
+        return lambda batch: {"_set": [shingles(t.as_py()).view(np.int64) for t in batch.column(batch.schema.get_field_index("_text"))]}
+
+    added = T.StructType([T.StructField("_set", T.ArrayType(T.LongType()))])
+    texts = docs.join(wanted, docs["_doc"] == wanted["_rep"], "left_semi").dropDuplicates(["_doc"])
+    sets = keep(map_arrow(texts, ["_doc", "_text"], added, start).select(F.col("_doc").alias("_rep"), "_set"), "sets")
+    x = open_rows.join(sets, "_rep")
+    y = x.toDF(*x.columns)
+    common = F.size(F.array_intersect(x["_set"], y["_set"]))
+    linked = 100 * common >= percent * (F.size(x["_set"]) + F.size(y["_set"]) - common)
+    return keep(x.join(y, meet(x, y, True) & linked).select(x["_rep"].alias("a"), y["_rep"].alias("b")), "links")
