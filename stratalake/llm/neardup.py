@@ -9,7 +9,7 @@ threshold (five standard deviations) are left out. The others are confirmed on t
 
 Buckets are never expanded into all their pairs. First each member is tried with the bucket's
 member that shares most buckets; pairs within one component need no further look. What is left
-between components is then tried completely inside a join that yields only confirmed links, so no
+between components is then tried completely, in blocks that yield only confirmed links, so no
 link between components is lost.
 
 Results for special cases: null, empty and blank texts have an empty set and stay alone; rows
@@ -22,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -33,6 +34,7 @@ from stratalake.session import keep
 MINIMA, BANDS, BITS = 128, 32, 4
 DEVIATIONS = 5.0
 CHUNK = 2048
+BLOCK_ROWS, COLUMNS = 500, 2048
 CACHED_WORDS = 500_000
 PACKED = MINIMA * BITS // 64
 
@@ -213,21 +215,20 @@ def _between(members: DataFrame, known: DataFrame, found: DataFrame, docs: DataF
 
     Only buckets that hold several components are looked at. A first join asks of each member
     whether any partner of another component passes the estimate; only members with one get
-    their full sets, and a second join yields the confirmed links alone. A pair that shares
-    several buckets is looked at in the first of them.
+    their full sets, which then meet in blocks that yield the confirmed links alone. A pair that
+    shares several buckets opens the first of them.
     """
     placed = members.join(found, members["_rep"] == found["node"], "left").select("_band", "_rep", F.coalesce("root", "_rep").alias("_root"))
     mixed = placed.groupBy("_band").agg(F.min("_root").alias("_r0"), F.max("_root").alias("_r1")).where("_r0 < _r1").select("_band")
     rows = keep(placed.join(mixed, "_band").join(known.select("_rep", "_bits", "_bands"), "_rep"), "mixed")
 
-    def meet(x: DataFrame, y: DataFrame, ordered: bool) -> Column:
-        apart = (x["_rep"] < y["_rep"]) if ordered else (x["_rep"] != y["_rep"])
+    def meet(x: DataFrame, y: DataFrame) -> Column:
+        apart = x["_rep"] != y["_rep"]
         first = F.get(F.array_intersect(x["_bands"], y["_bands"]), F.lit(0)) == x["_band"]
         return (x["_band"] == y["_band"]) & apart & (x["_root"] != y["_root"]) & (equal_fields(x["_bits"], y["_bits"]) >= least) & first
 
-    x, y = rows.alias("x"), rows.select(*[F.col(c).alias(f"_y{c}") for c in rows.columns])
-    y = y.toDF(*rows.columns)
-    open_rows = keep(x.join(y, meet(x, y, False), "left_semi").select(*rows.columns), "open")
+    x, y = rows, rows.select(*[F.col(c).alias(f"_y{c}") for c in rows.columns]).toDF(*rows.columns)  # columns of its own
+    open_rows = keep(x.join(y, meet(x, y), "left_semi").select(*rows.columns), "open")
     wanted = open_rows.select("_rep").distinct()
 
     def start():
@@ -237,8 +238,38 @@ def _between(members: DataFrame, known: DataFrame, found: DataFrame, docs: DataF
     added = T.StructType([T.StructField("_set", T.ArrayType(T.LongType()))])
     texts = docs.join(wanted, docs["_doc"] == wanted["_rep"], "left_semi").dropDuplicates(["_doc"])
     sets = keep(map_arrow(texts, ["_doc", "_text"], added, start).select(F.col("_doc").alias("_rep"), "_set"), "sets")
-    x = open_rows.join(sets, "_rep")
-    y = x.toDF(*x.columns)
-    common = F.size(F.array_intersect(x["_set"], y["_set"]))
-    linked = 100 * common >= percent * (F.size(x["_set"]) + F.size(y["_set"]) - common)
-    return keep(x.join(y, meet(x, y, True) & linked).select(x["_rep"].alias("a"), y["_rep"].alias("b")), "links")
+    # members of a bucket meet in blocks: (i, j) holds the rows of its blocks i and j
+    blocks = open_rows.groupBy("_band").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("_n"))
+    own = F.pmod(F.xxhash64("_rep"), F.col("_n"))
+    spread = open_rows.select("_band", "_rep", "_root").join(blocks, "_band").withColumn("_own", own)
+    spread = spread.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    spread = spread.select("_band", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_rep", "_root")
+    parts = spread.join(sets, "_rep").groupBy("_band", "_i", "_j")
+    return keep(parts.applyInPandas(lambda rows: _linked(rows, percent), "a long, b long").distinct(), "links")
+
+
+def _linked(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Confirmed links between different components of one block.
+
+    Intersection sizes are the product of the 0/1 matrix of sets and shared shingles with itself,
+    summed over slices of its columns; whole numbers below 2^24 are exact.
+    """
+    sizes = rows["_set"].map(len).to_numpy()
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
+    _, column, count = np.unique(np.concatenate(rows["_set"].to_numpy()), return_inverse=True, return_counts=True)
+    shared = count > 1
+    place = np.cumsum(shared) - 1
+    use = shared[column]
+    owner, column = owner[use], place[column[use]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((len(rows), len(rows)), np.float32)
+    for start in range(0, int(shared.sum()), COLUMNS):
+        low, high = np.searchsorted(column, [start, start + COLUMNS])
+        cells = np.zeros((len(rows), COLUMNS), np.float32)
+        cells[owner[low:high], column[low:high] - start] = 1
+        common += cells @ cells.T
+    root, rep = rows["_root"].to_numpy(), rows["_rep"].to_numpy()
+    union = sizes[:, None] + sizes[None, :] - common
+    a, b = np.nonzero((100 * common >= percent * union) & (root[:, None] != root[None, :]) & (rep[:, None] < rep[None, :]))
+    return pd.DataFrame({"a": rep[a], "b": rep[b]})
