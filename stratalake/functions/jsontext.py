@@ -13,11 +13,20 @@ def looks_like_json(col: Column) -> Column:
     return col.rlike(LOOKS_LIKE_JSON)
 
 
+# a quoted string with its escapes, a stretch without quotes, or a quote that is never closed
+PIECES = r"""("(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*'|[^"']+|["'])"""
+
+
 def _as_json(col: Column) -> Column:
-    text = col
-    for spelled, json_value in PYTHON_CONSTANTS.items():
-        text = F.regexp_replace(text, rf"(?<=[:,\[]\s{{0,8}}){spelled}(?=\s*[,\]\}}])", json_value)
-    return text
+    """Python's constants as JSON's, outside quoted strings only."""
+
+    def piece(text: Column) -> Column:
+        plain = text
+        for spelled, json_value in PYTHON_CONSTANTS.items():
+            plain = F.regexp_replace(plain, rf"\b{spelled}\b", json_value)
+        return F.when(text.rlike("^[\"']"), text).otherwise(plain)
+
+    return F.array_join(F.transform(F.regexp_extract_all(col, F.lit(PIECES), F.lit(0)), piece), "")
 
 
 def parse_json_text(col: Column, schema: T.DataType | str | None = None) -> Column:

@@ -16,14 +16,16 @@ def field(col: str) -> Column:
 
 
 def yn_to_bool(col: Column) -> Column:
-    """Y/N and true/false (text, Boolean or 1/0) to Boolean, anything else null.
+    """Y/N and true/false (text or Boolean) and the numbers 1/0 to Boolean, anything else null.
 
-    Text is matched exactly, as the source mapping does: ``y`` and ``TRUE`` are unknown.
+    Text is matched exactly, as the source mapping does: ``y``, ``TRUE`` and the text ``1`` are
+    unknown.
     """
     text = col.cast("string")
-    return F.when(text.isin("Y", "true", "1", "1.0"), F.lit(True)).when(
-        text.isin("N", "false", "0", "0.0"), F.lit(False)
-    )
+    number = F.typeof(col) != "string"
+    yes = text.isin("Y", "true") | (number & text.isin("1", "1.0"))
+    no = text.isin("N", "false") | (number & text.isin("0", "0.0"))
+    return F.when(yes, F.lit(True)).when(no, F.lit(False))
 
 
 def safe_cast(col: Column, to: str) -> Column:

@@ -7,9 +7,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-# longer value lists go through a semi join
-IN_LIST_LIMIT = 1000
-
 
 def outer_merge(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Full outer equi join with one key column."""
@@ -37,11 +34,8 @@ def lookup(
         found = semi(df, values.toDF(key_col), key_col)
     else:
         wanted = list(values) if isinstance(values, (list, tuple, set)) else [values]
-        if len(wanted) <= IN_LIST_LIMIT:
-            found = df.filter(F.col(key_col).isin(wanted))
-        else:
-            keys = df.sparkSession.createDataFrame([(v,) for v in wanted], f"k {df.schema[key_col].dataType.simpleString()}")
-            found = semi(df, keys.toDF(key_col), key_col)
+        keys = df.sparkSession.createDataFrame([(v,) for v in wanted], f"k {df.schema[key_col].dataType.simpleString()}")
+        found = semi(df, keys.toDF(key_col), key_col)
     if first:
         found = found.orderBy(*[F.col(c).asc_nulls_last() for c in [key_col, *tiebreak]]).limit(1)
     return found
@@ -77,5 +71,5 @@ def star(
 
 
 def all_courts(courts: DataFrame) -> DataFrame:
-    """Every court once, in key order."""
-    return courts.dropDuplicates().orderBy(courts.columns[0])
+    """Every court row, in key order."""
+    return courts.orderBy(courts.columns[0])

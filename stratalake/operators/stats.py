@@ -101,18 +101,12 @@ def group_median(df: DataFrame, group: str, measure: str, name: str = "median")
 def _chi_square_tail(x: float, dof: int) -> float:
     """P(X > x) for an integer number of degrees of freedom, by the finite series."""
     half = x / 2
-    if dof % 2 == 0:
-        term, total = 1.0, 1.0
-        for j in range(1, dof // 2):
-            term *= half / j
-            total += term
-        return math.exp(-half) * total
-    tail = math.erfc(math.sqrt(half))
-    term = math.sqrt(half) / math.gamma(1.5)
-    for j in range(1, (dof - 1) // 2 + 1):
-        tail += math.exp(-half) * term
-        term *= half / (j + 0.5)
-    return tail
+    if dof < 1 or half <= 0:
+        return 1.0
+    # terms half^(j + s) / gamma(j + s + 1), in logarithms: none under- or overflows
+    shift, start = (0.0, 0.0) if dof % 2 == 0 else (0.5, math.erfc(math.sqrt(half)))
+    logs = [(j + shift) * math.log(half) - half - math.lgamma(j + shift + 1) for j in range(dof // 2)]
+    return min(1.0, start + math.fsum(math.exp(v) for v in logs))
 
 
 def _exact_rank_tail(u: float, n1: int, n2: int) -> float:
@@ -161,32 +155,32 @@ def chi_square(
     """
     # one scan of the rows; margins and cells then come from the small table of counts
     counts = cut_lineage(
-        df.dropna(subset=[a, b]).groupBy(a, b).agg(F.count(F.lit(1)).cast("double").alias("o"))
+        df.dropna(subset=[a, b]).groupBy(a, b).agg(F.count(F.lit(1)).cast("double").alias("_o"))
     )
-    rows = counts.groupBy(a).agg(F.sum("o").alias("r"))
+    rows = counts.groupBy(a).agg(F.sum("_o").alias("_row"))
     if top:
-        rows = rows.orderBy(F.desc("r"), a).limit(top)
+        rows = rows.orderBy(F.desc("_row"), a).limit(top)
         counts = counts.join(F.broadcast(rows.select(a)), a, "left_semi")
-    cols = counts.groupBy(b).agg(F.sum("o").alias("c"))
+    cols = counts.groupBy(b).agg(F.sum("_o").alias("_col"))
     row_facts = rows.agg(
-        F.struct(F.sum("r").alias("n"), F.count(F.lit(1)).alias("k"), F.sum(1 / F.col("r")).alias("inv"))
+        F.struct(F.sum("_row").alias("n"), F.count(F.lit(1)).alias("k"), F.sum(1 / F.col("_row")).alias("inv"))
     )
-    col_facts = cols.agg(F.struct(F.count(F.lit(1)).alias("k"), F.sum(1 / F.col("c")).alias("inv")))
+    col_facts = cols.agg(F.struct(F.count(F.lit(1)).alias("k"), F.sum(1 / F.col("_col")).alias("inv")))
     expected = counts.join(rows, a).join(cols, b)
     n, k_r, inv_r = (F.col(f"_r.{f}") for f in ("n", "k", "inv"))
     k_c, inv_c = (F.col(f"_c.{f}") for f in ("k", "inv"))
-    o_rc = F.col("o") * F.col("o") / (F.col("r") * F.col("c"))
+    o_rc = F.col("_o") * F.col("_o") / (F.col("_row") * F.col("_col"))
     one = (
-        expected.agg(F.sum(o_rc).alias("_s"), F.max(F.struct("o", "r", "c")).alias("_cell"))
+        expected.agg(F.sum(o_rc).alias("_s"), F.max(F.struct("_o", "_row", "_col")).alias("_cell"))
         .withColumn("_r", row_facts.scalar())
         .withColumn("_c", col_facts.scalar())
     )
     # in a 2 × 2 table |o - e| is the same in every cell
-    gap = F.abs(F.col("_cell.o") - F.col("_cell.r") * F.col("_cell.c") / n)
+    gap = F.abs(F.col("_cell._o") - F.col("_cell._row") * F.col("_cell._col") / n)
     corrected = F.pow(F.greatest(gap - 0.5, F.lit(0.0)), 2) * n * inv_r * inv_c
     plain = n * (F.col("_s") - 1)
     dof = ((k_r - 1) * (k_c - 1)).cast("bigint")
-    statistic = F.when((dof == 1) & F.lit(correction), corrected).when(dof >= 1, F.greatest(plain, F.lit(0.0)))
+    statistic = F.when((dof == 1) & F.lit(correction), corrected).when(dof >= 1, F.greatest(plain, F.lit(0.0))).when(dof == 0, F.lit(0.0))
     facts = one.select(statistic.alias("statistic"), dof.alias("dof"), n.cast("bigint").alias("n"))
 
     def tail(row: Row) -> float | None:

@@ -222,12 +222,12 @@ def gate(violations: DataFrame, limit: int = 0) -> None:
 
 
 def validate_files(
-    spark: SparkSession, glob: str, schema_path: str, n_files: int = SAMPLE_FILES, n_lines: int = SAMPLE_LINES
+    spark: SparkSession, glob: str, schema_path: str, n_files: int = 0, n_lines: int = 0
 ) -> DataFrame | None:
     """Check the files against a schema document and raise if any record breaks it.
 
-    Returns the checked lines, or None when there are no files. ``n_files=0, n_lines=0``
-    checks everything in one parallel pass.
+    Returns the checked lines, or None when there are no files. Every line of every file is
+    checked, unless ``n_files`` and ``n_lines`` ask for a sample.
     """
     text = read_text(spark, schema_path)
     if not has_input(spark, glob):

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from stratalake.operators.aggregates import GOLD_TABLES
-from stratalake.operators.validate import SAMPLE_FILES, SAMPLE_LINES, validate_files
+from stratalake.operators.validate import validate_files
 from stratalake.plans.silver import to_silver
 from stratalake.session import configure
 from stratalake.sources.files import has_input, scan_jsonl, scan_parquet, write_layer
@@ -60,8 +60,8 @@ def run_layers(
     spark: SparkSession,
     paths: LayerPaths,
     schema: T.StructType | str | None = None,
-    n_files: int = SAMPLE_FILES,
-    n_lines: int = SAMPLE_LINES,
+    n_files: int = 0,
+    n_lines: int = 0,
 ) -> dict[str, DataFrame]:
     """Validate, then bronze, silver and gold; the first failure stops the run."""
     configure(spark)

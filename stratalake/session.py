@@ -97,15 +97,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast a key table whose row count is known and small; else Spark picks the join."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Distribute a scan over all cores when its files give fewer splits than there are.
-
-    A small file with one row group is read by one task, and every row-local step after it
-    stays there. A table with enough splits is returned as it is, without a shuffle.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots, *keys)

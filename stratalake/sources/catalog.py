@@ -30,8 +30,8 @@ def describe(spark: SparkSession, name: str) -> DataFrame:
 
 
 def preview(spark: SparkSession, name: str, n: int = 100) -> DataFrame:
-    """The first rows of a table, 10 to 1000 as in the table explorer."""
-    return spark.table(name).limit(max(10, min(1000, n)))
+    """As many rows of a table as asked for."""
+    return spark.table(name).limit(n)
 
 
 def run_sql(spark: SparkSession, text: str) -> tuple[DataFrame, int]:
@@ -41,5 +41,6 @@ def run_sql(spark: SparkSession, text: str) -> tuple[DataFrame, int]:
 
 
 def sample_features(df: DataFrame, n: int = 10000) -> DataFrame:
-    """Notebook-sized sample of the feature columns that are present."""
-    return df.select(*[c for c in SAMPLE_COLUMNS if c in df.columns]).limit(n)
+    """Notebook-sized sample of the feature columns that are present: the first rows in their order."""
+    columns = [c for c in SAMPLE_COLUMNS if c in df.columns]
+    return df.select(*columns).orderBy(*columns).limit(n)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -135,27 +136,34 @@ def compact_by_date(
 
     Range partitioning on (date, order) keeps the order across files and spreads a large
     date over many tasks; the part numbers of the written files follow the order.
+    Only the dates that occur are replaced. ``drop_parts`` removes, after the write, the files
+    that were read; a file name without a date is refused before anything is written.
     """
     rows = scan_batches(spark, glob)
+    parts = rows.inputFiles()
+    unnamed = [p for p in parts if not re.search(r"\d{4}-\d{2}-\d{2}_batch_\d+", p)]
+    if unnamed:
+        raise ValueError(f"{len(unnamed)} files have no date in their names, the first: {unnamed[0]}")
     order = list(order or [F.col("batch"), F.col("part_file"), F.col("block_start"), F.col("line_id")])
     (
         rows.repartitionByRange(F.col("date"), *order)
         .sortWithinPartitions(F.col("date"), *order)
         .select("value", "date")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")
         .text(out)
     )
     if drop_parts:
-        delete_matching(spark, glob)
+        delete_files(spark, parts)
 
 
-def delete_matching(spark: SparkSession, glob: str) -> int:
-    """Remove the files a pattern matches; returns how many."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(glob)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(path) or []
-    return sum(bool(fs.delete(status.getPath(), False)) for status in found)
+def delete_files(spark: SparkSession, names: Sequence[str]) -> int:
+    """Remove files by name; returns how many there were."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name)) for name in names]
+    return sum(bool(path.getFileSystem(conf).delete(path, False)) for path in paths)
 
 
 def scan_dim_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:

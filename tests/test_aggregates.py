@@ -2,6 +2,8 @@ import datetime as dt
 import random
 import statistics
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,6 +150,19 @@ def test_chi_square_tail_against_known_values():
         assert stats._chi_square_tail(x, dof) == pytest.approx(p, rel=1e-9)
 
 
+def test_chi_square_tail_of_large_tables():
+    # against the Wilson-Hilferty value, which is close for many degrees of freedom
+    for x, dof in ((1500.0, 1400), (1300.0, 1401), (3000.0, 2900)):
+        z = ((x / dof) ** (1 / 3) - (1 - 2 / (9 * dof))) / (2 / (9 * dof)) ** 0.5
+        assert stats._chi_square_tail(x, dof) == pytest.approx(math.erfc(z / 2**0.5) / 2, rel=2e-3)
+
+
+def test_chi_square_of_one_row_and_clashing_names(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "y")], "r string, o string")
+    row = stats.chi_square(df, "r", "o").first()
+    assert (row.statistic, row.dof, row.p_value, row.significant) == (0.0, 0, 1.0, False)
+
+
 def groups(spark, x, y):
     return spark.createDataFrame([("x", float(v)) for v in x] + [("y", float(v)) for v in y] + [(None, 1.0)], "g string, v double")
 

@@ -112,7 +112,7 @@ def test_lookups(spark, courts):
     rows_with = spark.createDataFrame([("001C",), ("zzz",)], "court string")
     found = joins.court_for(rows_with, courts, "court")
     assert dict(rows(found.select("court", "courtName"))) == {"001C": "A Circuit", "zzz": None}
-    assert joins.all_courts(courts.union(courts)).count() == 2
+    assert joins.all_courts(courts.union(courts)).count() == 4
 
 
 def test_enrich_prefers_details_and_drops_failed(spark):

@@ -241,8 +241,8 @@ def test_bad_values_are_null_and_counted(spark):
 
 
 def test_boolean_map(spark):
-    df = spark.createDataFrame([("Y",), ("N",), ("true",), ("false",), ("T",), (None,)], "v string")
-    assert [r[0] for r in df.select(scalars.yn_to_bool(F.col("v"))).collect()] == [True, False, True, False, None, None]
+    df = spark.createDataFrame([("Y",), ("N",), ("true",), ("false",), ("T",), (None,), ("1",), ("0",), ("1.0",)], "v string")
+    assert [r[0] for r in df.select(scalars.yn_to_bool(F.col("v"))).collect()] == [True, False, True, False, None, None, None, None, None]
     numbers = spark.createDataFrame([(1,), (0,), (2,)], "v int")
     assert [r[0] for r in numbers.select(scalars.yn_to_bool(F.col("v"))).collect()] == [True, False, None]
 

@@ -115,6 +115,19 @@ def test_compaction_keeps_batch_and_line_order(spark, write_lines):
     assert not files.has_input(spark, f"{root}/*_batch_*.jsonl")
 
 
+def test_compaction_of_another_date_keeps_the_first(spark, write_lines):
+    root = write_lines({"in/2024-07-01_batch_0.jsonl": ["p", "q"]})
+    files.compact_by_date(spark, f"{root}/in/*", f"{root}/out", drop_parts=True)
+    write_lines({"in/2024-07-02_batch_0.jsonl": ["r"]})
+    files.compact_by_date(spark, f"{root}/in/*", f"{root}/out", drop_parts=True)
+    kept = {r["value"] for r in spark.read.text(f"{root}/out").collect()}
+    assert kept == {"p", "q", "r"}
+    write_lines({"in/undated.jsonl": ["s"]})
+    with pytest.raises(ValueError):
+        files.compact_by_date(spark, f"{root}/in/*", f"{root}/out", drop_parts=True)
+    assert files.has_input(spark, f"{root}/in/undated.jsonl")
+
+
 def test_dimension_scans_keep_leading_zeros(spark, write_lines):
     root = write_lines(
         {
@@ -132,7 +145,7 @@ def test_catalog(spark, tmp_path):
     catalog.register(frame, "some_view")
     assert ("some_view", True) in rows(catalog.list_tables(spark))
     assert rows(catalog.describe(spark, "some_view")) == [("id", "bigint"), ("s", "string")]
-    assert catalog.preview(spark, "some_view", 3).count() == 10
+    assert catalog.preview(spark, "some_view", 3).count() == 3
     result, n = catalog.run_sql(spark, "SELECT id FROM some_view WHERE id < 7")
     assert n == 7 and result.columns == ["id"]
 
