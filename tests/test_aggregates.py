@@ -19,8 +19,8 @@ disposition struct<dispositionInfo: struct<dispositionText: string>>"""
 def silver(spark):
     return spark.createDataFrame(
         [
-            ("Albemarle", "CR001", "Grand Larceny", dt.date(2024, 1, 10), dt.datetime(2024, 1, 15, 9), (((150.0,),),), (("Guilty",),)),
-            ("Albemarle", "CR002", "Speeding", dt.date(2024, 1, 11), dt.datetime(2024, 1, 16, 10), (((50.0,),),), (("Guilty",),)),
+            ("Norwick", "TR24-0417", "Driving suspended", dt.date(2024, 1, 8), dt.datetime(2024, 1, 15, 9), (((80.0,),),), (("Fined",),)),
+            ("Norwick", "TR24-0552", "Trespass", dt.date(2024, 1, 6), dt.datetime(2024, 1, 16, 10), (((130.0,),),), (("Fined",),)),
         ],
         GOLD,
     )
@@ -29,11 +29,11 @@ def silver(spark):
 def test_gold_tables(silver):
     got = {name: rows(build(silver)) for name, build in agg.GOLD_TABLES.items()}
     assert len(got) == 6
-    assert got["monthly_locality_summary"] == [("Albemarle", dt.datetime(2024, 1, 1), 2, 100.0, 2)]
-    assert sorted(got["charge_outcome_profile"]) == [("Grand Larceny", "Guilty", 1), ("Speeding", "Guilty", 1)]
-    assert got["locality_efficiency"] == [("Albemarle", 5.0)]
+    assert got["monthly_locality_summary"] == [("Norwick", dt.datetime(2024, 1, 1), 2, 105.0, 2)]
+    assert sorted(got["charge_outcome_profile"]) == [("Driving suspended", "Fined", 1), ("Trespass", "Fined", 1)]
+    assert got["locality_efficiency"] == [("Norwick", 8.5)]
     assert got["day_of_week_summary"] == [("Monday", 1, 1), ("Tuesday", 2, 1)]
-    assert got["disposition_summary"] == [("Guilty", 2)]
+    assert got["disposition_summary"] == [("Fined", 2)]
     assert got["hearings_per_case_distribution"] == [(1, 2)]
 
 

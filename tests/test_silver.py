@@ -8,8 +8,8 @@ from stratalake.operators import normalize
 from stratalake.plans import silver
 from tests.conftest import rows
 
-JOHN = "6cea57c2fb6cbc2a40411135005760f241fffc3e5e67ab99882726431037f908"
-JANE = "a2dd3acadb1c9dcd956216993056a7f50a9db6e3a16c60b35482139b5349c288"
+OLA = "bdc03ffd3f7457902835438a837a90c4ea6d18da79799c54ec4441b406e97c08"
+MIRA = "1b89800b7bbe4e7808400fcad898ee18720abea616a70a4a6bd9447132afa308"
 BRONZE = """
 qualifiedFips string, courtLevel string, divisionType string, caseNumber string,
 formattedCaseNumber string, name string, offenseDate string, chargeAmended string,
@@ -21,25 +21,25 @@ financialInformation string, caseHearing string, disposition string, source_file
 """
 
 
-def bronze_row(name="John Doe", people=(((("Jane Smith",),), "WIT", ("W", "F")),), number="CR001", source="a"):
+def bronze_row(name="Ola Brandt", people=(((("Mira Kessel",),), "PLT", ("A", "M")),), number="TR24-0417", source="a"):
     return (
-        "003G", "G", "C", number, "CR-001", name, "01/10/2024", "N", "18.2-95", "Grand Larceny", "F",
-        "01/15/2024, 09:00 AM", ("Albemarle",), list(people) if people is not None else None, None, None, None, source,
+        "117D", "D", "T", number, "TR-24-417", name, "11/28/2023", "N", "46.2-301", "Driving suspended", "M",
+        "02/06/2024, 01:45 PM", ("Norwick",), list(people) if people is not None else None, None, None, None, source,
     )
 
 
 def test_silver_keeps_one_hashed_typed_row(spark):
-    bronze = spark.createDataFrame([bronze_row(), bronze_row("John Doe Duplicate", ())], BRONZE)
+    bronze = spark.createDataFrame([bronze_row(), bronze_row("Zoe Brandt", ())], BRONZE)
     out = silver.to_silver(bronze, tiebreak=[F.col("name").asc()])
     assert len(out.columns) == 18
     (row,) = out.collect()
-    assert row.defendant_name_hash == JOHN
-    assert row.offense_date == dt.date(2024, 1, 10)
-    assert row.hearing_timestamp == dt.datetime(2024, 1, 15, 9)
+    assert row.defendant_name_hash == OLA
+    assert row.offense_date == dt.date(2023, 11, 28)
+    assert row.hearing_timestamp == dt.datetime(2024, 2, 6, 13, 45)
     assert dict(out.dtypes)["hearing_timestamp"] == "timestamp_ntz"
-    assert row.locality_name == "Albemarle" and row.anonymization_method == "hashed_sha256"
+    assert row.locality_name == "Norwick" and row.anonymization_method == "hashed_sha256"
     (person,) = row.participants_anonymized
-    assert tuple(person) == (JANE, "WIT", "W", "F")
+    assert tuple(person) == (MIRA, "PLT", "A", "M")
 
 
 def test_later_source_wins_and_null_keys_are_equal(spark):
