@@ -8,7 +8,7 @@ offers only the shortest prefix of that order that must meet the prefix of every
 Pairs that meet pass a length filter and a positional filter; the rest are verified on full sets.
 
 Lines that meet in a token are numbered in their order. Each line is first tried against the
-first line of each of its tokens, those without a match against the following ones, eight times as
+first line of each of its tokens, those without a match against the following ones, 64 times as
 many each round, until none has an untried earlier line. So a line that thousands share costs
 one pair per copy, and no match is lost.
 
@@ -21,12 +21,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stratalake.llm.common import word_array
 from stratalake.session import keep
 
 SIZE, PERCENT = 5, 75
 PLACES = 1 << 15  # hash places of word counts
-GROWTH = 8  # of the number of earlier lines tried per round
+GROWTH = 64  # of the number of earlier lines tried per round
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -35,20 +34,43 @@ def hold(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
+def lowered(line: Column) -> Column:
+    """A-Z lower-cased; ``lower`` does the same on ASCII text, at a fraction of the time."""
+    return F.when(F.length(line) == F.octet_length(line), F.lower(line)).otherwise(F.translate(line, UPPER, LOWER))
+
+
+def line_words(line: Column) -> Column:
+    """The words of one line, split at single blanks."""
+    for blank in "\t\v\f\r":
+        line = F.replace(line, F.lit(blank), F.lit(" "))
+    return F.array_remove(F.split(line, " "), "")
+
+
 def split_lines(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``_doc``, ``_no``, ``_w``: the lines with a word, as arrays of lower-cased words."""
-    rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("_doc"), F.posexplode(F.split(F.translate(F.col(text).cast("string"), UPPER, LOWER), "\n")).alias("_no", "_line"))
-    return rows.select("_doc", "_no", hold(word_array(F.col("_line"))).alias("_w")).where(F.size("_w") > 0)
+    """``_doc``, ``_no``, ``_line``: all lines, A-Z lower-cased."""
+    rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("_doc"), F.posexplode(F.split(F.col(text).cast("string"), "\n")).alias("_no", "_line"))
+    return rows.select("_doc", "_no", lowered(F.col("_line")).alias("_line"))
+
+
+def hashed(lines: DataFrame) -> DataFrame:
+    """``_doc``, ``_no``, ``_h``: the lines with a word, as arrays of word hashes."""
+    rows = lines.select("_doc", "_no", hold(line_words(F.col("_line"))).alias("_w")).where(F.size("_w") > 0)
+    return rows.select("_doc", "_no", hold(F.transform("_w", lambda w: F.xxhash64(w))).alias("_h"))
+
+
+def shingle(hashes: str, i: Column) -> Column:
+    """Hash of the words from place ``i`` on; places behind the end are null and count for nothing."""
+    return F.xxhash64(*[F.get(hashes, i + j) for j in range(SIZE)])
 
 
-def shingles(words: str) -> Column:
-    """All shingle hashes of a word array, with repeats."""
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - (SIZE - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, SIZE)))
+def shingles(hashes: str) -> Column:
+    """All shingle hashes of a line, with repeats."""
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.size(hashes) - SIZE, F.lit(0))), lambda i: shingle(hashes, i))
 
 
-def word_places(lines: DataFrame) -> list[int]:
+def word_places(words: DataFrame) -> list[int]:
     """How often each hash place of words occurs; its size is fixed."""
-    counted = lines.select(F.explode(F.transform("_w", lambda w: F.xxhash64(w).bitwiseAND(PLACES - 1))).alias("p")).groupBy("p").count().collect()
+    counted = words.select(F.explode("_h").alias("_word")).select(F.col("_word").bitwiseAND(PLACES - 1).alias("p")).groupBy("p").count().collect()
     found = [0] * PLACES
     for place, n in counted:
         found[place] = n
@@ -58,27 +80,28 @@ def word_places(lines: DataFrame) -> list[int]:
 def earlier_matches(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``_doc``, ``_no`` of every line that an earlier line matches."""
     lines = split_lines(df, key, text)
-    counts = word_places(lines)
+    words = hashed(lines)
+    counts = word_places(words)
     ranks = {n: i for i, n in enumerate(sorted(set(counts)))}
     table = F.split(F.lit(",".join(str(ranks[n]) for n in counts)), ",").cast("array<int>")  # folded to one literal
-    keyed = lines.select("_doc", "_no", "_w", hold(F.transform("_w", lambda w: F.xxhash64(w))).alias("_h"))
-    size = F.greatest(F.size("_w") - (SIZE - 1), F.lit(1))
+    size = F.greatest(F.size("_h") - (SIZE - 1), F.lit(1))
     # rank of the word's place above, its hash below: one order for all lines
     keys = F.transform(F.slice("_h", 1, size), lambda h: F.shiftleft(F.get(table, h.bitwiseAND(PLACES - 1).cast("int")).cast("long"), 44).bitwiseOR(F.shiftrightunsigned(h, 20)))
-    keyed = keyed.select("_doc", "_no", "_w", size.alias("_n"), hold(keys).alias("_k"))
-    keyed = keyed.select("_doc", "_no", "_w", "_n", "_k", hold(F.sort_array(F.array_distinct("_k"))).alias("_sorted"))
+    keyed = words.select("_doc", "_no", "_h", size.alias("_n"), hold(keys).alias("_k"))
+    keyed = keyed.select("_doc", "_no", "_h", "_n", "_k", hold(F.sort_array(F.array_distinct("_k"))).alias("_sorted"))
     length = F.col("_n") - F.ceil(F.col("_n") * PERCENT / 100).cast("int") + 1
-    keyed = keyed.select("_doc", "_no", "_w", "_n", "_k", "_sorted", F.size("_sorted").alias("_m"), hold(F.get("_sorted", F.least(length, F.size("_sorted")) - 1)).alias("_last"))
-    chosen = F.filter(F.sequence(F.lit(1), F.col("_n")), lambda i: F.get("_k", i - 1) <= F.col("_last"))
-    tokens = F.transform(chosen, lambda i: F.struct(F.xxhash64(F.slice("_w", i, SIZE)).alias("t"), F.get("_k", i - 1).alias("k")))
-    rows = keyed.select("_doc", "_no", "_n", "_m", "_sorted", F.explode(F.array_distinct(tokens)).alias("_t"))
-    rows = rows.select(F.col("_t.t").alias("_token"), "_doc", "_no", "_n", "_m", (F.array_position("_sorted", F.col("_t.k")) - 1).cast("int").alias("_pos"))
+    keyed = keyed.select("_doc", "_no", "_h", "_n", "_k", "_sorted", F.size("_sorted").alias("_m"), F.get("_sorted", F.least(length, F.size("_sorted")) - 1).alias("_last"))
+    rows = keyed.select("_doc", "_no", "_h", "_n", "_m", "_sorted", "_last", F.posexplode("_k").alias("_i", "_key")).where("_key <= _last")
+    rows = rows.select(shingle("_h", F.col("_i")).alias("_token"), "_doc", "_no", "_n", "_m", (F.array_position("_sorted", F.col("_key")) - 1).cast("int").alias("_pos"))
 
     line = ["_doc", "_no"]
     order = Window.partitionBy("_token").orderBy(*line)
     me = F.struct(*line, "_n", "_m", "_pos")
+    again = (F.lag("_doc").over(order) == F.col("_doc")) & (F.lag("_no").over(order) == F.col("_no"))  # a shingle that its line repeats
+    rows = rows.withColumn("_again", again).where(~F.coalesce("_again", F.lit(False))).drop("_again")
     met = rows.withColumns({"_rn": F.row_number().over(order), "_next": F.lead("_doc").over(order), "_pivot": F.first(me).over(order)})
     met = keep(met.where((F.col("_rn") > 1) | F.col("_next").isNotNull()).drop("_next"), "met")
+    lines = keep(lines.join(met.select(*line).distinct(), line, "left_semi"), "lines")  # read in each round
 
     def close(x: str, y: str) -> Column:
         """Length and positional filter for two tokens' lines, from bounds of their set sizes."""
@@ -95,7 +118,7 @@ def earlier_matches(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     matched, low, high = None, 1, 1
     while True:
         pairs = pairs.where(close("x", "y") & ~((F.col("x_d") == F.col("y_d")) & (F.col("x_l") == F.col("y_l"))))
-        found = keep(verified(pairs.select(*ends).distinct(), lines), "matched")
+        found = keep(verified(keep(pairs.select(*ends).distinct(), "pairs"), lines), "matched")
         matched = found if matched is None else matched.unionByName(found)
         low, high = high + 1, high * GROWTH
         open_rows = met.where(F.col("_rn") > low).join(matched, line, "left_anti")
@@ -109,7 +132,7 @@ def earlier_matches(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
 def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """Distinct later lines of the pairs whose full sets are similar."""
     both = pairs.select(F.explode(F.array(F.struct(F.col("x_d").alias("_doc"), F.col("x_l").alias("_no")), F.struct(F.col("y_d").alias("_doc"), F.col("y_l").alias("_no")))).alias("e")).select("e.*").distinct()
-    words = lines.join(both, ["_doc", "_no"], "left_semi").select("_doc", "_no", F.array_distinct(shingles("_w")).alias("_s")).dropDuplicates(["_doc", "_no"])
+    words = hashed(lines.join(both, ["_doc", "_no"], "left_semi")).select("_doc", "_no", F.array_distinct(shingles("_h")).alias("_s")).dropDuplicates(["_doc", "_no"])
     pairs = pairs.join(words.select(F.col("_doc").alias("x_d"), F.col("_no").alias("x_l"), F.col("_s").alias("_sx")), ["x_d", "x_l"])
     pairs = pairs.join(words.select(F.col("_doc").alias("y_d"), F.col("_no").alias("y_l"), F.col("_s").alias("_sy")), ["y_d", "y_l"])
     common = F.size(F.array_intersect("_sx", "_sy"))
