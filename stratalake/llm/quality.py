@@ -13,6 +13,7 @@ null labels left out; without any label every score is 0.5. Other columns are no
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,13 +51,12 @@ def statistics(text: str) -> list[float]:
     words = text.encode("utf-8", "surrogatepass").split()
     n = max(len(words), 1)
     lengths = np.fromiter(map(len, words), np.int64, len(words)) if words else np.zeros(1, np.int64)
-    counts: dict[bytes, int] = {}
-    for w in words:
-        counts[w] = counts.get(w, 0) + 1
+    counts = Counter(words)
     pairs = len(set(zip(words, words[1:])))
     lines = [x for x in text.split("\n") if x.strip()]
-    ends = sum(w[-1:] in b".!?" for w in words)
-    odd = sum(w[-1:] in b"#*$%&|<>!" for w in words)
+    ends = sum(c for w, c in counts.items() if w[-1:] in b".!?")
+    odd = sum(c for w, c in counts.items() if w[-1:] in b"#*$%&|<>!")
+    capital = sum(c for w, c in counts.items() if w[:1].isupper())
     return [
         np.log1p(len(words)),
         float(lengths.mean()),
@@ -75,7 +75,7 @@ def statistics(text: str) -> list[float]:
         np.log1p(len(words) / max(len(lines), 1)),
         ends / n,
         odd / n,
-        sum(w[:1].isupper() for w in words) / n,
+        capital / n,
         float((lengths == 1).mean()),
         float((lengths > 15).mean()),
     ]
@@ -156,11 +156,15 @@ def described(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
     """Learn from the labelled rows of ``df`` that are not held out."""
+    return fit_described(described(df.where(crc_remainder(F.col(key), 5) != 0), key, text), labels, key, label)
+
+
+def fit_described(stats: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality") -> Model:
+    """The same from a table that ``described`` made."""
     width = len(statistics(""))
     goal = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.avg(label).alias("_y"))
     goal = goal.where(crc_remainder(F.col(key), 5) != 0)
-    learn = df.where(crc_remainder(F.col(key), 5) != 0)
-    rows = described(learn, key, text).join(goal, key)
+    rows = stats.where(crc_remainder(F.col(key), 5) != 0).join(goal, key)
     rows = keep(rows.select("_x", "_y", F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)).alias("_h")), "labelled")
     count = rows.count()
     if not count:
@@ -205,3 +209,14 @@ def score(df: DataFrame, model: Model, text: str = "text", columns: list[str | C
 
     added = T.StructType([T.StructField("score", T.DoubleType())])
     return map_arrow(df, [*(columns or ["doc_id"]), F.col(text).cast("string").alias("_text")], added, start).drop("_text")
+
+
+def score_described(stats: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
+    """``key`` and ``score`` from a table that ``described`` made."""
+    shared = stats.sparkSession.sparkContext.broadcast(model)
+
+    def start():
+        known = shared.value
+        return lambda batch: {"score": known.score(batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1))}
+
+    return map_arrow(stats, [key, "_x"], T.StructType([T.StructField("score", T.DoubleType())]), start).drop("_x")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from entry_queries.registry import query
 from stratalake.llm import ann, bpe, chat, langid, licences, linedup, mixing, neardup, quality, rules
 from stratalake.llm.common import crc_remainder, table
+from stratalake.session import keep
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -41,8 +42,8 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_quality")
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    stats = keep(quality.described(table(spark, sf_dir, "documents"), "doc_id", "text"), "statistics")  # each text is read once
+    scored = quality.score_described(stats, quality.fit_described(stats, table(spark, sf_dir, "labels")))
     held_out = crc_remainder(F.col("doc_id"), 5) == 0
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
 
