@@ -54,9 +54,14 @@ def statistics(text: str) -> list[float]:
     counts = Counter(words)
     pairs = len(set(zip(words, words[1:])))
     lines = [x for x in text.split("\n") if x.strip()]
-    ends = sum(c for w, c in counts.items() if w[-1:] in b".!?")
-    odd = sum(c for w, c in counts.items() if w[-1:] in b"#*$%&|<>!")
-    capital = sum(c for w, c in counts.items() if w[:1].isupper())
+    ends = odd = capital = 0
+    if words:
+        joined = np.frombuffer(b" ".join(words), np.uint8)
+        after = np.cumsum(lengths + 1)
+        last = np.bincount(joined[after - 2], minlength=256)
+        first = np.bincount(joined[after - lengths - 1], minlength=256)
+        ends, odd = (sum(int(last[ord(c)]) for c in marks) for marks in (".!?", SYMBOLS + "!"))
+        capital = int(first[65:91].sum())
     return [
         np.log1p(len(words)),
         float(lengths.mean()),
