@@ -145,8 +145,9 @@ def _sums(rows: DataFrame, columns: list[str], part) -> list[np.ndarray]:
 
     shapes = part(np.zeros((1, len(statistics("")))), np.zeros(1))
     schema = T.StructType([T.StructField(f"s{i}", T.ArrayType(T.DoubleType())) for i in range(len(shapes))])
-    found = rows.select(*columns).mapInArrow(run, schema).collect()  # one row per fit task
-    return [sum(np.array(r[i]) for r in found).reshape(s.shape) if found else s * 0 for i, s in enumerate(shapes)]
+    found = rows.select(*columns).mapInArrow(run, schema).toArrow()  # one row per fit task
+    sums = [found.column(i).combine_chunks().flatten().to_numpy().reshape(-1, zero.size).sum(0) for i, zero in enumerate(shapes)]
+    return [total.reshape(zero.shape) for total, zero in zip(sums, shapes)]
 
 
 def described(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -175,7 +176,7 @@ def fit_described(stats: DataFrame, labels: DataFrame, key: str = "doc_id", labe
     if not count:
         return _constant(width)
     bound = int((1 << 30) * min(1.0, FIT_ROWS / count))
-    rows = rows.where(F.col("_h") < bound).repartition(FIT_TASKS, "_h")
+    rows = rows.where(F.col("_h") < bound).coalesce(FIT_TASKS)  # few rows: each task sends its sums to the driver
     train, tune = rows.where(F.col("_h") % 4 != 0), rows.where(F.col("_h") % 4 == 0)
     n, first, second = _sums(train, ["_x", "_y"], lambda x, y: [np.array([float(len(x))]), x.sum(0), (x * x).sum(0)])
     if not n[0]:
