@@ -7,6 +7,9 @@ hash place occurs in the corpus, then by that word's hash, an order that all lin
 offers only the shortest prefix of that order that must meet the prefix of every similar line.
 Pairs that meet pass a length filter and a positional filter; the rest are verified on full sets.
 
+Lines with the same text are found first, by two 64-bit hashes: all but the earliest go, and only
+the earliest takes part in the join, as it is earlier than a line whenever one of its copies is.
+
 Lines that meet in a token are numbered in their order. Each line is first tried against the
 first line of each of its tokens, those without a match against the following ones, 64 times as
 many each round, until none has an untried earlier line. So a line that thousands share costs
@@ -41,9 +44,14 @@ def lowered(line: Column) -> Column:
 
 def line_words(line: Column) -> Column:
     """The words of one line, split at single blanks."""
+    return F.array_remove(blank_split(line), "")
+
+
+def blank_split(line: Column) -> Column:
+    """The words of one line and empty texts between blanks that follow each other."""
     for blank in "\t\v\f\r":
         line = F.replace(line, F.lit(blank), F.lit(" "))
-    return F.array_remove(F.split(line, " "), "")
+    return F.split(line, " ")
 
 
 def split_lines(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -68,20 +76,31 @@ def shingles(hashes: str) -> Column:
     return F.transform(F.sequence(F.lit(0), F.greatest(F.size(hashes) - SIZE, F.lit(0))), lambda i: shingle(hashes, i))
 
 
-def word_places(words: DataFrame) -> list[int]:
+def word_places(lines: DataFrame) -> list[int]:
     """How often each hash place of words occurs; its size is fixed."""
-    counted = words.select(F.explode("_h").alias("_word")).select(F.col("_word").bitwiseAND(PLACES - 1).alias("p")).groupBy("p").count().collect()
+    words = lines.select(F.explode(blank_split(F.col("_line"))).alias("_word")).where("_word != ''")
+    counted = words.select(F.xxhash64("_word").bitwiseAND(PLACES - 1).alias("p")).groupBy("p").count().collect()
     found = [0] * PLACES
     for place, n in counted:
         found[place] = n
     return found
 
 
+def later_copies(lines: DataFrame) -> DataFrame:
+    """``_doc``, ``_no`` of the lines with a word that equal an earlier line."""
+    worded = lines.where(F.regexp_like("_line", F.lit(r"[^\x20\x09-\x0D]")))
+    rows = keep(worded.select("_doc", "_no", F.xxhash64("_line").alias("_a"), F.xxhash64(F.lit(1), "_line").alias("_b")), "hashes")
+    first = rows.groupBy("_a", "_b").agg(F.min(F.struct("_doc", "_no")).alias("_first"), F.count("*").alias("_c")).where("_c > 1")
+    both = rows.join(keep(first.drop("_c"), "first"), ["_a", "_b"])  # stored first: a line that many rows share can then be split
+    return keep(both.where((F.col("_doc") != F.col("_first._doc")) | (F.col("_no") != F.col("_first._no"))).select("_doc", "_no"), "copies")
+
+
 def earlier_matches(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``_doc``, ``_no`` of every line that an earlier line matches."""
     lines = split_lines(df, key, text)
-    words = hashed(lines)
-    counts = word_places(words)
+    copies = later_copies(lines)
+    words = hashed(lines.join(copies, ["_doc", "_no"], "left_anti"))
+    counts = word_places(lines)
     ranks = {n: i for i, n in enumerate(sorted(set(counts)))}
     table = F.split(F.lit(",".join(str(ranks[n]) for n in counts)), ",").cast("array<int>")  # folded to one literal
     size = F.greatest(F.size("_h") - (SIZE - 1), F.lit(1))
@@ -115,11 +134,11 @@ def earlier_matches(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
     ends = ["x_d", "x_l", "y_d", "y_l"]
     pairs = met.where("_rn > 1").select(*side("", "x"), *side("_pivot.", "y"))
-    matched, low, high = None, 1, 1
+    matched, low, high = copies, 1, 1
     while True:
         pairs = pairs.where(close("x", "y") & ~((F.col("x_d") == F.col("y_d")) & (F.col("x_l") == F.col("y_l"))))
         found = keep(verified(keep(pairs.select(*ends).distinct(), "pairs"), lines), "matched")
-        matched = found if matched is None else matched.unionByName(found)
+        matched = matched.unionByName(found)
         low, high = high + 1, high * GROWTH
         open_rows = met.where(F.col("_rn") > low).join(matched, line, "left_anti")
         x = open_rows.select("_token", F.col("_rn").alias("_rx"), *side("", "x"))
