@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stratalake.operators.aggregates import top_values
-from stratalake.operators.ranking import BUCKET, number_bucketed, running
+from stratalake.operators.ranking import BUCKET, default_ranges, number_bucketed, running
 from stratalake.session import cut_lineage
 
 # Fixed values of the source model.
@@ -26,7 +26,6 @@ MIN_ROWS = 50
 TRAIN_SHARE = 0.8
 SEED = 42
 MAX_ITER = 1000
-HASH_RANGES = 1024
 # a bound for data brought to the driver; above it the fit is refused, not cut short
 MAX_LEVELS = 1000
 
@@ -54,9 +53,10 @@ def stratified_split(
     ``key`` names columns that tell the rows apart. Rows are ordered by a seeded hash of it
     and numbered range by range, so a class holding most rows is never sorted in one task.
     """
+    ranges = default_ranges(df)
     digest = F.xxhash64(F.lit(seed), *[F.col(c) for c in key])
     hashed = df.withColumn("_digest", digest).withColumn(
-        BUCKET, F.floor((F.col("_digest") / 2.0**63 + 1) * (HASH_RANGES / 2)).cast("int")
+        BUCKET, F.floor((F.col("_digest") / 2.0**63 + 1) * (ranges / 2)).cast("int")
     )
     numbered = number_bucketed(hashed, [label], ["_digest", *key], "_place")
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))

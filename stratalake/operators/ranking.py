@@ -1,7 +1,7 @@
 """Row numbers and running totals that no single hot key can push into one task.
 
-A plain ``row_number`` over a partition sends all rows of a key to one task. Here the order
-column is first cut into value ranges; rows are numbered within (key, range) and the sizes
+A plain ``row_number`` over a partition sends all rows of a key to one task. Here the rows are
+first cut into ranges; they are numbered within (key, range) and the sizes
 of the earlier ranges are added. The result equals the plain window.
 """
 
@@ -12,17 +12,16 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from stratalake.session import broadcast_if_small, cut_lineage
+from stratalake.session import cut_lineage
 
-MAX_RANGES = 1024
 # a sort of this many rows fits one task easily
-HOT_ROWS = 1_000_000
+RANGE_ROWS = 1_000_000
 BUCKET = "_bucket"
 
 
 def default_ranges(df: DataFrame) -> int:
-    """Enough ranges that even a key with all rows fills every core several times."""
-    return min(MAX_RANGES, 4 * df.sparkSession.sparkContext.defaultParallelism)
+    """Ranges that follow the row count, and at least one per core."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, df.count() // RANGE_ROWS + 1)
 
 
 def _common_prefix(df: DataFrame, name: str) -> int:
@@ -88,10 +87,6 @@ def offsets(bucketed: DataFrame, group: Sequence[str], sums: dict[str, Column])
     )
 
 
-def _group_key(group: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c) for c in group]) if group else F.struct(F.lit(0).alias("all"))
-
-
 def numbered(
     df: DataFrame,
     partition: Sequence[str],
@@ -99,42 +94,16 @@ def numbered(
     tiebreak: Sequence[str] = (),
     name: str = "row_number",
     ranges: int | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``row_number() OVER (PARTITION BY partition ORDER BY order, tiebreak)``, nulls last.
 
-    Keys are counted first. Where none has more than ``hot_rows`` rows the plain window is
-    used; otherwise only the rows of such keys are cut into ranges.
+    Rows are dealt into ranges of (partition, order, tiebreak) and stored with their range, so a
+    hot key is split even where all its rows share one order value but not the tie-break.
     """
-    sorting = [F.col(c).asc_nulls_last() for c in [order, *tiebreak]]
-    hot = cut_lineage(
-        df.groupBy(_group_key(partition).alias("_group")).agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > hot_rows)
-        .select("_group", F.lit(True).alias("_hot"))
-    )
-    hot_keys = hot.count()
-    if hot_keys == 0:
-        keys = partition or [F.lit(0)]
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*sorting)).cast("bigint"))
-    ranges = ranges or default_ranges(df)
-    marked = (
-        df.withColumn("_group", _group_key(partition))
-        .join(broadcast_if_small(hot, hot_keys), "_group", "left")
-        .drop("_group")
-    )
-    position = order_position(df, order)
-    bounds = range_bounds(marked.filter("_hot"), position, ranges)
-    ranged = with_ranges(marked, position, bounds).withColumn(
-        BUCKET, F.when(F.col("_hot"), F.col(BUCKET)).otherwise(F.lit(0))
-    )
-    before = offsets(ranged.filter("_hot"), partition, {"n": F.count(F.lit(1))})
-    within = Window.partitionBy("_range").orderBy(*sorting)
-    place = F.coalesce(F.col("_before_n"), F.lit(0)) + F.row_number().over(within)
-    return (
-        ranged.withColumn("_range", _range_key(partition))
-        .join(broadcast_if_small(before, hot_keys * (ranges + 1)), "_range", "left")
-        .select(*df.columns, place.cast("bigint").alias(name))
-    )
+    sorting = [F.col(c).asc_nulls_last() for c in [*partition, order, *tiebreak]]
+    dealt = df.repartitionByRange(ranges or default_ranges(df), *sorting).withColumn(BUCKET, F.spark_partition_id())
+    # stored: a range computed anew could be cut elsewhere
+    return number_bucketed(cut_lineage(dealt), partition, [order, *tiebreak], name).select(*df.columns, name)
 
 
 def number_bucketed(

@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from stratalake.operators.aggregates import top_values
@@ -17,9 +16,7 @@ ALPHA = 0.05
 MIN_GROUP = 5
 # scipy's rule: exact distribution when a group is this small and nothing is tied
 EXACT_GROUP = 8
-# beyond this many possible statistics the exact and the normal tail agree, and the table of
-# the former would not fit the driver
-EXACT_VALUES = 50_000_000
+PERIOD = 840  # least common multiple of 1 to 8
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
@@ -110,23 +107,36 @@ def _chi_square_tail(x: float, dof: int) -> float:
 
 
 def _exact_rank_tail(u: float, n1: int, n2: int) -> float:
-    """P(U >= u) without ties: coefficients of the Gaussian binomial up to the lower tail."""
-    top = int(n1 * n2 - math.ceil(u))  # P(U >= u) = P(U <= n1·n2 - u)
-    ways = np.zeros(top + 1)
-    ways[0] = 1.0
-    for i in range(1, min(n1, n2) + 1):
-        grow = max(n1, n2) + i
-        if grow <= top:
-            ways[grow:] -= ways[: top + 1 - grow].copy()
-        for start in range(i):  # divide by 1 - q^i: running sums with stride i
-            ways[start::i] = np.cumsum(ways[start::i])
-    return float(ways.sum() / math.comb(n1 + n2, n1))
+    """P(U >= u) without ties, the smaller group having at most eight values.
+
+    Counts with U up to a bound are a coefficient of prod(1 - q^(m+i)) / ((1 - q) prod(1 - q^i)).
+    Every factor below divides 1 - q^840, so few whole numbers suffice at any group size.
+    """
+    few, many = sorted((n1, n2))
+    series = [1]
+    for step in (1, *range(1, few + 1)):  # times (1 - q^840) / (1 - q^step)
+        series = [*series, *[0] * PERIOD]
+        for i in range(len(series) - 1, PERIOD - 1, -1):
+            series[i] -= series[i - PERIOD]
+        for i in range(step, len(series)):
+            series[i] += series[i - step]
+    shifts = {0: 1}
+    for i in range(1, few + 1):
+        moved = {shift + many + i: -sign for shift, sign in shifts.items()}
+        shifts = {s: shifts.get(s, 0) + moved.get(s, 0) for s in shifts.keys() | moved.keys()}
+    top = n1 * n2 - math.ceil(u)  # P(U >= u) = P(U <= n1·n2 - u)
+    ways = 0
+    for shift, sign in shifts.items():
+        at = top - shift
+        for r in range(at % PERIOD, min(at + 1, len(series)), PERIOD):
+            ways += sign * series[r] * math.comb((at - r) // PERIOD + few, few)
+    return ways / math.comb(n1 + n2, few)
 
 
 def _rank_sum_p(row: Row) -> float | None:
     if row.u1 is None:
         return None
-    exact = min(row.n1, row.n2) <= EXACT_GROUP and row.n1 * row.n2 <= EXACT_VALUES
+    exact = min(row.n1, row.n2) <= EXACT_GROUP
     if exact and row.tie_term == 0:
         return min(1.0, 2 * _exact_rank_tail(max(row.u1, row.u2), row.n1, row.n2))
     return min(1.0, math.erfc(row.z / math.sqrt(2)))

@@ -1,4 +1,5 @@
 import datetime as dt
+import itertools
 import random
 import statistics
 
@@ -217,3 +218,17 @@ def test_density_integrates_to_about_one(spark):
     curve = rows(plotdata.density(df, "v").orderBy("x"))
     step = curve[1][0] - curve[0][0]
     assert sum(d for _, d in curve) * step == pytest.approx(1, abs=0.02)
+
+
+@pytest.mark.parametrize("n1,n2", [(1, 1), (2, 5), (3, 9), (8, 4)])
+def test_exact_rank_tail_counts_all_orders(n1, n2):
+    places = list(itertools.combinations(range(n1 + n2), n1))
+    ranks = [sum(p) - n1 * (n1 - 1) // 2 for p in places]
+    for u in range(n1 * n2 + 1):
+        assert stats._exact_rank_tail(u, n1, n2) == pytest.approx(sum(r >= u for r in ranks) / len(ranks))
+
+
+def test_exact_rank_tail_of_large_groups():
+    n = 40_000_000
+    assert stats._exact_rank_tail(4 * n, 8, n) == pytest.approx(0.5, abs=1e-6)
+    assert stats._exact_rank_tail(0, 8, n) == 1.0

@@ -24,15 +24,13 @@ def test_velocity_latest_and_order(spark):
 
 def test_batches_of_300(spark):
     df = spark.range(601).select(F.lit("2024-05-01").alias("date"), "id")
-    for hot_rows in (10**6, 100):
-        out = sequences.assign_batches(df, ["date"], "id", hot_rows=hot_rows)
-        assert rows(out.groupBy("batch").count().orderBy("batch")) == [(0, 300), (1, 300), (2, 1)]
-        assert out.filter("batch != floor(id / 300)").count() == 0
+    out = sequences.assign_batches(df, ["date"], "id")
+    assert rows(out.groupBy("batch").count().orderBy("batch")) == [(0, 300), (1, 300), (2, 1)]
+    assert out.filter("batch != floor(id / 300)").count() == 0
 
 
 @pytest.mark.parametrize("kind", ["int", "double", "date", "timestamp_ntz", "string"])
-@pytest.mark.parametrize("hot_rows", [10**6, 50])
-def test_numbering_equals_the_plain_window(spark, kind, hot_rows):
+def test_numbering_equals_the_plain_window(spark, kind):
     rnd = random.Random(kind)
     data = [("hot" if rnd.random() < 0.6 else rnd.choice(["a", "b", None]), rnd.randint(0, 400), i) for i in range(1500)]
     df = spark.createDataFrame(data, "g string, n int, id int")
@@ -48,14 +46,24 @@ def test_numbering_equals_the_plain_window(spark, kind, hot_rows):
     plain = Window.partitionBy("g").orderBy(F.col("o").asc_nulls_last(), "id")
     want = dict(rows(df.select("id", F.row_number().over(plain))))
     for ranges in (1, 7, 64):
-        found = ranking.numbered(df, ["g"], "o", ["id"], "rn", ranges=ranges, hot_rows=hot_rows)
+        found = ranking.numbered(df, ["g"], "o", ["id"], "rn", ranges=ranges)
         assert found.columns == [*df.columns, "rn"]
         assert dict(rows(found.select("id", "rn"))) == want
 
 
+def test_one_tied_hot_key_is_split_over_ranges(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(ranking, "cut_lineage", lambda df: seen.append(df) or df)
+    df = spark.range(2000).select(F.lit("hot").alias("g"), F.lit(1).alias("o"), "id")
+    found = ranking.numbered(df, ["g"], "o", ["id"], "rn", ranges=8)
+    assert found.filter("rn != id + 1").count() == 0
+    sizes = [n for _, n in rows(seen[0].groupBy(ranking.BUCKET).count())]
+    assert len(sizes) == 8 and max(sizes) < 1000
+
+
 def test_numbering_without_groups(spark):
     df = spark.range(500).select((F.col("id") * 37 % 500).alias("v"))
-    found = ranking.numbered(df, [], "v", name="rn", hot_rows=10)
+    found = ranking.numbered(df, [], "v", name="rn")
     assert found.filter("rn != v + 1").count() == 0 and found.count() == 500
 
 
@@ -74,17 +82,6 @@ def test_hot_key_dedupe_keeps_one_row_and_limits_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") >= 2 and "Partial" in plan
 
 
-@pytest.mark.parametrize("limit", [0, 3, 10**6])
-def test_rare_copies_give_the_same_rows(spark, monkeypatch, limit):
-    monkeypatch.setattr(sequences, "BROADCAST_ROWS", limit)
-    data = [(None if i % 9 == 0 else i % 40, i % 7, i) for i in range(60)] + [(100 + i, 0, i) for i in range(20)]
-    df = spark.createDataFrame(data, "k int, o int, id int")
-    want = sorted(rows(sequences.latest_per_key(df, ["k"], "o", [F.col("id")])), key=str)
-    assert sorted(rows(sequences.latest_of_rare_copies(df, ["k"], "o", [F.col("id")])), key=str) == want
-    single = df.filter("k >= 100")
-    assert sequences.latest_of_rare_copies(single, ["k"], "o").count() == 20
-
-
 # --- joins -------------------------------------------------------------------------------------
 
 
