@@ -1,12 +1,17 @@
 """Licence scan (operator 5): a trained paragraph classifier, confirmed by template comparison.
 
-Paragraphs are the lines of a text; long ones are read in overlapping windows, so whole texts are
-covered. Their hashed word n-grams (one to three words) go through a sparse logistic regression over
+Each line is read by itself, long ones in overlapping windows. So that a notice wrapped over lines
+is whole, windows also run over the words of neighbouring lines up to a line without words. Their hashed word n-grams (one to three words) go through a sparse logistic regression over
 licence families and ``none``. It is trained on the public notices below, put into context and
 damaged at random, against paragraphs of the corpus that resemble no notice (at most
 ``FIT_ROWS``, chosen by hash). Held-back rows fit a temperature and the confidence under which a
-paragraph is unknown. A prediction counts only if enough word triples of a notice of that family
-are in the paragraph.
+window is unknown. Each family is scored against ``none`` alone, so that families named together
+do not share one probability. A family counts only if enough word triples of one of its notices
+are in the window; one that is not the likeliest also needs a triple there that no other family
+has, and the likeliest needs it where a fuller notice of another family explains most of its triples.
+
+``n_paragraphs`` counts lines with words. A finding names the line where its notice begins; a
+notice that lines already show by themselves is not listed again for the windows over them.
 
 Null, empty and blank texts have no paragraphs and no finding. Repeated rows get equal results;
 other columns are not looked at.
@@ -70,12 +75,56 @@ def triples(row: list[str]) -> set[tuple[str, ...]]:
 TEMPLATES = [(family, triples(words(notice))) for family, notice in NOTICES]
 
 
+def own_triples(place: int) -> set[tuple[str, ...]]:
+    """Triples of a notice that no other family's notice has."""
+    family, mine = TEMPLATES[place]
+    return mine.difference(*(t for f, t in TEMPLATES if f != family))
+
+
+OWN = [own_triples(i) for i in range(len(TEMPLATES))]
+
+
 def resemblance(row: list[str], family: str | None = None) -> float:
     """Largest share of a notice's triples (of one family, or any) that a paragraph has."""
     mine = triples(row)
     return max((len(mine & t) / len(t) for f, t in TEMPLATES if family in (None, f)), default=0.0)
 
 
+def confirmed(row: list[str], families: list[str], likeliest: str) -> dict[str, list[int]]:
+    """Notices of each family that a window holds enough of."""
+    mine = triples(row)
+    enough = [i for i, (f, t) in enumerate(TEMPLATES) if f in families and len(mine & t) >= CONFIRM * len(t)]
+    sure = [i for i in enough if mine & OWN[i]]
+
+    def explained(i: int) -> bool:
+        """Whether a fuller notice of another family has most of this one's triples in the window."""
+        here = mine & TEMPLATES[i][1]
+        share = len(here) / len(TEMPLATES[i][1])
+        others = (TEMPLATES[j][1] for j in sure if TEMPLATES[j][0] != TEMPLATES[i][0])
+        return any(len(mine & t) / len(t) > share and 2 * len(here & t) >= len(here) for t in others)
+
+    out: dict[str, list[int]] = {}
+    for i in enough:
+        family = TEMPLATES[i][0]
+        if i in sure or family == likeliest and not explained(i):
+            out.setdefault(family, []).append(i)
+    return out
+
+
+def places_of(row: list[str], notice: int) -> list[tuple[int, int, float]]:
+    """First and last word of each copy of a notice in a window, and its share of the triples."""
+    template, copies, seen = TEMPLATES[notice][1], [], set()
+    for at, triple in enumerate(zip(row, row[1:], row[2:])):
+        if triple in template:
+            if not copies or triple in seen:  # a triple once more: the next copy
+                copies.append([at, at, 0.0])
+                seen = set()
+            seen.add(triple)
+            copies[-1][1:] = at + 2, len(seen) / len(template)
+    whole = [c for c in copies if c[2] >= CONFIRM]
+    return [tuple(c) for c in whole or [max(copies, key=lambda c: c[2])]]
+
+
 class Grams:
     """Hashed places of a paragraph's word n-grams."""
 
@@ -134,6 +183,11 @@ def windows(n: int, start: int = 0) -> list[tuple[int, int]]:
     return [(start + i, start + min(i + WINDOW, n)) for i in range(0, n - STEP, STEP)]
 
 
+def against_none(p: np.ndarray) -> np.ndarray:
+    """Probability of each family if only it and ``none`` were possible."""
+    return p[:, 1:] / np.maximum(p[:, 1:] + p[:, :1], 1e-300)
+
+
 def fit(df: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
     """Train on damaged notices and on a bounded sample of paragraphs of the corpus."""
     lines = df.select(F.posexplode(F.split(F.col(text).cast("string"), "\n")).alias("_no", "_line"), F.col(key).alias("_key"))
@@ -164,7 +218,7 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
     y = np.array([data[i][2] for i in held])
     losses = {t: -np.log(softmax(x / t)[np.arange(len(y)), y] + 1e-300).mean() for t in np.geomspace(0.02, 20, 100)}
     model.temperature = float(min(losses, key=losses.get))
-    clean = softmax(x[y == 0] / model.temperature)[:, 1:].max(axis=1) if (y == 0).any() else np.zeros(1)
+    clean = against_none(softmax(x[y == 0] / model.temperature)).max(axis=1) if (y == 0).any() else np.zeros(1)
     model.bound = float(np.clip(np.quantile(clean, 1 - FALSE_RATE), 0.2, 0.9))
     return model
 
@@ -177,24 +231,55 @@ def scan(df: DataFrame, model: Model, columns: list[str | Column] | None = None,
         known, grams = shared.value, Grams()
 
         def findings(value: str):
-            row, parts, owner = [], [], []
+            row, parts, owner, block, wide, starts, n_lines = [], [], [], [], [], [], 0
+
+            def close():
+                if len(block) > 1:
+                    wide.extend(windows(len(row) - block[0], block[0]))
+                block.clear()
+
             for number, line in enumerate(value.split("\n")):
                 mine = words(line)
+                if not mine:
+                    close()
+                    continue
+                n_lines += 1
+                block.append(len(row))
+                starts.append((len(row), number))
                 cut = windows(len(mine), len(row))
                 row += mine
                 parts += cut
                 owner += [number] * len(cut)
+            close()
             if not parts:
                 return 0, []
+            single = len(parts)
+            parts += wide
             p = softmax(grams.logits(row, parts, known.weights) / known.temperature)
-            tops = p[:, 1:].argmax(axis=1) + 1
+            scores, tops = against_none(p), p[:, 1:].argmax(axis=1)
             best: dict[tuple[int, str], float] = {}
-            for i in np.flatnonzero(p[np.arange(len(parts)), tops] > known.bound):
-                family, c = known.families[tops[i]], float(p[i, tops[i]])
-                at = (owner[i], family)
-                if c > best.get(at, 0) and resemblance(row[slice(*parts[i])], family) >= CONFIRM:
-                    best[at] = c
-            return len(set(owner)), [{"family": f, "paragraph": n, "confidence": c} for (n, f), c in sorted(best.items())]
+            over = []
+            above = scores > known.bound
+            for i in np.flatnonzero(above.any(axis=1)):
+                window, hits = row[slice(*parts[i])], {known.families[f + 1]: float(scores[i, f]) for f in np.flatnonzero(above[i])}
+                for family, notices in confirmed(window, list(hits), known.families[tops[i] + 1]).items():
+                    c = hits[family]
+                    if i >= single:
+                        over += [(-share, parts[i][0] + a, parts[i][0] + b, family, c) for n in notices for a, b, share in places_of(window, n)]
+                    elif c > best.get((owner[i], family), 0):
+                        best[owner[i], family] = c
+            if over:
+                firsts, numbers = np.array(starts).T
+                taken = {}  # lines of each family's findings
+                for number, family in best:
+                    taken.setdefault(family, set()).add(number)
+                for _, a, b, family, c in sorted(over):  # the most whole first
+                    first, last = np.searchsorted(firsts, [a, b], side="right") - 1
+                    lines = set(numbers[first : last + 1].tolist())
+                    if not lines & taken.setdefault(family, set()):
+                        taken[family] |= lines
+                        best[int(numbers[first]), family] = c
+            return n_lines, [{"family": f, "paragraph": n, "confidence": c} for (n, f), c in sorted(best.items())]
 
         def step(batch: pa.RecordBatch):
             both = [findings(t) for t in texts(batch, "_text")]

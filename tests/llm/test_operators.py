@@ -178,6 +178,24 @@ def test_licence_lines_are_found_and_named(spark):
             assert (line in r.text) == (family in {f.family for f in r.licences})
 
 
+def test_wrapped_and_dual_notices_are_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are met:"
+    isc = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that"
+    cases = [
+        (bsd, {(0, "BSD")}),
+        (f"a header\n\nsome words before\n{isc}\n\n{bsd}", {(3, "ISC"), (6, "BSD")}),
+        ("Licensed under the Apache License, Version 2.0 or the MIT License.", {(0, "Apache-2.0"), (0, "MIT")}),
+        ("under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", {(0, "LGPL")}),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", {(0, "CC-BY-SA")}),
+        ("Released under the MIT License.\nReleased under the MIT License.", {(0, "MIT"), (1, "MIT")}),
+        ("Redistribution and use in source and binary forms, with or without\n\nwords", set()),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    found = {r.doc_id: {(f.paragraph, f.family) for f in r.licences} for r in licences.scan(df, licences.fit(docs)).collect()}
+    assert found == {i: want for i, (_, want) in enumerate(cases)}
+
+
 # --- 7: mixing ------------------------------------------------------------------------------------
 
 
