@@ -180,7 +180,7 @@ def s15(spark, sf):
     raw = records(spark, sf).withColumnRenamed("source_file", "origin")
     raw.write.json(f"{root}/raw/2024")
     paths = layers.LayerPaths(f"{root}/raw/*/*.json", f"{root}/bronze", f"{root}/silver", f"{root}/gold")
-    built = layers.run_layers(spark, paths, schemas.CASE_SCHEMA)
+    built = layers.run_layers(spark, paths)
     return built["monthly_locality_summary"].drop("avg_fine")
 
 

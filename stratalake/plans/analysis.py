@@ -11,7 +11,7 @@ from stratalake.functions.scalars import is_code
 from stratalake.operators import aggregates as agg, model as m, stats
 from stratalake.plans.silver import add_features
 from stratalake.sources.files import has_input, scan_jsonl_tolerant
-from stratalake.sources.schemas import CASE_SCHEMA
+from stratalake.sources.schemas import whole_schema
 
 MEASURES = ("daysToDisposition", "netSentenceDays", "totalFinancial")
 MODEL_FEATURES = ("race", "gender", "attorneyType", "codeSection")
@@ -36,10 +36,15 @@ def eda_reports(flat: DataFrame, min_count: int = 100) -> dict[str, DataFrame]:
     }
 
 
-def load_case_features(spark: SparkSession, path: str, schema: T.StructType | str = CASE_SCHEMA) -> DataFrame:
-    """Feature frame of one JSON-lines file; a missing file ends with code 1, an empty one with 0."""
+def load_case_features(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """Feature frame of one JSON-lines file; a missing file ends with code 1, an empty one with 0.
+
+    Without a schema all fields of the data are kept.
+    """
     if not has_input(spark, path):
         sys.exit(1)
+    if schema is None:
+        schema = whole_schema(spark.read.text(path))
     good, _ = scan_jsonl_tolerant(spark, path, schema)
     if good.isEmpty():
         sys.exit(0)

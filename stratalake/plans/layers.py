@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from stratalake.operators.aggregates import GOLD_TABLES
-from stratalake.operators.validate import validate_files
+from stratalake.operators.validate import read_text, validate_files
 from stratalake.plans.silver import to_silver
 from stratalake.session import configure
 from stratalake.sources.files import has_input, scan_jsonl, scan_parquet, write_layer
+from stratalake.sources.schemas import whole_schema
 
 log = logging.getLogger(__name__)
 
@@ -63,10 +65,16 @@ def run_layers(
     n_files: int = 0,
     n_lines: int = 0,
 ) -> dict[str, DataFrame]:
-    """Validate, then bronze, silver and gold; the first failure stops the run."""
+    """Validate, then bronze, silver and gold; the first failure stops the run.
+
+    Without a schema, bronze has every field of the schema document and of the data.
+    """
     configure(spark)
     if paths.schema_json:
         validate_files(spark, paths.raw_glob, paths.schema_json, n_files, n_lines)
+    if schema is None and has_input(spark, paths.raw_glob):
+        document = json.loads(read_text(spark, paths.schema_json)) if paths.schema_json else None
+        schema = whole_schema(spark.read.text(paths.raw_glob), document)
     built = {"bronze": build_bronze(spark, paths.raw_glob, paths.bronze, schema)}
     if not has_input(spark, paths.bronze):
         raise FileNotFoundError(f"bronze layer missing: {paths.bronze}")

@@ -14,8 +14,8 @@ SCALARS = {
     "null": T.StringType(),
 }
 
-# The blocks of a case record the layers read. Pass a JSON Schema to
-# ``struct_from_json_schema`` for a complete record.
+# Only the blocks of a case record the layers read, not the whole record and no default:
+# ``whole_schema`` adds what a schema document and the data have besides.
 CASE_SCHEMA = """
 qualifiedFips string, courtLevel string, divisionType string, caseNumber string,
 formattedCaseNumber string, name string, offenseDate string, chargeAmended string,
@@ -88,3 +88,42 @@ def infer_jsonl_schema(lines: DataFrame, column: str = "value") -> T.StructType:
     ddl = re.sub(r"\bOBJECT<", "STRUCT<", found)
     ddl = re.sub(r"\bVOID\b", "STRING", ddl)
     return T._parse_datatype_string(ddl)
+
+
+def merge_types(first: T.DataType, second: T.DataType) -> T.DataType:
+    """A type that holds the values of both; fields of structs keep the order of their first mention."""
+    if first == second:
+        return first
+    if isinstance(first, T.StructType) and isinstance(second, T.StructType):
+        others = {f.name.lower(): f for f in second}
+        merged = []
+        for field in first:
+            other = others.pop(field.name.lower(), field)
+            merged.append(T.StructField(field.name, merge_types(field.dataType, other.dataType)))
+        return T.StructType(merged + list(others.values()))
+    if isinstance(first, T.ArrayType) and isinstance(second, T.ArrayType):
+        return T.ArrayType(merge_types(first.elementType, second.elementType))
+    nested = [t for t in (first, second) if isinstance(t, (T.StructType, T.ArrayType))]
+    if len(nested) == 1:  # text and mixed types stand for unknown ones
+        return nested[0]
+    if isinstance(first, T.NumericType) and isinstance(second, T.NumericType):
+        return T.DoubleType()
+    return T.StringType()
+
+
+def _without_empty(kind: T.DataType) -> T.DataType:
+    """Objects without known fields are read as their JSON text."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_without_empty(kind.elementType))
+    if isinstance(kind, T.StructType):
+        fields = [T.StructField(f.name, _without_empty(f.dataType)) for f in kind]
+        return T.StructType(fields) if fields else T.StringType()
+    return kind
+
+
+def whole_schema(lines: DataFrame, document: dict | None = None, column: str = "value") -> T.StructType:
+    """The type of a whole case record: blocks the layers read, the schema document, all keys of the data."""
+    kind = T.StructType.fromDDL(CASE_SCHEMA)
+    if document is not None:
+        kind = merge_types(kind, struct_from_json_schema(document))
+    return _without_empty(merge_types(kind, infer_jsonl_schema(lines, column)))

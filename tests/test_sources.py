@@ -191,3 +191,28 @@ def test_layers_stop_on_invalid_records_and_missing_schema(spark, write_lines):
     paths.schema_json, paths.raw_glob = None, f"{root}/nothing/*.jsonl"
     with pytest.raises(FileNotFoundError):
         run_layers(spark, paths)
+
+
+def test_layers_keep_the_whole_record(spark, write_lines):
+    more = {"appealCase": {"appealDate": "02/01/2024"}, "financialInformation": {"fines": {"paidDate": {"date": 1}, "amount": {"decimal": 5}}}}
+    document = {"type": "object", "properties": {"probation": {"type": "object", "properties": {"years": {"type": "integer"}}}, "free": {"type": "object"}}}
+    root = write_lines({"raw/1.jsonl": lines([{**CASE, **more, "free": {"x": 1}, "serviceInfo": [{"way": "mail"}]}]), "schema.json": [json.dumps(document)]})
+    paths = LayerPaths(f"{root}/raw/*.jsonl", f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/schema.json")
+    built = run_layers(spark, paths)
+    row = built["bronze"].first().asDict(True)
+    assert row["appealCase"] == {"appealDate": "02/01/2024"} and row["serviceInfo"] == [{"way": "mail"}] and row["free"] == {"x": 1}
+    assert "probation" in row and row["disposition"] is None
+    assert built["silver"].first().financialInformation.fines.paidDate.date == 1
+
+
+def test_feature_load_keeps_the_whole_record(spark, write_lines):
+    from stratalake.plans.analysis import load_case_features
+
+    root = write_lines({"a.jsonl": lines([{**CASE, "restitution": {"amount": 2.5}}])})
+    row = load_case_features(spark, f"{root}/a.jsonl").first()
+    assert float(row.restitution.amount) == 2.5 and row.netSentenceDays == 0
+
+
+def test_merged_types_hold_both():
+    merged = schemas.merge_types(files.as_struct("a bigint, s struct<x: string>, l array<struct<k: bigint>>, t string"), files.as_struct("a double, s struct<y: bigint>, l array<struct<k: string>>, t struct<z: string>, b boolean"))
+    assert merged == files.as_struct("a double, s struct<x: string, y: bigint>, l array<struct<k: string>>, t struct<z: string>, b boolean")
