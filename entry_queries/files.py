@@ -94,6 +94,40 @@ def s7(spark, sf):
     return files.scan_parquet(spark, path).groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "s7b_ingest_by_date",
+    """SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
+    CAST(count(*) FILTER (event_type <> 'error') AS BIGINT) AS n,
+    CAST(count(*) FILTER (event_type = 'error') AS BIGINT) AS bad_lines,
+    CAST(sum(CASE WHEN event_type <> 'error' THEN CAST(json_extract(props, '$.k') AS BIGINT) END) AS BIGINT) AS k,
+    CAST(count(*) FILTER (event_type = 'view') AS BIGINT) AS active
+    FROM events GROUP BY 1, 2, 3""",
+)
+def s7b(spark, sf):
+    root, out = new_path(spark, "ingest"), new_path(spark, "ingested")
+    # a key twice, JSON objects as text with quotes of both kinds, and lines cut off
+    row = F.expr(
+        """to_json(named_struct('caseNumber', cast(event_id AS string), 'date', date_format(ts, 'MM/dd/yyyy, hh:mm a'),
+             'props', if(event_type = 'view', translate(props, '"', "'"), props),
+             'caseActiveIndicator', named_struct('value', if(event_type = 'view', 'Y', 'N'))))"""
+    )
+    line = F.concat(F.lit('{"caseNumber":"0",'), F.substr(row, F.lit(2)))
+    day = F.date_format("ts", "yyyy-MM-dd")
+    bad = F.concat(F.lit("{bad"), day)
+    table(spark, sf, "events").select(F.when(F.col("event_type") == "error", bad).otherwise(line).alias("value")).write.text(root)
+    rows = layers.ingest_by_date(spark, root, out)
+    good = rows.groupBy("year", "month", "day").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("props_k").cast("bigint").alias("k"), F.count_if("is_active").alias("active")
+    )
+    date = F.to_date(F.substr(files.CORRUPT, F.lit(5)))
+    bad = files.scan_parquet(spark, files.bad_lines_path(out)).groupBy(
+        F.year(date).alias("year"), F.month(date).alias("month"), F.dayofmonth(date).alias("day")
+    ).agg(F.count(F.lit(1)).alias("bad_lines"))
+    both = good.join(bad, ["year", "month", "day"], "full")
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "bad_lines")]
+    return both.select("year", "month", "day", *zero, "k", F.coalesce("active", F.lit(0)).alias("active"))
+
+
 @query("s8_append_records", "SELECT o_orderstatus, count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS parties FROM orders GROUP BY 1")
 def s8(spark, sf):
     path = new_path(spark, "append")

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stratalake.functions.dates import DATE_FORMAT, TIMESTAMP_FORMAT, epoch_ms_to_ts, parse_ts
-from stratalake.functions.jsontext import complex_to_json
+from stratalake.functions.jsontext import complex_to_json, other_text, parse_json_text, text_types
 from stratalake.functions.scalars import cast_failed, safe_cast, yn_to_bool
 
 # The typed core of the flat layer.
@@ -91,10 +91,13 @@ def snake_case_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[snake_case(c) for c in df.columns])
 
 
-def flatten_structs(df: DataFrame, sep: str = "_") -> DataFrame:
+def flatten_structs(
+    df: DataFrame, sep: str = "_", texts: dict[str, tuple[T.StructType, bool]] | None = None
+) -> DataFrame:
     """Struct fields become columns, at any depth; arrays stay whole.
 
-    Works on the schema alone: the plan is one projection.
+    Works on the schema alone: the plan is one projection. ``texts`` (``text_types``) names text
+    columns whose JSON objects are flattened as well; their other values stay in the column.
     """
 
     def leaves(field: T.StructField, col: Column, name: str) -> list[Column]:
@@ -106,7 +109,17 @@ def flatten_structs(df: DataFrame, sep: str = "_") -> DataFrame:
             for leaf in leaves(sub, col.getField(sub.name), f"{name}{sep}{sub.name}")
         ]
 
-    return df.select(*[leaf for f in df.schema.fields for leaf in leaves(f, _quoted(f.name), f.name)])
+    def columns(field: T.StructField) -> list[Column]:
+        col = _quoted(field.name)
+        if field.name not in (texts or {}):
+            return leaves(field, col, field.name)
+        struct, others = texts[field.name]
+        kept = [other_text(col, bool(struct.fields)).alias(field.name)] if others else []
+        if not struct.fields:
+            return kept
+        return kept + leaves(T.StructField(field.name, struct), parse_json_text(col, struct), field.name)
+
+    return df.select(*[leaf for f in df.schema.fields for leaf in columns(f)])
 
 
 def dedupe_names(names: Sequence[str]) -> list[str]:
@@ -200,12 +213,12 @@ def null_cols_to_string(df: DataFrame) -> DataFrame:
 def normalize_cases(
     df: DataFrame, epoch_ms: bool = False, appeal_from_struct: bool = False
 ) -> DataFrame:
-    """The whole flat layer as one projection without a shuffle.
+    """The whole flat layer as one projection, after one aggregate that finds JSON in text columns.
 
     ``appeal_from_struct`` sets ``is_appeal`` where an appeal block is present; the source
     mapping leaves it null because that block is never Y or N.
     """
     if appeal_from_struct and "appealCase" in df.columns:
         df = df.withColumn("isAppeal", F.col("appealCase").isNotNull())
-    flat = rename(snake_case_columns(flatten_structs(df)))
+    flat = rename(snake_case_columns(flatten_structs(df, texts=text_types(df))))
     return complex_to_json(null_cols_to_string(enforce_schema(flat, epoch_ms=epoch_ms)))

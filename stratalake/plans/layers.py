@@ -9,11 +9,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from stratalake.operators.aggregates import GOLD_TABLES
+from stratalake.operators.normalize import normalize_cases
 from stratalake.operators.validate import read_text, validate_files
 from stratalake.plans.silver import to_silver
 from stratalake.session import configure
-from stratalake.sources.files import has_input, scan_jsonl, scan_parquet, write_layer
-from stratalake.sources.schemas import whole_schema
+from stratalake.sources.files import SOURCE_FILE, has_input, scan_jsonl, scan_jsonl_tolerant, scan_parquet, store_bad_lines, write_by_date, write_layer
+from stratalake.sources.schemas import infer_jsonl_schema, whole_schema
 
 log = logging.getLogger(__name__)
 
@@ -30,14 +31,42 @@ class LayerPaths:
 def build_bronze(
     spark: SparkSession, raw_glob: str, out: str, schema: T.StructType | str | None = None
 ) -> DataFrame | None:
-    """Raw JSON lines to Parquet, one to one. Nothing is written when no file matches."""
+    """Raw JSON lines to Parquet, one row for each JSON object; nothing is written when no file matches.
+
+    Lines that are no JSON object are counted and stored beside the layer (``bad_lines_path``).
+    """
     if not has_input(spark, raw_glob):
         log.warning("no files match %s, bronze is left as it is", raw_glob)
         return None
+    if schema is None:
+        schema = infer_jsonl_schema(spark.read.text(raw_glob))
     write_layer(scan_jsonl(spark, raw_glob, schema), out)
+    _, bad = scan_jsonl_tolerant(spark, raw_glob, schema)
+    if n_bad := store_bad_lines(bad, out):
+        log.warning("%d lines of %s are no JSON object", n_bad, raw_glob)
     return scan_parquet(spark, out)
 
 
+def ingest_by_date(
+    spark: SparkSession, raw_glob: str, out: str, schema: T.StructType | str | None = None, date: str = "hearing_date"
+) -> DataFrame | None:
+    """The per-date ingest: good lines flattened into the typed core, one Parquet folder a day.
+
+    Bad lines are counted and stored beside the layer. Only the days that occur are replaced.
+    Columns that this run has and older days lack are null there.
+    """
+    if not has_input(spark, raw_glob):
+        log.warning("no files match %s, %s is left as it is", raw_glob, out)
+        return None
+    if schema is None:
+        schema = infer_jsonl_schema(spark.read.text(raw_glob))
+    good, bad = scan_jsonl_tolerant(spark, raw_glob, schema)
+    write_by_date(normalize_cases(good.drop(SOURCE_FILE)), out, date)
+    if n_bad := store_bad_lines(bad, out):
+        log.warning("%d lines of %s are no JSON object", n_bad, raw_glob)
+    return spark.read.option("mergeSchema", True).parquet(out)
+
+
 def build_silver(spark: SparkSession, bronze: str, out: str) -> DataFrame:
     write_layer(to_silver(scan_parquet(spark, bronze)), out)
     return scan_parquet(spark, out)

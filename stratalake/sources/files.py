@@ -31,14 +31,11 @@ def scan_jsonl(spark: SparkSession, glob: str, schema: T.StructType | str | None
 
     Without a schema the union of all keys is found first. The path is given twice, as
     ``filename`` and ``source_file``, because both columns are part of the bronze layout.
+    Lines that are no JSON object are no rows: ``scan_jsonl_tolerant`` gives them as well.
     """
-    if schema is None:
-        schema = infer_jsonl_schema(spark.read.text(glob))
-    path = F.col("_metadata.file_path")
-    fields = as_struct(schema)
-    return spark.read.schema(fields).json(glob).select(
-        *[F.col(f"`{f.name}`") for f in fields], path.alias("filename"), path.alias(SOURCE_FILE)
-    )
+    good, _ = scan_jsonl_tolerant(spark, glob, infer_jsonl_schema(spark.read.text(glob)) if schema is None else schema)
+    rest = [c for c in good.columns if c != SOURCE_FILE]
+    return good.select(*[F.col(f"`{c}`") for c in rest], F.col(SOURCE_FILE).alias("filename"), SOURCE_FILE)
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType | str, column: str = "value") -> DataFrame:
@@ -76,6 +73,18 @@ def scan_jsonl_tolerant(
     return good, bad
 
 
+def bad_lines_path(layer: str) -> str:
+    """Folder beside a layer with the lines its build set aside."""
+    return layer.rstrip("/") + "_bad_lines"
+
+
+def store_bad_lines(bad: DataFrame, layer: str) -> int:
+    """Write the bad lines of a layer beside it; returns how many there are."""
+    path = bad_lines_path(layer)
+    write_layer(bad, path)
+    return bad.sparkSession.read.parquet(path).count()
+
+
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

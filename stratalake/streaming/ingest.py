@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from stratalake.functions.dates import parse_ts
 from stratalake.plans.silver import to_silver
-from stratalake.sources.files import SOURCE_FILE
+from stratalake.sources.files import CORRUPT, SOURCE_FILE, bad_lines_path, parse_lines
 
 DAY = "hearing_day"
 BATCH = "batch_id"
@@ -40,6 +40,10 @@ def read_bronze(spark: SparkSession, bronze: str, schema: T.StructType) -> DataF
     return spark.read.schema(full).parquet(bronze)
 
 
+def read_bad_lines(spark: SparkSession, bronze: str) -> DataFrame:
+    return spark.read.schema(f"{SOURCE_FILE} string, {CORRUPT} string, {BATCH} long").parquet(bad_lines_path(bronze))
+
+
 def ingest_stream(
     spark: SparkSession,
     source_dir: str,
@@ -53,19 +57,23 @@ def ingest_stream(
 
     A micro-batch replaces its own (day, batch) folders, so a replay after a failure writes
     the same data again instead of twice. With ``silver`` given, the days a batch touched are
-    rebuilt from bronze; other days are not read.
+    rebuilt from bronze; other days are not read. Lines that are no JSON object go beside
+    bronze (``bad_lines_path``), in a folder per batch.
     """
     struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    raw = (
-        spark.readStream.schema(struct)
-        .option("maxFilesPerTrigger", max_files)
-        .json(source_dir)
-        .select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+    lines = (
+        spark.readStream.option("maxFilesPerTrigger", max_files)
+        .text(source_dir)
+        .select("value", F.col("_metadata.file_path").alias(SOURCE_FILE))
     )
+    raw = parse_lines(lines, struct)
 
     def land(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        _write_days(with_day(batch).withColumn(BATCH, F.lit(batch_id)), bronze, DAY, BATCH)
+        numbered = batch.withColumn(BATCH, F.lit(batch_id))
+        good, bad = numbered.where(F.col(CORRUPT).isNull()).drop(CORRUPT), numbered.where(F.col(CORRUPT).isNotNull())
+        _write_days(bad.select(SOURCE_FILE, CORRUPT, BATCH), bad_lines_path(bronze), BATCH)
+        _write_days(with_day(good), bronze, DAY, BATCH)
         if silver is not None:
             # day names come from the folders just written: bounded by days, not by rows
             landed = read_bronze(session, bronze, struct).filter(F.col(BATCH) == batch_id)

@@ -216,3 +216,39 @@ def test_feature_load_keeps_the_whole_record(spark, write_lines):
 def test_merged_types_hold_both():
     merged = schemas.merge_types(files.as_struct("a bigint, s struct<x: string>, l array<struct<k: bigint>>, t string"), files.as_struct("a double, s struct<y: bigint>, l array<struct<k: string>>, t struct<z: string>, b boolean"))
     assert merged == files.as_struct("a double, s struct<x: string, y: bigint>, l array<struct<k: string>>, t struct<z: string>, b boolean")
+
+
+def test_bad_lines_are_no_bronze_rows_but_stored(spark, write_lines):
+    root = write_lines({"raw/1.jsonl": [*lines([CASE]), "{bad", "[1]", "", '{"cut":']})
+    paths = LayerPaths(f"{root}/raw/*.jsonl", f"{root}/bronze", f"{root}/silver", f"{root}/gold")
+    built = run_layers(spark, paths)
+    assert built["bronze"].count() == 1 and built["silver"].count() == 1
+    bad = files.scan_parquet(spark, files.bad_lines_path(paths.bronze))
+    assert sorted(r[0] for r in rows(bad.select(files.CORRUPT))) == ["[1]", '{"cut":', "{bad"]
+    assert files.scan_jsonl(spark, paths.raw_glob, "caseNumber string").count() == 1
+
+
+def test_stream_sets_bad_lines_aside(spark, write_lines):
+    from stratalake.streaming import ingest
+
+    root = write_lines({"in/a.jsonl": ['{"caseNumber":"1","hearingDate":"01/15/2024, 09:00 AM"}', "{bad"]})
+    schema = files.as_struct("caseNumber string, hearingDate string")
+    ingest.ingest_stream(spark, f"{root}/in", f"{root}/bronze", schema, f"{root}/checkpoint").awaitTermination()
+    assert rows(ingest.read_bronze(spark, f"{root}/bronze", schema).select("caseNumber")) == [("1",)]
+    assert [r[1] for r in rows(ingest.read_bad_lines(spark, f"{root}/bronze"))] == ["{bad"]
+
+
+def test_ingest_by_date_parses_text_and_sets_bad_lines_aside(spark, write_lines):
+    from stratalake.plans.layers import ingest_by_date
+
+    day = {"date": "01/15/2024, 09:00 AM"}
+    made = [
+        {**day, "caseNumber": "1", "locality": '{"localityName":"Norwick","localityCode":"7"}', "tags": "['a', None]"},
+        {**day, "caseNumber": "2", "locality": "{'localityName': None}", "tags": '"quoted"'},
+        {**day, "caseNumber": "3", "locality": "plain", "tags": "{no"},
+    ]
+    root = write_lines({"in.jsonl": [*lines(made), "{bad"]})
+    out = ingest_by_date(spark, f"{root}/in.jsonl", f"{root}/out")
+    found = rows(out.orderBy("case_number").select("case_number", "locality_name", "locality_code", "locality", "tags", "day"))
+    assert [r[:5] for r in found] == [("1", "Norwick", 7, None, '["a",null]'), ("2", None, None, None, "quoted"), ("3", None, None, "plain", "{no")]
+    assert files.scan_parquet(spark, files.bad_lines_path(f"{root}/out")).count() == 1
