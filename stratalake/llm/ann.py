@@ -7,14 +7,18 @@ each point's distribution of neighbours over partitions. Every row is indexed un
 partition; a query is compared with the rows of its most probable partitions. How many it probes
 is fixed by the recall on sample points held back from training (``RECALL``).
 
-Equal vectors are indexed once, with their ``k + 1`` smallest ids, which is all a result can show.
+Equal vectors are indexed once, with their ``k + 1`` smallest different ids, which is all a result can
+show. Found entries are cut to ``k + 1`` different ids with at most ``k`` entries each, so that the own
+id, however often it occurs, leaves ``k`` others.
 Rows of a partition and queries are compared in blocks of bounded size, so a partition or a
 vector with a third of all rows is no single task. Scores are summed dimension by dimension in
 double precision.
 
 Vectors that are null, zero, of another length than the sample's most common one, or that hold
-null or non-finite components take no part, nor do rows with a null id. Rows that repeat an id
-are candidates each, but none of them for the query of that id. No usable rows give no result.
+null or non-finite components take no part, nor do rows with a null id. Rows that repeat id
+and vector count once; an id with several vectors is a candidate with each of them, but none for the
+query of that id, and asks with each of them: a candidate then has its best score. No usable rows give
+no result.
 Other columns are not looked at.
 """
 
@@ -155,22 +159,38 @@ def fit(points: np.ndarray) -> Router:
 
 
 def _best(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k + 1 best ids of a block for every query vector, with exact scores."""
+    """The best entries of a block for every query vector, with exact scores: k + 1 ids, at most k entries each."""
     x, y = np.stack(queries["_vector"]).astype(float), np.stack(rows["_vector"]).astype(float)
     scores = x @ y.T
-    most = min(k + 1, len(y))
-    least = np.partition(scores, len(y) - most, axis=1)[:, len(y) - most]
+    parts = []
+    ids, classes = rows["_ids"].to_numpy(), rows["_c"].to_numpy()
     # rounding of the product cannot hide a row: it stays far below the margin
     margin = 1e-12 * (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1).max())) * x.shape[1]
-    q, c = np.nonzero(scores >= (least - margin)[:, None])
-    exact = np.zeros(len(q))
-    for d in range(x.shape[1]):
-        exact += x[q, d] * y[c, d]
-    ids = rows["_ids"].to_numpy()[c]
-    many = np.fromiter(map(len, ids), np.int64, len(ids))
-    found = pd.DataFrame({"_q": np.repeat(queries["_q"].to_numpy()[q], many), "vec_id": np.concatenate(ids), "score": np.repeat(exact, many)})
-    found = found.sort_values(["_q", "score", "vec_id"], ascending=[True, False, True], kind="stable")
-    return found.groupby("_q", sort=False).head(k + 1)
+    most, pending = min(k + 1, len(y)), np.arange(len(x))
+    while len(pending):
+        part = scores[pending]
+        least = np.partition(part, len(y) - most, axis=1)[:, len(y) - most]
+        q, c = np.nonzero(part >= (least - margin[pending])[:, None])
+        q = pending[q]
+        exact = np.zeros(len(q))
+        for d in range(x.shape[1]):
+            exact += x[q, d] * y[c, d]
+        many = np.fromiter(map(len, ids[c]), np.int64, len(c))
+        found = pd.DataFrame({"_at": np.repeat(q, many), "vec_id": np.concatenate(ids[c]), "_c": np.repeat(classes[c], many), "score": np.repeat(exact, many)})
+        if most < len(y):  # ids with several vectors can leave too few different ones: these queries look at more rows
+            different = found.drop_duplicates(["_at", "vec_id"]).groupby("_at").size().reindex(pending, fill_value=0).to_numpy()
+            again = pending[different < k + 1]
+            found = found[~found["_at"].isin(again)]
+        else:
+            again = pending[:0]
+        parts.append(found)
+        pending, most = again, min(2 * most, len(y))
+    found = pd.concat(parts).sort_values(["_at", "score", "vec_id", "_c"], ascending=[True, False, True, True], kind="stable")
+    found = found[found.groupby(["_at", "vec_id"], sort=False).cumcount() < k]
+    first = ~found.duplicated(["_at", "vec_id"])
+    found = found[first.groupby(found["_at"], sort=False).cumsum() <= k + 1]
+    found["_q"] = queries["_q"].to_numpy()[found["_at"]]
+    return found[["_q", "vec_id", "_c", "score"]]
 
 
 def nearest(df: DataFrame, query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -178,8 +198,8 @@ def nearest(df: DataFrame, query: Column, k: int = 20, key: str = "vec_id", vect
     rows = df.where(query.isNotNull()).select(F.col(key).cast("long").alias("_id"), F.col(vector).cast("array<float>").alias("_vector"), query.alias("_asks"))
     rows = rows.where(F.col("_id").isNotNull() & usable(F.col("_vector")))
     same = Window.partitionBy("_vector").orderBy("_id")
-    few = rows.select("_id", "_vector").withColumn("_n", F.row_number().over(same)).where(F.col("_n") <= k + 1)
-    distinct = keep(few.groupBy("_vector").agg(F.sort_array(F.collect_list("_id")).alias("_ids")).withColumn("_q", F.get("_ids", F.lit(0))), "vectors")
+    few = rows.select("_id", "_vector").distinct().withColumn("_n", F.row_number().over(same)).where(F.col("_n") <= k + 1)
+    distinct = keep(few.groupBy("_vector").agg(F.sort_array(F.collect_list("_id")).alias("_ids")).withColumn("_q", F.monotonically_increasing_id()), "vectors")  # _q numbers vectors; stored
     total = distinct.count()
     place = F.pmod(F.xxhash64("_vector"), F.lit(1 << 30))
     sample = distinct.where(place < int((1 << 30) * min(1.0, SAMPLE / max(total, 1)))).select("_vector").collect()  # about SAMPLE
@@ -212,18 +232,22 @@ def nearest(df: DataFrame, query: Column, k: int = 20, key: str = "vec_id", vect
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     mine = lambda n: F.pmod(F.xxhash64("_q"), F.col(n))
     left = asking.join(sizes, "_part").withColumn("_qb", mine("_asked")).withColumn("_cb", every("_rows")).select("_part", "_cb", "_qb", "_q", "_vector")
-    right = index.join(sizes, "_part").withColumn("_cb", mine("_rows")).withColumn("_qb", every("_asked")).select("_part", "_cb", "_qb", "_ids", "_vector")
+    right = index.join(sizes, "_part").withColumn("_cb", mine("_rows")).withColumn("_qb", every("_asked")).select("_part", "_cb", "_qb", "_ids", F.col("_q").alias("_c"), "_vector")
     block = ["_part", "_cb", "_qb"]
 
     def compare(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
         if len(queries) and len(candidates):
             return _best(queries, candidates, k)
-        return pd.DataFrame({"_q": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-
-    found = left.groupBy(*block).cogroup(right.groupBy(*block)).applyInPandas(compare, "_q long, vec_id long, score double")
-    best = Window.partitionBy("_q").orderBy(F.desc("score"), "vec_id")
-    found = found.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k + 1).drop("_r")
+        return pd.DataFrame({"_q": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "_c": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
+
+    found = left.groupBy(*block).cogroup(right.groupBy(*block)).applyInPandas(compare, "_q long, vec_id long, _c long, score double")
+    # again at most k entries of an id, and k + 1 ids in the order of their best entries
+    best = Window.partitionBy("_q", "vec_id").orderBy(F.desc("score"), "_c")
+    found = found.repartition("_q").withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k)
+    ids = Window.partitionBy("_q").orderBy(F.desc("score"), "vec_id", "_c").rowsBetween(Window.unboundedPreceding, 0)
+    found = found.withColumn("_n", F.sum((F.col("_r") == 1).cast("int")).over(ids)).where(F.col("_n") <= k + 1).drop("_r", "_n")
     asks = rows.where("_asks").join(placed.select("_vector", "_q"), "_vector").select(F.col("_id").alias("query_id"), "_q").distinct()
     result = asks.join(found, "_q").where("vec_id <> query_id")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    result = result.groupBy("query_id", "vec_id", "_c").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "_c")
     return result.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

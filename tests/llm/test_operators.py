@@ -293,6 +293,27 @@ def test_nearest_with_equal_and_unusable_vectors(spark):
     assert ann.nearest(df.where("vec_id > 90"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_nearest_with_repeated_rows_and_ids(spark):
+    random = np.random.default_rng(9)
+    plain = [(i, random.normal(size=4).astype(np.float32).tolist()) for i in range(1, 50)]
+    twice, often, two = ((100, [1.0, 0.5, 0.0, 0.0]), (120, [0.0, 1.0, 0.5, 0.0]), (140, [9.0, 0.0, 0.0, 0.0]))
+    many = [(7, [5.0 + i, 5.0, 5.0, 5.0]) for i in range(30)]  # fills every cut
+    shared = [(140, [0.0, 9.0, 0.0, 0.0]), (141, [9.0, 0.0, 0.0, 0.0]), (142, [0.0, 9.0, 0.0, 0.0])]
+    data = plain + [twice] * 2 + [often] * 21 + [two] + many + shared
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    found: dict = {}
+    for r in ann.nearest(df, F.col("vec_id").isin(7, 100, 120, 140)).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    rows = {(i, tuple(v)) for i, v in data}
+    for q in (7, 100, 120, 140):
+        asked = [np.array(v) for i, v in rows if i == q]
+        best = sorted((-max(float(a @ np.array(v)) for a in asked), i) for i, v in rows if i != q)[:20]
+        got = sorted(found[q])
+        assert [g[0] for g in got] == list(range(1, 21))
+        assert [g[1] for g in got] == [i for _, i in best]
+        assert [g[2] for g in got] == pytest.approx([-s for s, _ in best])
+
+
 # --- special rows ---------------------------------------------------------------------------------
 
 
