@@ -15,6 +15,7 @@ null language are only predicted. Repeated rows get equal results; other columns
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,26 +33,34 @@ UNKNOWN = "und"
 BLOCK = 1 << 20  # characters looked at together
 
 
+@cache
+def letters_of_unicode() -> np.ndarray:
+    """Whether each code point is a letter; built once a process."""
+    return np.array([chr(i).isalpha() for i in range(0x110000)])
+
+
 class Grams:
     """Counts of hashed character runs of a text."""
 
     def __init__(self):
-        self.letter = np.array([chr(i).isalpha() for i in range(0x30000)])
+        self.letter = letters_of_unicode()
 
     def counts(self, text: str) -> np.ndarray | None:
         """Counts per bucket, or None if the text has no letter."""
-        total, letters, tail = np.zeros(BUCKETS, np.int64), False, np.array([32], np.uint64)
+        total, letters, tail, last = np.zeros(BUCKETS, np.int64), False, np.zeros(0, np.uint64), np.array([32], np.uint64)
+        text = text.lower()  # whole, as a letter's form can depend on its neighbours
         for start in range(0, len(text), BLOCK):
-            codes = np.frombuffer(text[start : start + BLOCK].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-            known = self.letter[np.minimum(codes, len(self.letter) - 1)]
+            codes = np.frombuffer(text[start : start + BLOCK].encode("utf-32-le", "surrogatepass"), np.uint32)
+            known = self.letter[codes]
             letters = letters or bool(known.any())
             row = np.where(known, codes, 32).astype(np.uint64)
+            row = row[(row != 32) | (np.concatenate([last, row[:-1]]) != 32)]
+            last = row[-1:] if len(row) else last
             row = np.concatenate([tail, row])
-            row = row[1:][(row[1:] != 32) | (row[:-1] != 32)] if start == 0 else row
             mixed = row
             for order in (1, 2, 3):
                 # a block begins with the last two characters of the one before it
-                fresh = mixed if not start else mixed[max(len(tail) - order + 1, 0) :]
+                fresh = mixed[max(len(tail) - order + 1, 0) :]
                 spread = (fresh + np.uint64(order << 40)) * np.uint64(0x9E3779B97F4A7C15)
                 total += np.bincount((spread >> np.uint64(64 - 15)).astype(np.int64), minlength=BUCKETS)
                 if order < 3:

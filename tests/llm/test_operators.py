@@ -143,6 +143,15 @@ def test_languages_on_held_out_rows(spark):
     assert found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] >= 0.98
 
 
+def test_counts_do_not_depend_on_blocks(monkeypatch):
+    texts = ["  12 ab  --  cd ef   ", "a  b", "    a", "x\n\n\n\n\ny", "Ab. ΑΣ ΟΔΟΣ", "a     ", "abcdefgh"]
+    whole = [langid.Grams().counts(t) for t in texts]
+    for size in (1, 2, 3, 5):
+        monkeypatch.setattr(langid, "BLOCK", size)
+        assert all((langid.Grams().counts(t) == w).all() for t, w in zip(texts, whole))
+    assert langid.Grams().counts("\U00030000") is not None and langid.Grams().counts(" 1 ") is None
+
+
 @given(st.lists(st.sampled_from("abc"), max_size=40))
 def test_repeated_words_equal_brute_force(words):
     raw = [w.encode() for w in words]
