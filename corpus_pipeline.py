@@ -36,11 +36,18 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest doc_id, of each group of near duplicates."""
+    """One row of each group of near duplicates: the smallest doc_id, null last, and one of rows that repeat it.
+
+    Rows are numbered, so that the operator tells rows without an id and with a repeated one apart.
+    """
     configure(spark)
     docs = docs.select(COLUMNS)
-    gone = neardup.near_duplicates(docs).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
+    docs = keep(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    groups = neardup.near_duplicates(docs, key="_row").select("_row", "component_id")
+    groups = groups.join(docs.select("_row", "doc_id"), "_row")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    kept = groups.groupBy("component_id").agg(F.min_by("_row", first).alias("_row")).select("_row")
+    return docs.join(kept, "_row", "left_semi").select(COLUMNS)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -367,3 +367,13 @@ def test_pipeline_stages(spark):
     taken = {r.doc_id: -(-r.taken // r.size) if r.size else 1 for r in mixing.mix(docs).collect()}
     assert {r.doc_id: r["count"] for r in mixed.collect()} == {i: n for i, n in taken.items() if n}
     assert p.bpe_stage(spark, docs, SF_DIR).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_near_stage_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline as p
+
+    texts = ["one two three four five six seven", "another text of just a few words here", "no group but words of its own"]
+    rows = [(None, texts[0])] * 3 + [(5, texts[1]), (5, texts[1]), (9, texts[1]), (None, texts[1]), (7, texts[2])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r.doc_id, r.text) for r in p.near_stage(spark, docs, SF_DIR).collect()]
+    assert sorted(kept, key=str) == sorted([(None, texts[0]), (5, texts[1]), (7, texts[2])], key=str)
