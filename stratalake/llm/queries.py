@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from entry_queries.registry import query
-from stratalake.llm import ann, bpe, chat, langid, licences, linedup, mixing, neardup, quality, rules
+from stratalake.llm import ann, bpe, chat, langid, licences, linedup, mixing, neardup, negatives, ngramjoin, phrases, quality, rules
 from stratalake.llm.common import crc_remainder, table
 from stratalake.session import keep
 
@@ -147,6 +147,98 @@ def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(docs, licences.fit(docs))
 
 
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM worded, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND a >= 30),
+inside AS (
+  SELECT DISTINCT lang, a AS longer, array_to_string(w[i:i + s - 1], ' ') AS phrase
+  FROM c, (SELECT unnest([2, 3]) AS s), (SELECT unnest([1, 2, 3]) AS i) WHERE s < k AND i + s - 1 <= k),
+kept AS (
+  SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM inside x WHERE x.lang = c.lang AND x.phrase = c.phrase AND 100::HUGEINT * x.longer >= 80::HUGEINT * c.a)),
+cuts AS (
+  SELECT lang, phrase, a, i, array_to_string(w[1:i], ' ') AS left_part, array_to_string(w[i + 1:k], ' ') AS right_part
+  FROM kept, (SELECT unnest([1, 2, 3]) AS i) WHERE i < k),
+scored AS (
+  SELECT x.lang, x.phrase, x.a, x.i, y.a AS l, z.a AS r, CAST((2000000::HUGEINT * x.a) // (y.a + z.a) AS BIGINT) AS score
+  FROM cuts x JOIN f y ON y.lang = x.lang AND y.phrase = x.left_part JOIN f z ON z.lang = x.lang AND z.phrase = x.right_part),
+least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op11_phrases", OP11_SQL)
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT row_number() OVER () AS id, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT id, doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN []
+    WHEN len(w) < 4 THEN [array_to_string(w, ' ') || '!']
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))) END AS s
+  FROM worded),
+classes AS MATERIALIZED (SELECT s, min(id) AS c, min(doc_id) AS rep FROM sets WHERE len(s) > 0 GROUP BY s),
+tokens AS MATERIALIZED (SELECT c, len(s) AS n, unnest(s) AS t FROM classes),
+links AS MATERIALIZED (
+  SELECT x.c AS a, y.c AS b FROM tokens x JOIN tokens y ON x.t = y.t AND x.c <> y.c
+  GROUP BY x.c, y.c, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+reach AS (SELECT c AS a, c AS b FROM classes UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+found AS (SELECT r.a AS c, min(k.rep) AS component_id FROM reach r JOIN classes k ON k.c = r.b GROUP BY r.a)
+SELECT sets.doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles,
+       CASE WHEN len(sets.s) = 0 THEN sets.doc_id ELSE found.component_id END AS component_id
+FROM sets LEFT JOIN classes ON classes.s = sets.s LEFT JOIN found ON found.c = classes.c
+"""
+
+
+@query("op12_ngramjoin", OP12_SQL)
+def op12_ngramjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = """
+WITH whole AS (
+  SELECT DISTINCT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+width AS (SELECT len(v) AS w FROM whole GROUP BY len(v) ORDER BY count(*) DESC, w LIMIT 1),
+vectors AS (SELECT whole.* FROM whole, width WHERE len(v) = w),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS other_id,
+         CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positive AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank,
+       s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) <= 3
+"""
+
+
+@query("op13_negatives", OP13_SQL)
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
