@@ -29,6 +29,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from stratalake.session import keep
 
 MOST_WORDS = 4
-FLUSH_WORDS = 4_000_000
+FLUSH_WORDS = 1_500_000
 STRETCH = 64
 SAMPLE_ROWS = 2000
 HOT_SHARE = 500  # a pair is spread if it starts more than one in so many edges of the sample
@@ -81,8 +82,7 @@ def _edges_of(gathered: array) -> tuple[list[np.ndarray], np.ndarray]:
 def _packed(lang: str, words: Words, gathered: array, buckets: int, hot: set[bytes]) -> Iterator[tuple]:
     """Rows of ``EDGES``, one per bucket."""
     columns, n = _edges_of(gathered)
-    texts = [b"", *words]
-    hashes = np.array([zlib.crc32(t) for t in texts], np.uint64)
+    hashes = np.array([0, *map(zlib.crc32, words)], np.uint64)
     mix = np.uint64(0x9E3779B97F4A7C15)
     key = hashes[columns[0]] * mix + hashes[columns[1]]
     if hot:
@@ -92,12 +92,14 @@ def _packed(lang: str, words: Words, gathered: array, buckets: int, hot: set[byt
     key *= mix
     bucket = ((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
-    bucket, columns, n = bucket[order], [c[order] for c in columns], n[order]
+    bucket, columns, n = bucket[order], [c[order].astype(np.int32) for c in columns], n[order]
+    texts = ["", *(w.decode() for w in words)]
+    del key, order
     starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
     for low, high in zip(starts, [*starts[1:], len(bucket)]):
-        used, places = np.unique(np.concatenate([[0], *(c[low:high] for c in columns)]), return_inverse=True)
+        used, places = np.unique(np.concatenate([np.zeros(1, np.int32), *(c[low:high] for c in columns)]), return_inverse=True)
         own = places[1:].reshape(MOST_WORDS, -1).astype(np.int32)
-        yield lang, bucket[low], [texts[u].decode() for u in used[1:]], *own, n[low:high]
+        yield lang, bucket[low], [texts[u] for u in used[1:]], *own, n[low:high]
 
 
 def edges(df: DataFrame, text: str, lang: str, buckets: int, hot: dict[str, list[str]]) -> DataFrame:
@@ -116,9 +118,9 @@ def edges(df: DataFrame, text: str, lang: str, buckets: int, hot: dict[str, list
         def flush() -> Iterator[pa.RecordBatch]:
             for name, (words, gathered) in state.items():
                 if words:
-                    packed = list(_packed(name, words, gathered, buckets, hot_words.get(name, set())))
-                    for low in range(0, len(packed), 32):
-                        yield batch(packed[low : low + 32])
+                    packed = _packed(name, words, gathered, buckets, hot_words.get(name, set()))
+                    while part := list(islice(packed, 4)):
+                        yield batch(part)
             state.clear()
 
         waiting = 0
