@@ -33,18 +33,20 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stratalake.session import keep
 
 MOST_WORDS = 4
-FLUSH_WORDS = 1_500_000
+FLUSH_WORDS = 2_000_000
+ROW_EDGES = 8000  # of at most 32,000 different words, so numbers of words in a row are short
 STRETCH = 64
 SAMPLE_ROWS = 2000
 HOT_SHARE = 500  # a pair is spread if it starts more than one in so many edges of the sample
 ENDS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 
-EDGES = "lang string, bucket int, words array<string>, w1 array<int>, w2 array<int>, w3 array<int>, w4 array<int>, n array<int>"
+EDGES = "lang string, bucket int, words string, w1 array<short>, w2 array<short>, w3 array<short>, w4 array<short>, n array<int>"
 COUNTS = "lang string, size int, phrase string, f long"
 
 
@@ -96,10 +98,11 @@ def _packed(lang: str, words: Words, gathered: array, buckets: int, hot: set[byt
     texts = ["", *(w.decode() for w in words)]
     del key, order
     starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    starts = np.unique(np.concatenate([np.arange(a, b, ROW_EDGES) for a, b in zip(starts, [*starts[1:], len(bucket)])]))
     for low, high in zip(starts, [*starts[1:], len(bucket)]):
         used, places = np.unique(np.concatenate([np.zeros(1, np.int32), *(c[low:high] for c in columns)]), return_inverse=True)
-        own = places[1:].reshape(MOST_WORDS, -1).astype(np.int32)
-        yield lang, bucket[low], [texts[u] for u in used[1:]], *own, n[low:high]
+        own = places[1:].reshape(MOST_WORDS, -1).astype(np.int16)
+        yield lang, bucket[low], " ".join([texts[u] for u in used[1:]]), *own, n[low:high]
 
 
 def edges(df: DataFrame, text: str, lang: str, buckets: int, hot: dict[str, list[str]]) -> DataFrame:
@@ -107,7 +110,7 @@ def edges(df: DataFrame, text: str, lang: str, buckets: int, hot: dict[str, list
     rows = df.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
     hot_words = {name: {p.encode() for p in pairs} for name, pairs in hot.items()}
     names = [c.split()[0] for c in EDGES.split(", ")]
-    kinds = [pa.string(), pa.int32(), pa.list_(pa.string())] + [pa.list_(pa.int32())] * 5
+    kinds = [pa.string(), pa.int32(), pa.string()] + [pa.list_(pa.int16())] * 4 + [pa.list_(pa.int32())]
 
     def batch(packed: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*packed), kinds)], names)
@@ -151,14 +154,14 @@ def _flows(packed: pa.Table, least: int, hot: dict[str, list[str]]) -> pa.Table:
     single: list[pa.Table] = []
     for lang in packed.column("lang").unique().to_pylist():
         rows = packed.filter(pa.compute.equal(packed.column("lang"), lang)).combine_chunks()
-        lists = rows.column("words").combine_chunks()
+        lists = pa.compute.split_pattern(rows.column("words").combine_chunks(), " ")
         coded = lists.flatten().dictionary_encode()
         coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
         codes, words = coded.indices.to_numpy() + 1, coded.dictionary
         shift = np.repeat(np.cumsum([0, *lists.value_lengths().to_numpy()[:-1]]), rows.column("n").combine_chunks().value_lengths().to_numpy())
         columns = []
         for name in ("w1", "w2", "w3", "w4"):
-            own = rows.column(name).combine_chunks().flatten().to_numpy()
+            own = rows.column(name).combine_chunks().flatten().to_numpy().astype(np.int64)
             columns.append(np.where(own > 0, codes[np.maximum(own - 1, 0) + shift], 0))
         columns, n = _sorted_sums(columns, rows.column("n").combine_chunks().flatten().to_numpy().astype(np.int64))
         texts = words.to_pylist()
@@ -192,7 +195,7 @@ def _flows(packed: pa.Table, least: int, hot: dict[str, list[str]]) -> pa.Table:
 def counted(df: DataFrame, text: str, lang: str, least: int, hot: dict[str, list[str]] | None = None) -> DataFrame:
     """``lang``, ``size``, ``phrase``, ``f``: all words, and phrases of 2 to 4 words seen ``least`` times or more."""
     spread = hot or {}
-    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # evens out partitions
     packed = edges(df, text, lang, buckets, spread)
     parts = packed.groupBy("bucket").applyInArrow(lambda rows: _flows(rows, least, spread), COUNTS)
     whole = parts.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
