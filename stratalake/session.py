@@ -80,7 +80,21 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     """Store a table in the shared folder and read it from there: it survives lost executors."""
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._kept_path = path
+    return stored
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``keep`` stored, once all that reads them is stored itself."""
+    for table in tables:
+        remove(table.sparkSession, table._kept_path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
