@@ -21,8 +21,8 @@ Linked sets share a region. In it:
 
 All links are confirmed on full sets. A cell yields only links that join components.
 
-The order of rarity comes from counts over all documents in 2^20 hash places of shingles; places
-with equal counts are ordered by hash. Any order keeps the join exact.
+The order of rarity comes from counts over all documents in 2^22 hash places of shingles; places
+of about equal counts are ordered by hash. Any order keeps the join exact.
 
 Results for special cases: null, empty and blank texts have an empty set and stay alone; each row gets the
 result of its own text, so a doc_id with several texts gives several rows; rows with a null doc_id
@@ -42,10 +42,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from stratalake.llm.common import map_arrow
 from stratalake.llm.components import components
 from stratalake.llm.neardup import shingler
-from stratalake.session import keep
+from stratalake.session import discard, keep
 
-PLACES = 1 << 20
-SUM_TASKS = 8  # tasks that add up the counts before the driver does
+PLACES, SLICE = 1 << 22, 1 << 16
 REGION_ROWS, LEAF_ROWS = 1000, 24
 PIVOTS = 8
 SHRINK = 0.7  # a cell over this share of its parent is no progress
@@ -59,12 +58,11 @@ def class_key(found: np.ndarray) -> tuple[int, int]:
 
 
 def described(docs: DataFrame, size: int) -> DataFrame:
-    """``_doc``, ``n_shingles``, ``_s1``, ``_s2`` of each row; and rows with only ``_counts``, one per task: places of shingles."""
+    """``_doc``, ``n_shingles``, ``_s1``, ``_s2`` of each row; and one row per task and slice of the places with ``_slice`` and ``_counts``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, counts = shingler(size), np.zeros(PLACES, np.int64)
-        names = ["_doc", "n_shingles", "_s1", "_s2", "_counts"]
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        shingles, counts = shingler(size), np.zeros(PLACES, np.int32)
+        names = ["_doc", "n_shingles", "_s1", "_s2", "_slice", "_counts"]
         for batch in batches:
             out: list[list] = [[], [], []]
             for value in batch.column(1):
@@ -73,29 +71,37 @@ def described(docs: DataFrame, size: int) -> DataFrame:
                 a, b = class_key(found) if len(found) else (None, None)
                 for column, part in zip(out, (len(found), a, b)):
                     column.append(part)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in out), pa.nulls(batch.num_rows, pa.binary())], names)
-        if counts.any():
-            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip([None, None, None, None, counts.tobytes()], kinds)], names)
+            none = [pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in out), *none], names)
+        for i in range(PLACES // SLICE if counts.any() else 0):
+            part = [pa.array([i], pa.int32()), pa.array([counts[i * SLICE : (i + 1) * SLICE].tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), *[pa.nulls(1, pa.int64())] * 3, *part], names)
 
-    return docs.select(F.col("_doc").cast("string"), "_text").mapInArrow(run, "_doc string, n_shingles long, _s1 long, _s2 long, _counts binary")
+    return docs.select(F.col("_doc").cast("string"), "_text").mapInArrow(run, "_doc string, n_shingles long, _s1 long, _s2 long, _slice int, _counts binary")
 
 
-def place_counts(rows: DataFrame) -> np.ndarray:
-    """Sum of the tasks' counts, by a few tasks first."""
+def place_ranks(rows: DataFrame) -> np.ndarray:
+    """Rank of each place by its count, on a scale of an eighth of a doubling: one byte a place."""
+    kind = "_slice int, _counts binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(PLACES, np.int64)
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for value in batch.column(0):
-                total += np.frombuffer(value.as_py(), np.int64)
-        if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["_counts"])
+            for i, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums[i] = sums.get(i, 0) + np.frombuffer(value.as_buffer(), np.int32).astype(np.int64)
+        for i, total in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["_slice", "_counts"])
+
+    def ranked(part: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(v.as_buffer(), np.int64) for v in part.column("_counts"))
+        rank = np.floor(8 * np.log2(np.maximum(total, 1))).clip(0, 255).astype(np.uint8)
+        return pa.table({"_slice": pa.array([part.column("_slice")[0].as_py()], pa.int32()), "_counts": pa.array([rank.tobytes()], pa.binary())})
 
-    parts = rows.where("_counts is not null").select("_counts").coalesce(SUM_TASKS).mapInArrow(run, "_counts binary").collect()
-    total = np.zeros(PLACES, np.int64)
-    for part in parts:  # SUM_TASKS rows of 8 MB at most
-        total += np.frombuffer(part[0], np.int64)
-    return total
+    parts = rows.where("_slice is not null").select("_slice", "_counts").mapInArrow(partial, kind).groupBy("_slice").applyInArrow(ranked, kind)
+    ranks = np.zeros(PLACES, np.uint8)
+    for i, part in parts.collect():  # PLACES bytes in all
+        ranks[i * SLICE : (i + 1) * SLICE] = np.frombuffer(part, np.uint8)
+    return ranks
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -273,31 +279,34 @@ def jaccard_join(df: DataFrame, key: str = "doc_id", text: str = "text", size: i
     reach = 1 - percent / 100
     docs = df.select(F.col(key).alias("_doc"), F.col(text).cast("string").alias("_text"))
     stored = keep(described(docs, size), "sets")
-    counts = place_counts(stored)
-    ranks = spark.sparkContext.broadcast(np.unique(counts, return_inverse=True)[1].astype(np.int32))  # PLACES numbers
-    rows = stored.where("_counts is null").select(F.col("_doc").cast(kind).alias("_doc"), "n_shingles", "_s1", "_s2")
+    ranks = spark.sparkContext.broadcast(place_ranks(stored))  # PLACES bytes
+    rows = stored.where("_slice is null").select(F.col("_doc").cast(kind).alias("_doc"), "n_shingles", "_s1", "_s2")
     classes = rows.where("n_shingles > 0").groupBy("_s1", "_s2").agg(F.min("_doc").alias("_rep"), F.first("n_shingles").alias("_n"))
     classes = keep(classes.withColumn("_c", F.monotonically_increasing_id()), "classes")
 
     reps = classes.select("_rep").distinct()
     ours = docs.join(reps, docs["_doc"].eqNullSafe(reps["_rep"]), "left_semi")
     tokens = prefixes(ours, ranks, size, percent).dropDuplicates(["_s1", "_s2"]).join(classes, ["_s1", "_s2"])
-    tokens = keep(tokens.select("_c", "_tokens"), "tokens")
-    members = tokens.select("_c", F.explode("_tokens").alias("_token"))
-    pivots = members.groupBy("_token").agg(F.min(F.struct(F.xxhash64("_c").alias("_h"), "_c")).alias("_least"), F.count("*").alias("_held")).where("_held > 1")
+    tokens = keep(tokens.select("_c", F.col("_n").cast("int").alias("_n"), "_tokens"), "tokens")
+    members = tokens.select("_c", "_n", F.explode("_tokens").alias("_token"))
+    # two holders of too different sizes cannot be linked
+    held = F.count("*").alias("_held")
+    pivots = members.groupBy("_token").agg(held, F.min("_n").alias("_low"), F.max("_n").alias("_high"), F.min(F.struct(F.xxhash64("_c").alias("_h"), "_c")).alias("_least"))
+    pivots = pivots.where((F.col("_held") > 2) | ((F.col("_held") == 2) & (100 * F.col("_low") >= percent * F.col("_high"))))
     pivots = keep(pivots.select("_token", F.col("_least._c").alias("_p")), "pivots")
-    near = keep(members.join(pivots, "_token").where("_c <> _p").select("_p", "_c").distinct(), "near")
+    near = keep(members.drop("_n").join(pivots, "_token").where("_c <> _p").select("_p", "_c").distinct(), "near")
+    discard(tokens, pivots)
 
     wanted = near.select(F.explode(F.array("_p", "_c")).alias("_c")).distinct()
     wanted = keep(classes.join(wanted, "_c", "left_semi"), "wanted")
     reps = wanted.select("_rep").distinct()
     full = set_table(docs.join(reps, docs["_doc"].eqNullSafe(reps["_rep"]), "left_semi"), size).dropDuplicates(["_s1", "_s2"])
     sets = keep(full.join(wanted, ["_s1", "_s2"]).select("_c", "_set"), "full")
-    sizes = classes.select("_c", "_n")
 
     met = near.join(sets, "_c").join(sets.select(F.col("_c").alias("_p"), F.col("_set").alias("_pset")), "_p")
     met = met.select("_p", "_c", F.size("_set").cast("long").alias("_n"), F.size("_pset").cast("long").alias("_pn"), F.size(F.array_intersect("_set", "_pset")).cast("long").alias("_common"))
     met = keep(met, "distances")
+    discard(near)
     linked = 100 * F.col("_common") >= percent * (F.col("_n") + F.col("_pn") - F.col("_common"))
     links = keep(met.where(linked).select(F.col("_c").alias("a"), F.col("_p").alias("b")), "links")
     found = keep(components(links), "components")
