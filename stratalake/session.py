@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,7 @@ SESSION_SETTINGS = {
 }
 
 _OWN_DIRS: dict[str, str] = {}
+_RECORDS: list[list[str]] = []
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -82,9 +85,22 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     stored._kept_path = path
+    for paths in _RECORDS[-1:]:
+        paths.append(path)
     return stored
 
 
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths of all tables that ``keep`` stores inside the block, for ``remove``."""
+    paths: list[str] = []
+    _RECORDS.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDS.remove(paths)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared storage."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
