@@ -1,7 +1,7 @@
 """Line dedup (operator 4) by an exact set-similarity join, in DataFrame functions only.
 
 A line's tokens are its distinct five-word shingles (A-Z lower-cased), or its whole word sequence
-if it has fewer words. A line goes if an earlier line, by doc_id and line number, has a Jaccard
+if it has fewer words. A line goes if an earlier line, by doc_id, text and line number, has a Jaccard
 similarity of at least 75 percent. Tokens are ordered by rarity: by how often their first word's
 hash place occurs in the corpus, then by that word's hash, an order that all lines share. A line
 offers only the shortest prefix of that order that must meet the prefix of every similar line.
@@ -11,24 +11,27 @@ Lines with the same text are found first, by two 64-bit hashes: all but the earl
 the earliest takes part in the join, as it is earlier than a line whenever one of its copies is.
 
 Lines that meet in a token are numbered in their order. Each line is first tried against the
-first line of each of its tokens, those without a match against the following ones, 64 times as
+first line of each of its tokens, those without a match against the following ones, 8 times as
 many each round, until none has an untried earlier line. So a line that thousands share costs
 one pair per copy, and no match is lost.
 
 Blank lines have no tokens and always stay. Rows with a null doc_id, and null texts, are returned
-unchanged. Rows that repeat a doc_id count as one document: their equal lines do not remove each
-other. Names of other columns do not matter; they are returned as they are.
+unchanged. Rows equal in doc_id and text count as one document: they are returned alike, and do not
+remove each other's lines. Rows with one doc_id and different texts are documents of their own, in the
+order of a hash of their texts. Other columns are returned as they are, whatever their names; only
+columns called ``n_lines`` and ``n_removed`` are replaced by the results.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stratalake.session import keep
+from stratalake.session import discard, keep
 
 SIZE, PERCENT = 5, 75
 PLACES = 1 << 15  # hash places of word counts
-GROWTH = 64  # of the number of earlier lines tried per round
+GROWTH = 8  # of the number of earlier lines tried per round
+LINE = ["_doc", "_copy", "_no"]  # names a line: rows that share a doc_id are told apart by a hash of their texts
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -55,15 +58,16 @@ def blank_split(line: Column) -> Column:
 
 
 def split_lines(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``_doc``, ``_no``, ``_line``: all lines, A-Z lower-cased."""
-    rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("_doc"), F.posexplode(F.split(F.col(text).cast("string"), "\n")).alias("_no", "_line"))
-    return rows.select("_doc", "_no", lowered(F.col("_line")).alias("_line"))
+    """``LINE``, ``_line``: all lines, A-Z lower-cased."""
+    whole = F.col(text).cast("string")
+    rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("_doc"), F.xxhash64(whole).alias("_copy"), F.posexplode(F.split(whole, "\n")).alias("_no", "_line"))
+    return rows.select(*LINE, lowered(F.col("_line")).alias("_line"))
 
 
 def hashed(lines: DataFrame) -> DataFrame:
-    """``_doc``, ``_no``, ``_h``: the lines with a word, as arrays of word hashes."""
-    rows = lines.select("_doc", "_no", hold(line_words(F.col("_line"))).alias("_w")).where(F.size("_w") > 0)
-    return rows.select("_doc", "_no", hold(F.transform("_w", lambda w: F.xxhash64(w))).alias("_h"))
+    """``LINE``, ``_h``: the lines with a word, as arrays of word hashes."""
+    rows = lines.select(*LINE, hold(line_words(F.col("_line"))).alias("_w")).where(F.size("_w") > 0)
+    return rows.select(*LINE, hold(F.transform("_w", lambda w: F.xxhash64(w))).alias("_h"))
 
 
 def shingle(hashes: str, i: Column) -> Column:
@@ -87,36 +91,38 @@ def word_places(lines: DataFrame) -> list[int]:
 
 
 def later_copies(lines: DataFrame) -> DataFrame:
-    """``_doc``, ``_no`` of the lines with a word that equal an earlier line."""
+    """``LINE`` of the lines with a word that equal an earlier line."""
     worded = lines.where(F.regexp_like("_line", F.lit(r"[^\x20\x09-\x0D]")))
-    rows = keep(worded.select("_doc", "_no", F.xxhash64("_line").alias("_a"), F.xxhash64(F.lit(1), "_line").alias("_b")), "hashes")
-    first = rows.groupBy("_a", "_b").agg(F.min(F.struct("_doc", "_no")).alias("_first"), F.count("*").alias("_c")).where("_c > 1")
-    both = rows.join(keep(first.drop("_c"), "first"), ["_a", "_b"])  # stored first: a line that many rows share can then be split
-    return keep(both.where((F.col("_doc") != F.col("_first._doc")) | (F.col("_no") != F.col("_first._no"))).select("_doc", "_no"), "copies")
+    rows = keep(worded.select(*LINE, F.xxhash64("_line").alias("_a"), F.xxhash64(F.lit(1), "_line").alias("_b")), "hashes")
+    first = rows.groupBy("_a", "_b").agg(F.min(F.struct(*LINE)).alias("_first"), F.count("*").alias("_c")).where("_c > 1")
+    first = keep(first.drop("_c"), "first")  # a line that many rows share can then be split
+    copies = keep(rows.join(first, ["_a", "_b"]).where(F.struct(*LINE) != F.col("_first")).select(*LINE).distinct(), "copies")
+    discard(rows, first)
+    return copies
 
 
 def earlier_matches(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``_doc``, ``_no`` of every line that an earlier line matches."""
+    """``LINE`` of every line that an earlier line matches."""
     lines = split_lines(df, key, text)
     copies = later_copies(lines)
-    words = hashed(lines.join(copies, ["_doc", "_no"], "left_anti"))
+    words = hashed(lines.join(copies, LINE, "left_anti"))
     counts = word_places(lines)
     ranks = {n: i for i, n in enumerate(sorted(set(counts)))}
     table = F.split(F.lit(",".join(str(ranks[n]) for n in counts)), ",").cast("array<int>")  # folded to one literal
     size = F.greatest(F.size("_h") - (SIZE - 1), F.lit(1))
     # rank of the word's place above, its hash below: one order for all lines
     keys = F.transform(F.slice("_h", 1, size), lambda h: F.shiftleft(F.get(table, h.bitwiseAND(PLACES - 1).cast("int")).cast("long"), 44).bitwiseOR(F.shiftrightunsigned(h, 20)))
-    keyed = words.select("_doc", "_no", "_h", size.alias("_n"), hold(keys).alias("_k"))
-    keyed = keyed.select("_doc", "_no", "_h", "_n", "_k", hold(F.sort_array(F.array_distinct("_k"))).alias("_sorted"))
+    keyed = words.select(*LINE, "_h", size.alias("_n"), hold(keys).alias("_k"))
+    keyed = keyed.select(*LINE, "_h", "_n", "_k", hold(F.sort_array(F.array_distinct("_k"))).alias("_sorted"))
     length = F.col("_n") - F.ceil(F.col("_n") * PERCENT / 100).cast("int") + 1
-    keyed = keyed.select("_doc", "_no", "_h", "_n", "_k", "_sorted", F.size("_sorted").alias("_m"), F.get("_sorted", F.least(length, F.size("_sorted")) - 1).alias("_last"))
-    rows = keyed.select("_doc", "_no", "_h", "_n", "_m", "_sorted", "_last", F.posexplode("_k").alias("_i", "_key")).where("_key <= _last")
-    rows = rows.select(shingle("_h", F.col("_i")).alias("_token"), "_doc", "_no", "_n", "_m", (F.array_position("_sorted", F.col("_key")) - 1).cast("int").alias("_pos"))
+    keyed = keyed.select(*LINE, "_h", "_n", "_k", "_sorted", F.size("_sorted").alias("_m"), F.get("_sorted", F.least(length, F.size("_sorted")) - 1).alias("_last"))
+    rows = keyed.select(*LINE, "_h", "_n", "_m", "_sorted", "_last", F.posexplode("_k").alias("_i", "_key")).where("_key <= _last")
+    rows = rows.select(shingle("_h", F.col("_i")).alias("_token"), *LINE, "_n", "_m", (F.array_position("_sorted", F.col("_key")) - 1).cast("int").alias("_pos"))
 
-    line = ["_doc", "_no"]
+    line = LINE
     order = Window.partitionBy("_token").orderBy(*line)
     me = F.struct(*line, "_n", "_m", "_pos")
-    again = (F.lag("_doc").over(order) == F.col("_doc")) & (F.lag("_no").over(order) == F.col("_no"))  # a shingle that its line repeats
+    again = F.lag(F.struct(*line)).over(order) == F.struct(*line)  # a shingle that its line repeats
     rows = rows.withColumn("_again", again).where(~F.coalesce("_again", F.lit(False))).drop("_again")
     met = rows.withColumns({"_rn": F.row_number().over(order), "_next": F.lead("_doc").over(order), "_pivot": F.first(me).over(order)})
     met = keep(met.where((F.col("_rn") > 1) | F.col("_next").isNotNull()).drop("_next"), "met")
@@ -129,20 +135,23 @@ def earlier_matches(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
         return fits & ((100 + PERCENT) * F.least(n[0] - p[0], n[1] - p[1]) >= PERCENT * (m[0] + m[1]))
 
     def side(row: str, name: str) -> list[Column]:
-        parts = {"d": "_doc", "l": "_no", "n": "_n", "m": "_m", "p": "_pos"}
+        parts = {"d": "_doc", "c": "_copy", "l": "_no", "n": "_n", "m": "_m", "p": "_pos"}
         return [F.col(f"{row}{c}").alias(f"{name}_{s}") for s, c in parts.items()]
 
-    ends = ["x_d", "x_l", "y_d", "y_l"]
+    ends = [f"{s}_{c}" for s in "xy" for c in "dcl"]
     pairs = met.where("_rn > 1").select(*side("", "x"), *side("_pivot.", "y"))
     matched, low, high = copies, 1, 1
     while True:
-        pairs = pairs.where(close("x", "y") & ~((F.col("x_d") == F.col("y_d")) & (F.col("x_l") == F.col("y_l"))))
-        found = keep(verified(keep(pairs.select(*ends).distinct(), "pairs"), lines), "matched")
+        pairs = pairs.where(close("x", "y") & (F.struct("x_d", "x_c", "x_l") != F.struct("y_d", "y_c", "y_l")))
+        pairs = keep(pairs.select(*ends).distinct(), "pairs")
+        found = keep(verified(pairs, lines), "matched")
+        discard(pairs)
         matched = matched.unionByName(found)
         low, high = high + 1, high * GROWTH
         open_rows = met.where(F.col("_rn") > low).join(matched, line, "left_anti")
         x = open_rows.select("_token", F.col("_rn").alias("_rx"), *side("", "x"))
         if x.isEmpty():
+            discard(met, lines)
             return matched
         y = met.where(F.col("_rn").between(low, high)).select("_token", F.col("_rn").alias("_ry"), *side("", "y"))
         pairs = x.join(y, "_token").where("_ry < _rx")
@@ -150,25 +159,30 @@ def earlier_matches(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
 def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """Distinct later lines of the pairs whose full sets are similar."""
-    both = pairs.select(F.explode(F.array(F.struct(F.col("x_d").alias("_doc"), F.col("x_l").alias("_no")), F.struct(F.col("y_d").alias("_doc"), F.col("y_l").alias("_no")))).alias("e")).select("e.*").distinct()
-    words = hashed(lines.join(both, ["_doc", "_no"], "left_semi")).select("_doc", "_no", F.array_distinct(shingles("_h")).alias("_s")).dropDuplicates(["_doc", "_no"])
-    pairs = pairs.join(words.select(F.col("_doc").alias("x_d"), F.col("_no").alias("x_l"), F.col("_s").alias("_sx")), ["x_d", "x_l"])
-    pairs = pairs.join(words.select(F.col("_doc").alias("y_d"), F.col("_no").alias("y_l"), F.col("_s").alias("_sy")), ["y_d", "y_l"])
+    names = dict(zip("dcl", LINE))
+    one = [F.struct(*[F.col(f"{s}_{c}").alias(n) for c, n in names.items()]) for s in "xy"]
+    both = pairs.select(F.explode(F.array(*one)).alias("e")).select("e.*").distinct()
+    words = hashed(lines.join(both, LINE, "left_semi")).select(*LINE, F.array_distinct(shingles("_h")).alias("_s")).dropDuplicates(LINE)
+    for side in "xy":
+        named = [F.col(n).alias(f"{side}_{c}") for c, n in names.items()]
+        pairs = pairs.join(words.select(*named, F.col("_s").alias(f"_s{side}")), [f"{side}_{c}" for c in names])
     common = F.size(F.array_intersect("_sx", "_sy"))
-    pairs = pairs.select(F.col("x_d").alias("_doc"), F.col("x_l").alias("_no"), common.alias("_c"), (F.size("_sx") + F.size("_sy")).alias("_both"))
-    return pairs.where(100 * F.col("_c") >= PERCENT * (F.col("_both") - F.col("_c"))).select("_doc", "_no").distinct()
+    pairs = pairs.select(*[F.col(f"x_{c}").alias(n) for c, n in names.items()], common.alias("_c"), (F.size("_sx") + F.size("_sy")).alias("_both"))
+    return pairs.where(100 * F.col("_c") >= PERCENT * (F.col("_both") - F.col("_c"))).select(*LINE).distinct()
 
 
 def line_dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns with ``text`` less its removed lines, and ``n_lines`` / ``n_removed``."""
-    gone = earlier_matches(df, key, text).groupBy("_doc").agg(F.collect_set("_no").alias("_gone"))
-    rows = df.join(gone, df[key] == gone["_doc"], "left")
-    lines = F.split(F.col(text).cast("string"), "\n")
-    left = F.filter(lines, lambda x, i: ~F.array_contains("_gone", i))
-    cleaned = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
+    gone = earlier_matches(df, key, text).groupBy("_doc", "_copy").agg(F.sort_array(F.collect_set("_no")).alias("_gone"))
+    rows = df.select(F.struct(*df.columns).alias("_in"), F.col(key).alias("_doc"), F.col(text).cast("string").alias("_text"))
+    rows = rows.withColumn("_copy", F.xxhash64("_text")).join(gone, ["_doc", "_copy"], "left")
+    lines = F.split("_text", "\n")
+    # what lies between removed lines, slice by slice
+    starts, ends = F.concat(F.array(F.lit(-1)), "_gone"), F.concat("_gone", F.array(F.size(lines)))
+    left = F.flatten(F.zip_with(starts, ends, lambda a, b: F.slice(lines, a + 2, b - a - 1)))
+    cleaned = F.when(F.col("_gone").isNull(), F.col(f"_in.`{text}`")).otherwise(F.array_join(left, "\n"))
     n_lines = F.coalesce(F.size(F.filter(lines, lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]")))), F.lit(0))
     n_removed = F.coalesce(F.size("_gone"), F.lit(0))
-    other = [F.col(c) for c in df.columns if c not in (text, "n_lines", "n_removed")]
-    return rows.select(*other, cleaned.alias(text), n_lines.cast("long").alias("n_lines"), n_removed.cast("long").alias("n_removed")).select(
-        *[c for c in df.columns if c not in ("n_lines", "n_removed")], "n_lines", "n_removed"
-    )
+    names = [c for c in df.columns if c not in ("n_lines", "n_removed")]
+    columns = [cleaned.alias(c) if c == text else F.col(f"_in.`{c}`").alias(c) for c in names]
+    return rows.select(*columns, n_lines.cast("long").alias("n_lines"), n_removed.cast("long").alias("n_removed"))

@@ -359,7 +359,9 @@ def test_pipeline_stages(spark):
     ids = {r.doc_id for r in kept.select("doc_id").collect()}
     assert len(ids & bad) < len(bad) / 3 and len(ids) > 150
     lined = p.line_stage(spark, kept, SF_DIR)
-    assert lined.columns == docs.columns and lined.count() == len(ids)
+    # documents that line dedup empties go
+    worded = linedup.line_dedup(kept.select(docs.columns)).where("n_removed = 0 or n_removed < n_lines")
+    assert lined.columns == docs.columns and {r.doc_id for r in lined.collect()} == {r.doc_id for r in worded.collect()}
     near = p.near_stage(spark, docs, SF_DIR)
     roots = brute_components([(r.doc_id, r.text) for r in docs.collect()])
     assert {r.doc_id for r in near.collect()} == {i for i, r in roots.items() if i == r}
