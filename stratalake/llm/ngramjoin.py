@@ -284,16 +284,14 @@ def jaccard_join(df: DataFrame, key: str = "doc_id", text: str = "text", size: i
     classes = rows.where("n_shingles > 0").groupBy("_s1", "_s2").agg(F.min("_doc").alias("_rep"), F.first("n_shingles").alias("_n"))
     classes = keep(classes.withColumn("_c", F.monotonically_increasing_id()), "classes")
 
-    reps = classes.select("_rep").distinct()
-    ours = docs.join(reps, docs["_doc"].eqNullSafe(reps["_rep"]), "left_semi")
-    tokens = prefixes(ours, ranks, size, percent).dropDuplicates(["_s1", "_s2"]).join(classes, ["_s1", "_s2"])
+    tokens = prefixes(docs, ranks, size, percent).dropDuplicates(["_s1", "_s2"]).join(classes, ["_s1", "_s2"])
     tokens = keep(tokens.select("_c", F.col("_n").cast("int").alias("_n"), "_tokens"), "tokens")
     members = tokens.select("_c", "_n", F.explode("_tokens").alias("_token"))
     # two holders of too different sizes cannot be linked
     held = F.count("*").alias("_held")
-    pivots = members.groupBy("_token").agg(held, F.min("_n").alias("_low"), F.max("_n").alias("_high"), F.min(F.struct(F.xxhash64("_c").alias("_h"), "_c")).alias("_least"))
+    pivots = members.groupBy("_token").agg(held, F.min("_n").alias("_low"), F.max("_n").alias("_high"), F.min("_c").alias("_p"))
     pivots = pivots.where((F.col("_held") > 2) | ((F.col("_held") == 2) & (100 * F.col("_low") >= percent * F.col("_high"))))
-    pivots = keep(pivots.select("_token", F.col("_least._c").alias("_p")), "pivots")
+    pivots = keep(pivots.select("_token", "_p"), "pivots")
     near = keep(members.drop("_n").join(pivots, "_token").where("_c <> _p").select("_p", "_c").distinct(), "near")
     discard(tokens, pivots)
 
