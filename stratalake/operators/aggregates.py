@@ -167,8 +167,8 @@ def dismissal_rate_by(
 
 def fine_distribution(df: DataFrame, fine: str = "fine_amount") -> DataFrame:
     """Minimum, maximum, mean and exact median of positive fines."""
-    counts, small = counted_values(df.filter(F.col(fine) > 0), fine)
-    median = quantiles_of(counts, small, {"median_fine": 0.5})
+    counts = counted_values(df.filter(F.col(fine) > 0), fine)
+    median = quantiles_of(counts, {"median_fine": 0.5})
     return counts.agg(
         F.min("value").alias("min_fine"),
         F.max("value").alias("max_fine"),

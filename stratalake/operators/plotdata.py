@@ -54,8 +54,8 @@ def histogram(df: DataFrame, col: str, bins: int | None = None) -> DataFrame:
 def box_stats_by(df: DataFrame, group: str | None, col: str) -> DataFrame:
     """Quartiles, whiskers within 1.5 IQR, outliers and mean, per group or over all rows."""
     keys = [group] if group else []
-    counts, small = counted_values(df, col, keys)
-    boxes = quantiles_of(counts, small, QUARTILES, keys)
+    counts = counted_values(df, col, keys)
+    boxes = quantiles_of(counts, QUARTILES, keys)
     box = F.struct("q1", "median", "q3").alias("_box")
     if group:
         # struct keys let a null group keep its box

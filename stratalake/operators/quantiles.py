@@ -1,16 +1,35 @@
-"""Exact, linearly interpolated quantiles over any number of distinct values."""
+"""Exact, linearly interpolated quantiles and rank sums over any number of distinct values.
+
+Doubles are ordered by the bits of their representation, read as one number. Counts per value are
+rolled up to histograms over the leading bits: 24, then 20 more, then the last 20. The bucket
+that holds a rank is found in the coarsest histogram and refined twice, for all groups and
+probabilities at once. A bucket has at most 2^20 parts, so no window grows with the data,
+and one plan serves tables of every size.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stratalake.operators.ranking import running
 from stratalake.session import cut_lineage
 
-# Up to this many rows a value table is sorted by one task per group in well under a second.
-SMALL_TABLE = 200_000
+# bits that follow a bucket's prefix, at each level of refinement
+SHIFTS = (40, 20, 0)
+LEVELS = ["_b1", "_b2", "_b3"]
+
+
+def ordered_bits(value: Column) -> Column:
+    """A long that orders doubles as their values do; NaN comes last."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value).cast("long")
+    return bits.bitwiseXOR(F.shiftright(bits, 63).bitwiseAND(F.lit((1 << 63) - 1)))
+
+
+def with_buckets(counts: DataFrame) -> DataFrame:
+    """Add the bucket of ``value`` at every level."""
+    rows = counts.withColumn("_bits", ordered_bits(F.col("value")))
+    return rows.withColumns({b: F.shiftright("_bits", s) for b, s in zip(LEVELS, SHIFTS)}).drop("_bits")
 
 
 def value_table(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
@@ -22,65 +41,75 @@ def value_table(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFra
     )
 
 
-def counted_values(
-    df: DataFrame, value: str, group: Sequence[str] = (), small_table: int = SMALL_TABLE
-) -> tuple[DataFrame, bool]:
-    """The value table, materialised so that the rows are read once, and whether it is small."""
-    counts = cut_lineage(value_table(df, value, group))
-    return counts, counts.count() <= small_table
+def counted_values(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
+    """The value table with its buckets, materialised so that the rows are read once."""
+    return cut_lineage(with_buckets(value_table(df, value, group)))
 
 
-def quantiles_of(counts: DataFrame, small: bool, probs: dict[str, float], group: Sequence[str] = ()) -> DataFrame:
-    """Quantiles of a value table: one row per group, a column per named probability.
+def _rolled_up(rows: DataFrame, group: list[str], sums: Sequence[str]) -> list[DataFrame]:
+    """Histograms from the coarsest to the single values."""
+    found = [rows]
+    for depth in (2, 1):
+        found.insert(0, found[0].groupBy(*group, *LEVELS[:depth]).agg(*[F.sum(c).alias(c) for c in sums]))
+    return found
 
-    The value at a rank is the one whose running count first passes it. A small table is
-    sorted per group; a large one is cut into value ranges first, so that neither a hot group
-    nor the lack of groups puts it into one task.
-    """
-    group = list(group)
-    if small:
-        keys = group or [F.lit(0)]
-        below = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-        ranked = counts.withColumn("before_n", F.coalesce(F.sum("n").over(below), F.lit(0))).withColumn(
-            "_total", F.sum("n").over(Window.partitionBy(*keys))
-        )
-    else:
-        ranked = _with_totals(running(counts, "value", ["n"], group), counts, group)
-    return _pick(ranked, probs, group)
-
-
-def _with_totals(ranked: DataFrame, counts: DataFrame, group: list[str]) -> DataFrame:
-    sizes = counts.groupBy(*group).agg(F.sum("n").alias("_total"))
-    if not group:
-        return ranked.withColumn("_total", sizes.select("_total").scalar())
-    # a struct key makes null groups join like any other
-    return ranked.withColumn("_group", F.struct(*group)).join(
-        sizes.select(F.struct(*group).alias("_group"), "_total"), "_group"
-    )
+
+def _before(n: str, group: list[str], depth: int) -> Column:
+    """Count of the earlier parts of the bucket a part lies in."""
+    order = Window.partitionBy(*(group + LEVELS[: depth - 1] or [F.lit(0)])).orderBy(LEVELS[depth - 1])
+    return F.coalesce(F.sum(n).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
-def _pick(ranked: DataFrame, probs: dict[str, float], group: list[str]) -> DataFrame:
-    first, last = F.col("before_n"), F.col("before_n") + F.col("n") - 1
-    picks, finals = [], []
+def quantiles_of(counts: DataFrame, probs: dict[str, float], group: Sequence[str] = ()) -> DataFrame:
+    """Quantiles of a value table with buckets: one row per group, a column per named probability."""
+    # a struct key makes null groups join like any other
+    rows = counts.select(F.struct(*group).alias("_g") if group else F.lit(0).alias("_g"), "value", "n", *LEVELS)
+    histograms = _rolled_up(rows, ["_g"], ["n"])
+    totals = histograms[0].groupBy("_g").agg(F.sum("n").alias("_total"))
+    ends = []
     for name, p in probs.items():
         rank = (F.col("_total") - 1) * F.lit(float(p))
-        low, high = F.floor(rank), F.ceil(rank)
-        picks += [
-            F.max(F.when((first <= low) & (low <= last), F.col("value"))).alias(f"_low_{name}"),
-            F.max(F.when((first <= high) & (high <= last), F.col("value"))).alias(f"_high_{name}"),
-            F.max(rank - low).alias(f"_part_{name}"),
+        ends += [
+            F.struct(F.lit(f"{side}_{name}").alias("_name"), cut(rank).cast("long").alias("_rank"), (rank - F.floor(rank)).alias("_part"))
+            for side, cut in (("low", F.floor), ("high", F.ceil))
         ]
-        low_value, high_value = F.col(f"_low_{name}"), F.col(f"_high_{name}")
-        finals.append((low_value + (high_value - low_value) * F.col(f"_part_{name}")).alias(name))
-    return ranked.groupBy(*group).agg(*picks).select(*group, *finals)
-
-
-def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: dict[str, float],
-    group: Sequence[str] = (),
-    small_table: int = SMALL_TABLE,
-) -> DataFrame:
+    wanted = totals.select("_g", F.inline(F.array(*ends)))
+    for depth, table in enumerate(histograms, 1):
+        key = ["_g", *LEVELS[: depth - 1]]
+        if depth > 1:
+            table = table.join(wanted.select(*key).distinct(), key)
+        parts = table.withColumn("_before", _before("n", ["_g"], depth))
+        value = ["value"] if depth == len(LEVELS) else []
+        inside = (F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("n"))
+        wanted = wanted.join(parts, key).filter(inside)
+        wanted = wanted.select("_g", *LEVELS[:depth], "_name", (F.col("_rank") - F.col("_before")).alias("_rank"), "_part", *value)
+
+    def found(name: str, column: str) -> Column:
+        return F.max(F.when(F.col("_name") == name, F.col(column)))
+
+    picks = []
+    for name in probs:
+        low, high, part = found(f"low_{name}", "value"), found(f"high_{name}", "value"), found(f"low_{name}", "_part")
+        picks.append((low + (high - low) * part).alias(name))
+    return wanted.groupBy("_g").agg(*picks).select(*[F.col(f"_g.`{c}`").alias(c) for c in group], *probs)
+
+
+def mid_rank_sum(counts: DataFrame, n: str, total: str) -> DataFrame:
+    """One row ``rank_sum``: the mid-ranks of all values, weighted by ``n``; ``total`` counts all rows of a value.
+
+    The count below a value is that of the earlier parts at every level, so each level adds its
+    own share of the sum.
+    """
+    shares = None
+    for depth, table in enumerate(_rolled_up(counts.select(n, total, *LEVELS), [], [n, total]), 1):
+        below = F.col("_before").cast("double")
+        if depth == len(LEVELS):
+            below = below + (F.col(total) + 1) / 2
+        share = table.withColumn("_before", _before(total, [], depth)).agg(F.sum(F.col(n) * below).alias("_share"))
+        shares = share if shares is None else shares.unionByName(share)
+    return shares.agg(F.sum("_share").alias("rank_sum"))
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], group: Sequence[str] = ()) -> DataFrame:
     """One row per group with a column per named probability."""
-    return quantiles_of(*counted_values(df, value, group, small_table), probs, group)
+    return quantiles_of(counted_values(df, value, group), probs, group)

@@ -8,8 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from stratalake.operators.aggregates import top_values
-from stratalake.operators.quantiles import SMALL_TABLE, counted_values, exact_quantiles, quantiles_of
-from stratalake.operators.ranking import running
+from stratalake.operators.quantiles import LEVELS, counted_values, exact_quantiles, mid_rank_sum, quantiles_of, with_buckets
 from stratalake.session import cut_lineage
 
 ALPHA = 0.05
@@ -36,7 +35,7 @@ def describe_measures(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     (measure, value). A measure without values gives no row.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in cols])
-    counts, small = counted_values(df.select(F.inline(pairs)), "value", ["measure"])
+    counts = counted_values(df.select(F.inline(pairs)), "value", ["measure"])
     n, value = F.col("n"), F.col("value")
     means = counts.groupBy("measure").agg((F.sum(n * value) / F.sum(n)).alias("mean")).collect()
     mean = F.lit(None).cast("double")
@@ -49,7 +48,7 @@ def describe_measures(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.sum(n * gap * gap).alias("_m2"),
         F.sum(n * gap * gap * gap).alias("_m3"),
     )
-    quartiles = quantiles_of(counts, small, QUARTILES, ["measure"])
+    quartiles = quantiles_of(counts, QUARTILES, ["measure"])
     return moments.join(quartiles, "measure").select(
         "measure",
         "n",
@@ -219,8 +218,8 @@ def major_groups(df: DataFrame, col: str, n: int = 3) -> DataFrame:
 def mann_whitney(df: DataFrame, group: str, measure: str, first: str) -> DataFrame:
     """Two-sided rank test of the group ``first`` against all other known groups.
 
-    Rows collapse to distinct values with both groups' counts; mid-ranks come from running
-    counts over those values. One row: sizes, U, tie term, z, p and medians, or a verdict
+    Rows collapse to distinct values with both groups' counts; mid-ranks come from histograms
+    over those values. One row: sizes, U, tie term, z, p and medians, or a verdict
     ``insufficient`` when a group has five values or fewer.
     """
     known = df.filter(F.col(group).isNotNull() & F.col(measure).isNotNull()).select(
@@ -229,22 +228,19 @@ def mann_whitney(df: DataFrame, group: str, measure: str, first: str) -> DataFra
     counts = known.groupBy("value").agg(
         F.count_if("is_first").alias("n1"), F.count_if(~F.col("is_first")).alias("n2")
     ).withColumn("t", F.col("n1") + F.col("n2"))
-    counts = cut_lineage(counts)  # read by the ranking and both medians
-    small = counts.count() <= SMALL_TABLE
-    ranked = running(counts, "value", ["t"])
-    mid_rank = F.col("before_t") + (F.col("t") + 1) / 2
+    counts = cut_lineage(with_buckets(counts))  # read by the rank sum and both medians
     t = F.col("t").cast("double")
-    sums = ranked.agg(
+    sums = counts.agg(
         F.coalesce(F.sum("n1"), F.lit(0)).alias("n1"),
         F.coalesce(F.sum("n2"), F.lit(0)).alias("n2"),
-        F.sum(F.col("n1") * mid_rank).alias("_r1"),
         F.sum(t * t * t - t).alias("tie_term"),
-    )
-
-    def median_of(n: str) -> Column:
-        side = counts.filter(F.col(n) > 0).select("value", F.col(n).alias("n"))
-        return quantiles_of(side, small, {"m": 0.5}).scalar()
+    ).withColumn("_r1", mid_rank_sum(counts, "n1", "t").scalar())
 
+    sides = F.array(*[F.struct(F.lit(n).alias("side"), F.col(n).alias("n")) for n in ("n1", "n2")])
+    sided = counts.select("value", *LEVELS, F.inline(sides)).filter("n > 0")
+    medians = quantiles_of(sided, {"m": 0.5}, ["side"]).agg(
+        *[F.max(F.when(F.col("side") == n, F.col("m"))).alias(name) for n, name in (("n1", "median_first"), ("n2", "median_other"))]
+    )
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
     n = n1 + n2
     u1 = F.col("_r1") - n1 * (n1 + 1) / 2
@@ -263,11 +259,7 @@ def mann_whitney(df: DataFrame, group: str, measure: str, first: str) -> DataFra
     z = F.when(F.col("sigma") > 0, (top - F.col("n1") * F.col("n2") / 2 - 0.5) / F.col("sigma")).when(
         F.col("sigma") == 0, F.lit(0.0)
     )
-    facts = (
-        staged.withColumn("z", z)
-        .withColumn("median_first", median_of("n1"))
-        .withColumn("median_other", median_of("n2"))
-    )
+    facts = staged.withColumn("z", z).crossJoin(medians)  # one row each
     return _with_result(facts, "p_value", _rank_sum_p).withColumn(
         "verdict",
         F.when(F.col("u1").isNull(), "insufficient")
