@@ -78,16 +78,28 @@ def struct_from_json_schema(schema: dict) -> T.StructType:
 def infer_jsonl_schema(lines: DataFrame, column: str = "value") -> T.StructType:
     """Union of all keys over all lines, as one distributed aggregate.
 
-    Works on records with repeated keys, where plain inference fails. Keys seen only with
-    null become strings.
+    Works on records with repeated keys, where plain inference fails. Types are merged while
+    rows are read: keys seen only with null and values of mixed kinds become strings, numbers
+    with a fraction doubles.
     """
     parsed = lines.select(F.try_parse_json(column).alias("v")).filter(F.schema_of_variant("v").startswith("OBJECT"))
     found = parsed.agg(F.schema_of_variant_agg("v")).first()[0]
     if not found or not found.startswith("OBJECT<"):
         return T.StructType()
-    ddl = re.sub(r"\bOBJECT<", "STRUCT<", found)
-    ddl = re.sub(r"\bVOID\b", "STRING", ddl)
-    return T._parse_datatype_string(ddl)
+    # quoted keys stay as they are
+    ddl = re.sub(r"`(?:[^`]|``)*`|\bOBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], found)
+    return _read_type(T._parse_datatype_string(ddl))
+
+
+def _read_type(kind: T.DataType) -> T.DataType:
+    """The type to read a field with whose values have the given one."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _read_type(f.dataType)) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_read_type(kind.elementType))
+    if isinstance(kind, T.DecimalType):
+        return T.DoubleType() if kind.scale else T.LongType() if kind.precision <= 18 else T.DoubleType()
+    return T.StringType() if isinstance(kind, (T.NullType, T.VariantType)) else kind
 
 
 def merge_types(first: T.DataType, second: T.DataType) -> T.DataType:

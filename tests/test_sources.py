@@ -6,6 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from stratalake.plans.layers import LayerPaths, build_bronze, run_layers
 from stratalake.sources import catalog, files, schemas
+from stratalake.streaming import ingest
 from tests.conftest import rows
 
 BRONZE = [
@@ -252,3 +253,26 @@ def test_ingest_by_date_parses_text_and_sets_bad_lines_aside(spark, write_lines)
     found = rows(out.orderBy("case_number").select("case_number", "locality_name", "locality_code", "locality", "tags", "day"))
     assert [r[:5] for r in found] == [("1", "Norwick", 7, None, '["a",null]'), ("2", None, None, None, "quoted"), ("3", None, None, "plain", "{no")]
     assert files.scan_parquet(spark, files.bad_lines_path(f"{root}/out")).count() == 1
+
+
+def test_inferred_types(spark):
+    lines = [('{"VOID": null, "fine": 1.5, "n": 3, "mixed": 1, "OBJECT": {"a<b": [2.25, 1]}}',), ('{"VOID": null, "mixed": {"x": 1}, "n": 4}',)]
+    kind = schemas.infer_jsonl_schema(spark.createDataFrame(lines, "value string"))
+    wanted = {"VOID": "string", "fine": "double", "n": "bigint", "mixed": "string", "OBJECT": "struct<a<b:array<double>>"}
+    assert {f.name: f.dataType.simpleString() for f in kind} == wanted
+
+
+def test_stream_lists_only_the_days_it_touches(spark, write_lines, tmp_path):
+    line = '{{"caseNumber": "{}", "hearingDate": "{}"}}'
+    root = write_lines({"in/a.json": [line.format(1, "01/05/2024, 09:00 AM"), line.format(2, "01/06/2024, 09:00 AM"), '{"caseNumber": "3"}']})
+    args = (f"{root}/in", f"{root}/bronze", schemas.CASE_SCHEMA, f"{root}/checkpoint", f"{root}/silver")
+    ingest.ingest_stream(spark, *args).awaitTermination()
+    (tmp_path / "in/b.json").write_text(line.format(4, "01/05/2024, 10:00 AM") + "\n")
+    ingest.ingest_stream(spark, *args).awaitTermination()
+    found = sorted((r.hearing_day or "", r.batch_id) for r in ingest.read_manifest(spark, f"{root}/bronze").collect())
+    assert found == [("", 0), ("2024-01-05", 0), ("2024-01-05", 1), ("2024-01-06", 0)]
+    day = ingest.read_days(spark, f"{root}/bronze", T.StructType.fromDDL(schemas.CASE_SCHEMA), ["2024-01-05", None])
+    assert all("2024-01-06" not in name for name in day.inputFiles())
+    assert sorted(r.caseNumber for r in day.collect()) == ["1", "3", "4"]
+    silver = spark.read.parquet(f"{root}/silver").groupBy(F.col("hearing_day").cast("string")).count().collect()
+    assert sorted((r[0] or "", r[1]) for r in silver) == [("", 1), ("2024-01-05", 2), ("2024-01-06", 1)]
