@@ -8,6 +8,8 @@ Most sets are at distance 1 from every pivot that could be drawn, where the tria
 says nothing. So a pivot is only compared with sets that can be near it: linked sets share one of their rarest
 shingles (the first n - ceil(percent * n / 100) + 1 in an order all share), each such shingle has one
 of its holders as pivot, and a pivot's region holds all sets that share one of its shingles so.
+Before that, sets of which too few shingles occur in any other set leave, by exact counts
+(``covered_sets``): hash places cannot tell a shingle of one document from a passage that a few dozen share.
 Linked sets share a region. In it:
 
 * sets at distance e or less from the pivot are linked with it;
@@ -149,6 +151,22 @@ def set_table(docs: DataFrame, size: int) -> DataFrame:
     return map_arrow(docs, ["_text"], added, start).drop("_text")
 
 
+def covered_sets(sets: DataFrame, percent: int) -> DataFrame:
+    """``_c`` of the sets that can have a link by how many of their shingles other sets hold.
+
+    A link leaves at most n - ceil(percent * n / 100) of a set's n shingles unshared. Looked at are the u
+    shingles with an even hash; of these, other sets must then hold all but that many.
+    """
+    even = F.filter("_set", lambda t: t.bitwiseAND(F.lit(1)) == 0)
+    rows = sets.select("_c", F.size("_set").alias("_n"), even.alias("_even"))
+    need = (F.size("_even") - F.col("_n") + F.ceil(F.col("_n") * percent / 100)).cast("int")
+    held = rows.select("_c", F.explode("_even").alias("_token"))
+    shared = held.groupBy("_token").agg(F.count("*").alias("_held")).where("_held > 1").select("_token")
+    found = held.join(shared, "_token", "left_semi").groupBy("_c").agg(F.count("*").alias("_found"))
+    needed = rows.select("_c", need.alias("_need"))
+    return needed.join(found, "_c", "left").where(F.coalesce("_found", F.lit(0)) >= F.col("_need")).select("_c")
+
+
 def distance(common: Column, n: Column, m: Column) -> Column:
     return 1 - common / (n + m - common)
 
@@ -288,18 +306,23 @@ def jaccard_join(df: DataFrame, key: str = "doc_id", text: str = "text", size: i
     tokens = keep(tokens.select("_c", F.col("_n").cast("int").alias("_n"), "_tokens"), "tokens")
     members = tokens.select("_c", "_n", F.explode("_tokens").alias("_token"))
     # two holders of too different sizes cannot be linked
-    held = F.count("*").alias("_held")
-    pivots = members.groupBy("_token").agg(held, F.min("_n").alias("_low"), F.max("_n").alias("_high"), F.min("_c").alias("_p"))
-    pivots = pivots.where((F.col("_held") > 2) | ((F.col("_held") == 2) & (100 * F.col("_low") >= percent * F.col("_high"))))
-    pivots = keep(pivots.select("_token", "_p"), "pivots")
-    near = keep(members.drop("_n").join(pivots, "_token").where("_c <> _p").select("_p", "_c").distinct(), "near")
-    discard(tokens, pivots)
-
-    wanted = near.select(F.explode(F.array("_p", "_c")).alias("_c")).distinct()
+    fitting = (F.col("_held") > 2) | ((F.col("_held") == 2) & (100 * F.col("_low") >= percent * F.col("_high")))
+    held = [F.count("*").alias("_held"), F.min("_n").alias("_low"), F.max("_n").alias("_high"), F.min("_c").alias("_p")]
+    shared = members.groupBy("_token").agg(*held).where(fitting).select("_token")
+    wanted = members.join(shared, "_token", "left_semi").select("_c").distinct()
     wanted = keep(classes.join(wanted, "_c", "left_semi"), "wanted")
+
     reps = wanted.select("_rep").distinct()
     full = set_table(docs.join(reps, docs["_doc"].eqNullSafe(reps["_rep"]), "left_semi"), size).dropDuplicates(["_s1", "_s2"])
-    sets = keep(full.join(wanted, ["_s1", "_s2"]).select("_c", "_set"), "full")
+    full = keep(full.join(wanted, ["_s1", "_s2"]).select("_c", "_set"), "full")
+    covered = keep(covered_sets(full, percent), "covered")
+    sets = keep(full.join(covered, "_c", "left_semi"), "sets_left")
+    discard(full)
+
+    members = tokens.join(covered, "_c", "left_semi").select("_c", "_n", F.explode("_tokens").alias("_token"))
+    pivots = keep(members.groupBy("_token").agg(*held).where(fitting).select("_token", "_p"), "pivots")
+    near = keep(members.drop("_n").join(pivots, "_token").where("_c <> _p").select("_p", "_c").distinct(), "near")
+    discard(tokens, pivots)
 
     met = near.join(sets, "_c").join(sets.select(F.col("_c").alias("_p"), F.col("_set").alias("_pset")), "_p")
     met = met.select("_p", "_c", F.size("_set").cast("long").alias("_n"), F.size("_pset").cast("long").alias("_pn"), F.size(F.array_intersect("_set", "_pset")).cast("long").alias("_common"))
