@@ -23,7 +23,7 @@ Linked sets share a region. In it:
 
 All links are confirmed on full sets. A cell yields only links that join components.
 
-The order of rarity comes from counts over all documents in 2^22 hash places of shingles; places
+The order of rarity comes from counts over all documents in 2^24 hash places of shingles; places
 of about equal counts are ordered by hash. Any order keeps the join exact.
 
 Results for special cases: null, empty and blank texts have an empty set and stay alone; each row gets the
@@ -39,6 +39,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from stratalake.llm.common import map_arrow
@@ -46,7 +47,7 @@ from stratalake.llm.components import components
 from stratalake.llm.neardup import shingler
 from stratalake.session import discard, keep
 
-PLACES, SLICE = 1 << 22, 1 << 16
+PLACES, SLICE = 1 << 24, 1 << 18
 REGION_ROWS, LEAF_ROWS = 1000, 24
 PIVOTS = 8
 SHRINK = 0.7  # a cell over this share of its parent is no progress
@@ -59,6 +60,15 @@ def class_key(found: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(whole[:8], "big", signed=True), int.from_bytes(whole[8:], "big", signed=True)
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """Counts of one slice for a shuffle: most of a task's places are empty or small."""
+    return zstandard.ZstdCompressor(level=1).compress(counts.tobytes())
+
+
+def unpacked(value: pa.BinaryScalar, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(value.as_py()), kind)
+
+
 def described(docs: DataFrame, size: int) -> DataFrame:
     """``_doc``, ``n_shingles``, ``_s1``, ``_s2`` of each row; and one row per task and slice of the places with ``_slice`` and ``_counts``."""
 
@@ -76,7 +86,7 @@ def described(docs: DataFrame, size: int) -> DataFrame:
             none = [pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in out), *none], names)
         for i in range(PLACES // SLICE if counts.any() else 0):
-            part = [pa.array([i], pa.int32()), pa.array([counts[i * SLICE : (i + 1) * SLICE].tobytes()], pa.binary())]
+            part = [pa.array([i], pa.int32()), pa.array([packed(counts[i * SLICE : (i + 1) * SLICE])], pa.binary())]
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), *[pa.nulls(1, pa.int64())] * 3, *part], names)
 
     return docs.select(F.col("_doc").cast("string"), "_text").mapInArrow(run, "_doc string, n_shingles long, _s1 long, _s2 long, _slice int, _counts binary")
@@ -90,12 +100,12 @@ def place_ranks(rows: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                sums[i] = sums.get(i, 0) + np.frombuffer(value.as_buffer(), np.int32).astype(np.int64)
+                sums[i] = sums.get(i, 0) + unpacked(value, np.int32).astype(np.int64)
         for i, total in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["_slice", "_counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([packed(total)], pa.binary())], ["_slice", "_counts"])
 
     def ranked(part: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(v.as_buffer(), np.int64) for v in part.column("_counts"))
+        total = sum(unpacked(v, np.int64) for v in part.column("_counts"))
         rank = np.floor(8 * np.log2(np.maximum(total, 1))).clip(0, 255).astype(np.uint8)
         return pa.table({"_slice": pa.array([part.column("_slice")[0].as_py()], pa.int32()), "_counts": pa.array([rank.tobytes()], pa.binary())})
 
@@ -303,26 +313,33 @@ def jaccard_join(df: DataFrame, key: str = "doc_id", text: str = "text", size: i
     classes = keep(classes.withColumn("_c", F.monotonically_increasing_id()), "classes")
 
     tokens = prefixes(docs, ranks, size, percent).dropDuplicates(["_s1", "_s2"]).join(classes, ["_s1", "_s2"])
-    tokens = keep(tokens.select("_c", F.col("_n").cast("int").alias("_n"), "_tokens"), "tokens")
-    members = tokens.select("_c", "_n", F.explode("_tokens").alias("_token"))
-    # two holders of too different sizes cannot be linked
-    fitting = (F.col("_held") > 2) | ((F.col("_held") == 2) & (100 * F.col("_low") >= percent * F.col("_high")))
-    held = [F.count("*").alias("_held"), F.min("_n").alias("_low"), F.max("_n").alias("_high"), F.min("_c").alias("_p")]
-    shared = members.groupBy("_token").agg(*held).where(fitting).select("_token")
-    wanted = members.join(shared, "_token", "left_semi").select("_c").distinct()
+    tokens = keep(tokens.select("_c", "_tokens"), "tokens")
+    members = tokens.select("_c", F.explode("_tokens").alias("_token"))
+    several = members.groupBy("_token").agg(F.count("*").alias("_held")).where("_held > 1").select("_token")
+    met = keep(members.join(several, "_token", "left_semi"), "holders")
+    discard(tokens)
+
+    def fitting(holders: DataFrame) -> DataFrame:
+        """``_token`` and smallest ``_c``; two holders of too different sizes cannot be linked."""
+        sized = holders.join(classes.select("_c", "_n"), "_c")
+        found = [F.count("*").alias("_held"), F.min("_n").alias("_low"), F.max("_n").alias("_high"), F.min("_c").alias("_p")]
+        fits = (F.col("_held") > 2) | ((F.col("_held") == 2) & (100 * F.col("_low") >= percent * F.col("_high")))
+        return sized.groupBy("_token").agg(*found).where(fits).select("_token", "_p")
+
+    wanted = met.join(fitting(met).select("_token"), "_token", "left_semi").select("_c").distinct()
     wanted = keep(classes.join(wanted, "_c", "left_semi"), "wanted")
 
-    reps = wanted.select("_rep").distinct()
+    reps = wanted.select("_rep")
     full = set_table(docs.join(reps, docs["_doc"].eqNullSafe(reps["_rep"]), "left_semi"), size).dropDuplicates(["_s1", "_s2"])
     full = keep(full.join(wanted, ["_s1", "_s2"]).select("_c", "_set"), "full")
     covered = keep(covered_sets(full, percent), "covered")
     sets = keep(full.join(covered, "_c", "left_semi"), "sets_left")
     discard(full)
 
-    members = tokens.join(covered, "_c", "left_semi").select("_c", "_n", F.explode("_tokens").alias("_token"))
-    pivots = keep(members.groupBy("_token").agg(*held).where(fitting).select("_token", "_p"), "pivots")
-    near = keep(members.drop("_n").join(pivots, "_token").where("_c <> _p").select("_p", "_c").distinct(), "near")
-    discard(tokens, pivots)
+    met = keep(met.join(covered, "_c", "left_semi"), "holders_left")
+    pivots = keep(fitting(met), "pivots")
+    near = keep(met.join(pivots, "_token").where("_c <> _p").select("_p", "_c").distinct(), "near")
+    discard(met, pivots)
 
     met = near.join(sets, "_c").join(sets.select(F.col("_c").alias("_p"), F.col("_set").alias("_pset")), "_p")
     met = met.select("_p", "_c", F.size("_set").cast("long").alias("_n"), F.size("_pset").cast("long").alias("_pn"), F.size(F.array_intersect("_set", "_pset")).cast("long").alias("_common"))
