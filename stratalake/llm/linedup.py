@@ -5,7 +5,9 @@ if it has fewer words. A line goes if an earlier line, by doc_id, text and line
 similarity of at least 75 percent. Tokens are ordered by rarity: by how often their first word's
 hash place occurs in the corpus, then by that word's hash, an order that all lines share. A line
 offers only the shortest prefix of that order that must meet the prefix of every similar line.
-Pairs that meet pass a length filter and a positional filter; the rest are verified on full sets.
+Pairs that meet pass a length filter, a positional filter and one by signatures: 128 bits, each the parity
+of the tokens that fall on it. As many tokens differ as bits do at least, and similar lines differ in few, so
+lines that only share a passage part without their sets. The rest are verified on full sets.
 
 Lines with the same text are found first, by two 64-bit hashes: all but the earliest go, and only
 the earliest takes part in the join, as it is earlier than a line whenever one of its copies is.
@@ -80,6 +82,19 @@ def shingles(hashes: str) -> Column:
     return F.transform(F.sequence(F.lit(0), F.greatest(F.size(hashes) - SIZE, F.lit(0))), lambda i: shingle(hashes, i))
 
 
+def parity(tokens: str, half: int) -> Column:
+    """64 bits of a line's signature: the parities of its tokens on the places of one half."""
+    one = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int"))
+    mine = F.filter(tokens, lambda h: h.bitwiseAND(64) == 64 * half)
+    return F.aggregate(mine, F.lit(0).cast("long"), lambda bits, h: bits.bitwiseXOR(one(h)))
+
+
+def signatures(lines: DataFrame) -> DataFrame:
+    """``LINE``, ``_n`` (size of the set), ``_sa``, ``_sb`` (signature) of each line."""
+    sets = hashed(lines).select(*LINE, hold(F.array_distinct(shingles("_h"))).alias("_s"))
+    return sets.select(*LINE, F.size("_s").alias("_n"), parity("_s", 0).alias("_sa"), parity("_s", 1).alias("_sb")).dropDuplicates(LINE)
+
+
 def word_places(lines: DataFrame) -> list[int]:
     """How often each hash place of words occurs; its size is fixed."""
     words = lines.select(F.explode(blank_split(F.col("_line"))).alias("_word")).where("_word != ''")
@@ -115,27 +130,32 @@ def earlier_matches(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     keyed = words.select(*LINE, "_h", size.alias("_n"), hold(keys).alias("_k"))
     keyed = keyed.select(*LINE, "_h", "_n", "_k", hold(F.sort_array(F.array_distinct("_k"))).alias("_sorted"))
     length = F.col("_n") - F.ceil(F.col("_n") * PERCENT / 100).cast("int") + 1
-    keyed = keyed.select(*LINE, "_h", "_n", "_k", "_sorted", F.size("_sorted").alias("_m"), F.get("_sorted", F.least(length, F.size("_sorted")) - 1).alias("_last"))
-    rows = keyed.select(*LINE, "_h", "_n", "_m", "_sorted", "_last", F.posexplode("_k").alias("_i", "_key")).where("_key <= _last")
-    rows = rows.select(shingle("_h", F.col("_i")).alias("_token"), *LINE, "_n", "_m", (F.array_position("_sorted", F.col("_key")) - 1).cast("int").alias("_pos"))
+    keyed = keyed.select(*LINE, "_h", "_n", "_k", "_sorted", F.get("_sorted", F.least(length, F.size("_sorted")) - 1).alias("_last"))
+    rows = keyed.select(*LINE, "_h", "_sorted", "_last", F.posexplode("_k").alias("_i", "_key")).where("_key <= _last")
+    rows = rows.select(shingle("_h", F.col("_i")).alias("_token"), *LINE, (F.array_position("_sorted", F.col("_key")) - 1).cast("int").alias("_pos"))
 
     line = LINE
     order = Window.partitionBy("_token").orderBy(*line)
-    me = F.struct(*line, "_n", "_m", "_pos")
     again = F.lag(F.struct(*line)).over(order) == F.struct(*line)  # a shingle that its line repeats
     rows = rows.withColumn("_again", again).where(~F.coalesce("_again", F.lit(False))).drop("_again")
-    met = rows.withColumns({"_rn": F.row_number().over(order), "_next": F.lead("_doc").over(order), "_pivot": F.first(me).over(order)})
-    met = keep(met.where((F.col("_rn") > 1) | F.col("_next").isNotNull()).drop("_next"), "met")
-    lines = keep(lines.join(met.select(*line).distinct(), line, "left_semi"), "lines")  # read in each round
+    shared = rows.withColumns({"_rn": F.row_number().over(order), "_next": F.lead("_doc").over(order)})
+    shared = keep(shared.where((F.col("_rn") > 1) | F.col("_next").isNotNull()).select("_token", *line, "_pos", "_rn"), "shared")
+    lines = keep(lines.join(shared.select(*line).distinct(), line, "left_semi"), "lines")  # read in each round
+    me = F.struct(*line, "_n", "_sa", "_sb", "_pos")
+    signed = shared.join(signatures(lines), line)
+    met = keep(signed.withColumn("_pivot", F.first(me).over(order)), "met")
+    discard(shared)
 
     def close(x: str, y: str) -> Column:
-        """Length and positional filter for two tokens' lines, from bounds of their set sizes."""
-        n, m, p = ([F.col(f"{s}_{c}") for s in (x, y)] for c in "nmp")
-        fits = (100 * n[1] >= PERCENT * m[0]) & (100 * n[0] >= PERCENT * m[1])
-        return fits & ((100 + PERCENT) * F.least(n[0] - p[0], n[1] - p[1]) >= PERCENT * (m[0] + m[1]))
+        """Filters of two lines that share a token: by size, by the token's places and by signature."""
+        (n, m), (p, q), (a, c), (b, d) = ([F.col(f"{s}_{part}") for s in (x, y)] for part in ("n", "p", "sa", "sb"))
+        fits = (100 * n >= PERCENT * m) & (100 * m >= PERCENT * n)
+        fits &= (100 + PERCENT) * F.least(n - p, m - q) >= PERCENT * (n + m)
+        differ = F.bit_count(a.bitwiseXOR(c)) + F.bit_count(b.bitwiseXOR(d))
+        return fits & ((100 + PERCENT) * differ <= (100 - PERCENT) * (n + m))
 
     def side(row: str, name: str) -> list[Column]:
-        parts = {"d": "_doc", "c": "_copy", "l": "_no", "n": "_n", "m": "_m", "p": "_pos"}
+        parts = {"d": "_doc", "c": "_copy", "l": "_no", "n": "_n", "p": "_pos", "sa": "_sa", "sb": "_sb"}
         return [F.col(f"{row}{c}").alias(f"{name}_{s}") for s, c in parts.items()]
 
     ends = [f"{s}_{c}" for s in "xy" for c in "dcl"]
