@@ -22,6 +22,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # the JVM does not compile larger methods; Spark then splits wide nested projections
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # what a stored table was shuffled through goes when it is written, not when the driver next collects garbage
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # texts can be long: a batch handed to Python stays small
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
 }
