@@ -212,8 +212,8 @@ def s15(spark, sf):
     root = new_path(spark, "run")
     # the file name is the only thing that orders copies, so each record names its own
     raw = records(spark, sf).withColumnRenamed("source_file", "origin")
-    raw.write.json(f"{root}/raw/2024")
-    paths = layers.LayerPaths(f"{root}/raw/*/*.json", f"{root}/bronze", f"{root}/silver", f"{root}/gold")
+    raw.write.option("compression", "gzip").json(f"{root}/raw/2024")
+    paths = layers.LayerPaths(f"{root}/raw/*/*.json.gz", f"{root}/bronze", f"{root}/silver", f"{root}/gold")
     built = layers.run_layers(spark, paths)
     return built["monthly_locality_summary"].drop("avg_fine")
 

@@ -18,6 +18,11 @@ def _path(root: Column, path: str) -> Column:
     return root
 
 
+def pick_in_array(array: Column, fields: dict[str, str]) -> Column:
+    """Rebuild every array element from some fields; the values of ``fields`` are dotted paths inside the element."""
+    return F.transform(array, lambda x: F.struct(*[_path(x, path).alias(out) for out, path in fields.items()]))
+
+
 def hash_in_array(array: Column, field: str, keep: dict[str, str], name: str) -> Column:
     """Rebuild every array element with one field hashed and some others kept.
 

@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stratalake.functions.cases import first_defendant, net_sentence_days, total_financial
 from stratalake.functions.dates import days_between_nonneg, parse_date, parse_date_lenient, parse_ts
-from stratalake.functions.hashing import content_key, hash_in_array, hash_text, with_lineage
+from stratalake.functions.hashing import content_key, hash_in_array, hash_text, pick_in_array, with_lineage
 from stratalake.operators.sequences import latest_per_key
 from stratalake.sources.files import SOURCE_FILE
 
 DEDUPE_KEY = ("caseNumber", "hearingDate")
 ANONYMIZATION = "hashed_sha256"
+PARTICIPANT_NAME = "contactInformation.personName.fullName"
+PARTICIPANT_KEPT = {"role": "participantCode", "race": "personalDetails.race", "gender": "personalDetails.gender"}
 
 # silver columns taken over unchanged, before and after the hashed and parsed ones
 IDENTITY = ("qualifiedFips", "courtLevel", "divisionType", "caseNumber", "formattedCaseNumber")
@@ -31,28 +33,33 @@ def to_silver(
 ) -> DataFrame:
     """The 18 silver columns in their fixed order.
 
-    Only the columns that are read enter the deduplication, so its shuffle stays narrow.
+    Only the columns and the parts of participants that are read enter the deduplication, so its
+    sorts and its shuffle stay narrow; names are hashed behind it, as hashes do not compress.
     Copies within one file are told apart by their content unless a tie-break is given.
     """
     if tiebreak is None:
         tiebreak = [content_key(INPUTS)]
-    latest = latest_per_key(bronze, key, order, tiebreak)
+    narrow = bronze.withColumns(
+        {
+            "_offense": parse_date(F.col("offenseDate")),
+            "_locality": F.col("locality.localityName"),
+            "_people": pick_in_array(F.col("caseParticipant"), {"name": PARTICIPANT_NAME, **PARTICIPANT_KEPT}),
+        }
+    )
+    latest = latest_per_key(narrow, key, order, tiebreak)
     silver = latest.select(
         *IDENTITY,
         hash_text(F.col("name")).alias("defendant_name_hash"),
-        parse_date(F.col("offenseDate")).alias("offense_date"),
+        F.col("_offense").alias("offense_date"),
         "chargeAmended",
         "codeSection",
         "chargeDesc",
         "caseType",
         parse_ts(F.col("hearingDate")).alias("hearing_timestamp"),
-        F.col("locality.localityName").alias("locality_name"),
-        hash_in_array(
-            F.col("caseParticipant"),
-            "contactInformation.personName.fullName",
-            {"role": "participantCode", "race": "personalDetails.race", "gender": "personalDetails.gender"},
-            "participant_hash",
-        ).alias("participants_anonymized"),
+        F.col("_locality").alias("locality_name"),
+        hash_in_array(F.col("_people"), "name", {k: k for k in PARTICIPANT_KEPT}, "participant_hash").alias(
+            "participants_anonymized"
+        ),
         "financialInformation",
         "caseHearing",
         "disposition",
