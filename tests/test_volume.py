@@ -9,7 +9,7 @@ from stratalake.session import shared_dir
 from tests.conftest import SF_DIR
 
 
-@pytest.mark.parametrize("name, label", [("s15_layer_run", "run")])
+@pytest.mark.parametrize("name, label", [("s15_layer_run", "run"), ("s4_feature_load", "features")])
 def test_raw_records_are_stored_compressed(spark, name, label):
     root = shared_dir(spark).removeprefix("file:")
     before = set(os.listdir(root))
