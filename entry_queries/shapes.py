@@ -247,7 +247,7 @@ def p16(spark, sf):
 def p17(spark, sf):
     people = F.col("participants_anonymized")
     # nested columns are shown by some of their parts
-    return silver.to_silver(records(spark, sf)).select(
+    return silver.to_silver(records(spark, sf, by_case=True)).select(
         "*",
         people[0]["participant_hash"].alias("first_hash"),
         F.size(people).cast("int").alias("participants"),

@@ -9,6 +9,10 @@ from stratalake.session import shared_dir
 from tests.conftest import SF_DIR
 
 
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name, label", [("s15_layer_run", "run"), ("s4_feature_load", "features")])
 def test_raw_records_are_stored_compressed(spark, name, label):
     root = shared_dir(spark).removeprefix("file:")
@@ -17,3 +21,9 @@ def test_raw_records_are_stored_compressed(spark, name, label):
     (folder,) = [f for f in set(os.listdir(root)) - before if f.startswith(f"stratalake-{label}-")]
     raw = [f for _, _, files in os.walk(f"{root}/{folder}") for f in files if f.startswith("part-") and ".json" in f]
     assert raw and all(f.endswith(".json.gz") for f in raw)
+
+
+@pytest.mark.parametrize("name", ["p17_silver_layer"])
+def test_records_of_a_case_are_not_shuffled_again(spark, name):
+    above, found, _ = plan(entry.queries()[name](spark, SF_DIR)).partition("Join ")
+    assert found and "Exchange" not in above
