@@ -226,7 +226,7 @@ def p15(spark, sf):
         {"role": "participantCode", "race": "personalDetails.race"},
         "participant_hash",
     )
-    people = records(spark, sf).select("caseNumber", F.inline(hashed))
+    people = records(spark, sf, by_case=True).select("caseNumber", F.inline(hashed))
     return people.groupBy("caseNumber", "role", "participant_hash").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -23,7 +23,7 @@ def test_raw_records_are_stored_compressed(spark, name, label):
     assert raw and all(f.endswith(".json.gz") for f in raw)
 
 
-@pytest.mark.parametrize("name", ["p17_silver_layer"])
+@pytest.mark.parametrize("name", ["p15_hash_in_array", "p17_silver_layer"])
 def test_records_of_a_case_are_not_shuffled_again(spark, name):
     above, found, _ = plan(entry.queries()[name](spark, SF_DIR)).partition("Join ")
     assert found and "Exchange" not in above
