@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from entry_queries.frames import joined
 from stratalake.session import shared_dir
 from tests.conftest import SF_DIR
 
@@ -27,3 +28,13 @@ def test_raw_records_are_stored_compressed(spark, name, label):
 def test_records_of_a_case_are_not_shuffled_again(spark, name):
     above, found, _ = plan(entry.queries()[name](spark, SF_DIR)).partition("Join ")
     assert found and "Exchange" not in above
+
+
+def test_line_items_are_shuffled_once(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        above, found, _ = plan(joined(spark, SF_DIR)).partition("/lineitem.parquet")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert found and above.count("Exchange hashpartitioning") == 1
