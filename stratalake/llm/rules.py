@@ -10,22 +10,27 @@ the number of strata (Bonferroni); the first failure ends the sequence. So with
 1 - ``DOUBT`` no stratum loses more than ``RISK`` of its good documents. A stratum with too few
 labels gets no cutoff and keeps everything that the base rules keep.
 
-At most ``FIT_ROWS`` labelled rows, chosen by hash, are used. Null and empty texts have no words
-and fail the base rules. Repeated rows get equal results; other columns are not looked at.
+All labelled rows take part: quantiles are exact order statistics, found over distributed counts, and
+the losses at all levels are counted by one aggregate. The driver sees one row per stratum. Null and
+empty texts have no words and fail the base rules. Repeated rows get equal results; other columns
+are not looked at.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stratalake.llm.common import map_arrow, texts
-from stratalake.session import keep
+from stratalake.operators.quantiles import quantiles_of, value_table, with_buckets
+from stratalake.session import discard, keep
 
-FIT_ROWS = 200_000
 RISK = 0.01
 DOUBT = 0.05
 WINDOW = 5
@@ -108,32 +113,57 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * sum(math.exp(t - top) for t in terms))
 
 
+def strictest(lost: Iterable[int], n: int, strata: int) -> int | None:
+    """Last level that passes before the first failure; ``lost`` has the rejected ones of ``n`` by level."""
+    passed = None
+    for level, k in enumerate(lost):
+        # above the mean the tail is at least a half
+        if k > RISK * n or binomial_tail(k, n, RISK) > DOUBT / strata:
+            break
+        passed = level
+    return passed
+
+
 def cutoffs(good: dict[str, tuple[np.ndarray, np.ndarray]]) -> dict[str, np.ndarray]:
-    """Certified cutoffs per stratum from (naming half, testing half) of its good documents."""
+    """Certified cutoffs per stratum from (naming half, testing half) of its good documents, as arrays."""
     found = {}
     for stratum, (naming, testing) in good.items():
         if not len(naming) or not len(testing):
             continue
-        for level in LEVELS:
-            bounds = np.quantile(naming, level, axis=0, method="higher")
-            lost = int((testing > bounds).any(axis=1).sum())
-            if binomial_tail(lost, len(testing), RISK) > DOUBT / len(good):
-                break
-            found[stratum] = bounds
+        bounds = [np.quantile(naming, level, axis=0, method="higher") for level in LEVELS]
+        passed = strictest((int((testing > b).any(axis=1).sum()) for b in bounds), len(testing), len(good))
+        if passed is not None:
+            found[stratum] = bounds[passed]
     return found
 
 
 def fit(rows: DataFrame, labels: DataFrame, key: str = "doc_id", stratum: str = "_stratum", label: str = "quality") -> dict[str, np.ndarray]:
-    """Cutoffs learned from measured rows and labels (1: good)."""
+    """The cutoffs that ``cutoffs`` gives, learned from all measured rows and labels (1: good)."""
     good = labels.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(label).alias("_good")).where("_good = 1").select(key)
     chosen = rows.where("not base_failed").join(good, key, "left_semi")
-    chosen = chosen.select(stratum, F.pmod(F.xxhash64(key), F.lit(1 << 30)).alias("_h"), *MEASURES)
-    chosen = keep(chosen, "good")
-    bound = int((1 << 30) * min(1.0, FIT_ROWS / max(chosen.count(), 1)))
-    data: dict[str, tuple[list, list]] = {}
-    for r in chosen.where(F.col("_h") < bound).collect():  # at most about FIT_ROWS
-        data.setdefault(r[0], ([], []))[r[1] % 2].append(tuple(r)[2:])
-    return cutoffs({s: (np.array(sorted(a)), np.array(sorted(b))) for s, (a, b) in data.items()})
+    half = F.pmod(F.xxhash64(key), F.lit(2))
+    chosen = keep(chosen.select(F.col(stratum).alias("_s"), half.alias("_half"), *MEASURES), "good")
+    each = F.inline(F.array(*[F.struct(F.lit(m).alias("_measure"), F.col(m).alias("_value")) for m in MEASURES]))
+    group = ["_s", "_measure"]
+    values = keep(with_buckets(value_table(chosen.where("_half = 0").select("_s", each), "_value", group)), "values")
+    levels = {f"_q{i}": level for i, level in enumerate(LEVELS)}
+    named = quantiles_of(values, levels, group, higher=True)
+    bounds = named.groupBy("_s").agg(*[F.max(F.when(F.col("_measure") == m, F.col(q))).alias(m + q) for q in levels for m in MEASURES])
+    over = [reduce(or_, [F.col(m) > F.col(m + q) for m in MEASURES]) for q in levels]
+    # one row per stratum: sent to the rows, which a few strata would else gather in as many tasks
+    lost = chosen.where("_half = 1").join(F.broadcast(bounds), "_s").groupBy("_s").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.array(*[F.count_if(o) for o in over]).alias("_lost"),
+        F.array(*[F.array(*[F.max(m + q) for m in MEASURES]) for q in levels]).alias("_bounds"),
+    )
+    strata = chosen.select("_s").distinct().count()
+    found = {}
+    for r in lost.collect():
+        passed = strictest(r["_lost"], r["_n"], strata)
+        if passed is not None:
+            found[r["_s"]] = np.array(r["_bounds"][passed])
+    discard(chosen, values)
+    return found
 
 
 def apply(rows: DataFrame, found: dict[str, np.ndarray], stratum: str = "_stratum") -> DataFrame:

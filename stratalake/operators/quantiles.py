@@ -60,8 +60,11 @@ def _before(n: str, group: list[str], depth: int) -> Column:
     return F.coalesce(F.sum(n).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
-def quantiles_of(counts: DataFrame, probs: dict[str, float], group: Sequence[str] = ()) -> DataFrame:
-    """Quantiles of a value table with buckets: one row per group, a column per named probability."""
+def quantiles_of(counts: DataFrame, probs: dict[str, float], group: Sequence[str] = (), higher: bool = False) -> DataFrame:
+    """Quantiles of a value table with buckets: one row per group, a column per named probability.
+
+    Where a rank falls between two values it is interpolated, or with ``higher`` the upper one is taken.
+    """
     # a struct key makes null groups join like any other
     rows = counts.select(F.struct(*group).alias("_g") if group else F.lit(0).alias("_g"), "value", "n", *LEVELS)
     histograms = _rolled_up(rows, ["_g"], ["n"])
@@ -90,7 +93,7 @@ def quantiles_of(counts: DataFrame, probs: dict[str, float], group: Sequence[str
     picks = []
     for name in probs:
         low, high, part = found(f"low_{name}", "value"), found(f"high_{name}", "value"), found(f"low_{name}", "_part")
-        picks.append((low + (high - low) * part).alias(name))
+        picks.append((high if higher else low + (high - low) * part).alias(name))
     return wanted.groupBy("_g").agg(*picks).select(*[F.col(f"_g.`{c}`").alias(c) for c in group], *probs)
 
 
