@@ -63,15 +63,17 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates: the smallest doc_id, null last, and one of rows that repeat it.
 
-    Rows are numbered, so that the operator tells rows without an id and with a repeated one apart.
+    Rows are numbered, so that the operator tells rows without an id and with a repeated one apart. The rows to
+    drop are stored by number: unless they are very many, no text is shuffled to take them out.
     """
     docs = docs.select(COLUMNS)
     docs = keep(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     groups = neardup.near_duplicates(docs, key="_row").select("_row", "component_id")
-    groups = groups.join(docs.select("_row", "doc_id"), "_row")
-    first = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
-    kept = groups.groupBy("component_id").agg(F.min_by("_row", first).alias("_row")).select("_row")
-    return docs.join(kept, "_row", "left_semi").select(COLUMNS)
+    groups = keep(groups.join(docs.select("_row", "doc_id"), "_row"), "groups")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    first = groups.groupBy("component_id").agg(F.min_by("_row", order).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    gone = groups.join(first.where("_n > 1"), "component_id").where("_row != _first").select("_row")
+    return docs.join(keep(gone, "gone"), "_row", "left_anti").select(COLUMNS)
 
 
 @tidy
