@@ -194,9 +194,10 @@ def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
 def line_dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns with ``text`` less its removed lines, and ``n_lines`` / ``n_removed``."""
     gone = earlier_matches(df, key, text).groupBy("_doc", "_copy").agg(F.sort_array(F.collect_set("_no")).alias("_gone"))
-    rows = df.select(F.struct(*df.columns).alias("_in"), F.col(key).alias("_doc"), F.col(text).cast("string").alias("_text"))
-    rows = rows.withColumn("_copy", F.xxhash64("_text")).join(gone, ["_doc", "_copy"], "left")
-    lines = F.split("_text", "\n")
+    # the text takes part in the join once
+    rows = df.select(F.struct(*df.columns).alias("_in"), F.col(key).alias("_doc"), F.xxhash64(F.col(text).cast("string")).alias("_copy"))
+    rows = rows.join(gone, ["_doc", "_copy"], "left")
+    lines = F.split(F.col(f"_in.`{text}`").cast("string"), "\n")
     # what lies between removed lines, slice by slice
     starts, ends = F.concat(F.array(F.lit(-1)), "_gone"), F.concat("_gone", F.array(F.size(lines)))
     left = F.flatten(F.zip_with(starts, ends, lambda a, b: F.slice(lines, a + 2, b - a - 1)))
