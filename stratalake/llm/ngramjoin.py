@@ -8,8 +8,9 @@ Most sets are at distance 1 from every pivot that could be drawn, where the tria
 says nothing. So a pivot is only compared with sets that can be near it: linked sets share one of their rarest
 shingles (the first n - ceil(percent * n / 100) + 1 in an order all share), each such shingle has one
 of its holders as pivot, and a pivot's region holds all sets that share one of its shingles so.
-Before that, sets of which too few shingles occur in any other set leave, by exact counts
-(``covered_sets``): hash places cannot tell a shingle of one document from a passage that a few dozen share.
+Hash places cannot tell a shingle of one document from a passage that a few dozen share. So sets of which too few
+shingles occur in any other set leave before, by exact counts: first of a prefix longer by a tenth of the set
+(``overlap``), before full sets are built, then of half of all shingles (``covered_sets``).
 Linked sets share a region. In it:
 
 * sets at distance e or less from the pivot are linked with it;
@@ -50,6 +51,8 @@ from stratalake.session import discard, keep
 PLACES, SLICE = 1 << 24, 1 << 18
 REGION_ROWS, LEAF_ROWS = 1000, 24
 PIVOTS = 8
+TENTH = 10  # of this part of a set, prefixes are longer than linked sets need to meet
+BITS = 1 << 24  # of the bitmap of documents whose full sets are built
 SHRINK = 0.7  # a cell over this share of its parent is no progress
 CLOSE = 1e-9  # far above the rounding of distances
 
@@ -121,8 +124,17 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (n * percent + 99) // 100 + 1
 
 
+def overlap(n: int) -> int:
+    """By how many shingles less one the prefix of a set of n is longer than ``prefix_length``.
+
+    Linked sets of n and m shingles hold the first ``overlap(min(n, m))`` of their common ones in both
+    prefixes so lengthened; as m is at least ceil(percent * n / 100), that many of a set's prefix others share.
+    """
+    return max(1, n // TENTH)
+
+
 def prefixes(docs: DataFrame, ranks, size: int, percent: int) -> DataFrame:
-    """``_s1``, ``_s2``, ``_tokens``: the rarest shingles of each row's set."""
+    """``_s1``, ``_s2``, ``_tokens``: the rarest shingles of each row's set, rarest first, ``overlap`` - 1 more than linked sets need to meet."""
 
     def start():
         shingles, order = shingler(size), ranks.value
@@ -133,7 +145,8 @@ def prefixes(docs: DataFrame, ranks, size: int, percent: int) -> DataFrame:
                 found = shingles(value.as_py())
                 a, b = class_key(found) if len(found) else (None, None)
                 rank = order[(found & np.uint64(PLACES - 1)).astype(np.int64)]
-                first = found[np.lexsort((found, rank))[: prefix_length(len(found), percent)]] if len(found) else found
+                length = prefix_length(len(found), percent) + overlap(len(found)) - 1
+                first = found[np.lexsort((found, rank))[:length]] if len(found) else found
                 for name, part in zip(out, (a, b, first.view(np.int64))):
                     out[name].append(part)
             return out
@@ -144,21 +157,37 @@ def prefixes(docs: DataFrame, ranks, size: int, percent: int) -> DataFrame:
     return map_arrow(docs, ["_text"], added, start).drop("_text")
 
 
-def set_table(docs: DataFrame, size: int) -> DataFrame:
-    """``_s1``, ``_s2``, ``_set``: full sets."""
+def bit(key: Column) -> Column:
+    """A key's place in a bitmap of ``BITS``, from 1."""
+    return F.xxhash64(key).bitwiseAND(BITS - 1) + 1
 
-    def start():
-        shingles = shingler(size)
 
-        def step(batch: pa.RecordBatch):
-            sets = [shingles(v.as_py()) for v in batch.column(batch.schema.get_field_index("_text"))]
-            keys = [class_key(s) if len(s) else (None, None) for s in sets]
-            return {"_s1": [k[0] for k in keys], "_s2": [k[1] for k in keys], "_set": [s.view(np.int64) for s in sets]}
+def bitmap(keys: DataFrame, key: str) -> np.ndarray:
+    """Bitmap of the keys' places: ``BITS`` bits, however many keys."""
+    at = bit(F.col(key))
+    rows = keys.groupBy(F.bitmap_bucket_number(at).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    bits = np.zeros(BITS // 8, np.uint8)
+    for bucket, part in rows.collect():
+        start = (bucket - 1) * len(part)
+        bits[start : start + len(part)] = np.frombuffer(part, np.uint8)
+    return bits
 
-        return step
 
-    added = T.StructType().add("_s1", "long").add("_s2", "long").add("_set", T.ArrayType(T.LongType()))
-    return map_arrow(docs, ["_text"], added, start).drop("_text")
+def set_table(docs: DataFrame, size: int, wanted=None) -> DataFrame:
+    """``_s1``, ``_s2``, ``_set``: full sets, of the rows whose ``_doc`` has its bit in the broadcast ``wanted``, if given."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, bits = shingler(size), None if wanted is None else wanted.value
+        for batch in batches:
+            if bits is not None:
+                at = batch.column(0).to_numpy() - 1
+                batch = batch.filter(pa.array((bits[at >> 3] >> (at & 7) & 1).astype(bool)))
+            sets = [shingles(v.as_py()) for v in batch.column(1)]
+            keys = [class_key(s) if len(s) else (None, None) for s in sets]
+            columns = [pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["_s1", "_s2", "_set"])
+
+    return docs.select(bit(F.col("_doc")), "_text").mapInArrow(run, "_s1 long, _s2 long, _set array<long>")
 
 
 def covered_sets(sets: DataFrame, percent: int) -> DataFrame:
@@ -313,11 +342,17 @@ def jaccard_join(df: DataFrame, key: str = "doc_id", text: str = "text", size: i
     classes = keep(classes.withColumn("_c", F.monotonically_increasing_id()), "classes")
 
     tokens = prefixes(docs, ranks, size, percent).dropDuplicates(["_s1", "_s2"]).join(classes, ["_s1", "_s2"])
-    tokens = keep(tokens.select("_c", "_tokens"), "tokens")
-    members = tokens.select("_c", F.explode("_tokens").alias("_token"))
+    tokens = keep(tokens.select("_c", "_n", "_tokens"), "tokens")
+    least = F.ceil(F.col("_n") * percent / 100)  # of a set's shingles a linked one holds
+    members = tokens.select("_c", F.posexplode("_tokens").alias("_at", "_token"), (F.col("_n") - least).alias("_last"))
+    members = members.select("_c", "_token", (F.col("_at") <= F.col("_last")).alias("_meets"))
     several = members.groupBy("_token").agg(F.count("*").alias("_held")).where("_held > 1").select("_token")
-    met = keep(members.join(several, "_token", "left_semi"), "holders")
+    shared = keep(members.join(several, "_token", "left_semi"), "shared")
     discard(tokens)
+    found = shared.groupBy("_c").agg(F.count("*").alias("_found")).join(classes.select("_c", "_n"), "_c")
+    enough = keep(found.where(F.col("_found") >= F.greatest(F.floor(least / TENTH), F.lit(1))).select("_c"), "enough")
+    met = keep(shared.where("_meets").drop("_meets").join(enough, "_c", "left_semi"), "holders")
+    discard(shared, enough)
 
     def fitting(holders: DataFrame) -> DataFrame:
         """``_token`` and smallest ``_c``; two holders of too different sizes cannot be linked."""
@@ -329,8 +364,8 @@ def jaccard_join(df: DataFrame, key: str = "doc_id", text: str = "text", size: i
     wanted = met.join(fitting(met).select("_token"), "_token", "left_semi").select("_c").distinct()
     wanted = keep(classes.join(wanted, "_c", "left_semi"), "wanted")
 
-    reps = wanted.select("_rep")
-    full = set_table(docs.join(reps, docs["_doc"].eqNullSafe(reps["_rep"]), "left_semi"), size).dropDuplicates(["_s1", "_s2"])
+    # other texts are not shuffled: rows leave by a bitmap where they are read, the few too many by the join
+    full = set_table(docs, size, spark.sparkContext.broadcast(bitmap(wanted, "_rep"))).dropDuplicates(["_s1", "_s2"])
     full = keep(full.join(wanted, ["_s1", "_s2"]).select("_c", "_set"), "full")
     covered = keep(covered_sets(full, percent), "covered")
     sets = keep(full.join(covered, "_c", "left_semi"), "sets_left")
