@@ -15,6 +15,7 @@ import heapq
 import json
 import re
 import unicodedata
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from stratalake.llm.common import map_arrow, texts
 NO_RANK = 1 << 60
 SHIFT = 20  # ids are smaller than 2 ** 20
 SCAN_PARTS = 64  # longer words use the heap
-CACHED_WORDS = 800_000  # per task; the cache starts anew beyond it
+CACHED_WORDS = 800_000  # per Python worker; the cache starts anew beyond it
 END = ""  # stands for the end-of-word mark inside a word, as one character
 
 
@@ -147,6 +148,32 @@ class WordBpe:
         return out
 
 
+@lru_cache(maxsize=1)
+def word_bpe(definition: str) -> WordBpe:
+    """The encoder of a vocabulary file: a Python worker keeps it, with its words, from task to task."""
+    return WordBpe(definition)
+
+
+@lru_cache(maxsize=1)
+def token_names(definition: str) -> pa.Array:
+    """The tokens of a vocabulary file by id; ids without one are null."""
+    spec = json.loads(definition)
+    names = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return pa.array([names.get(i) for i in range(max(names) + 1)], pa.string())
+
+
+def joined_tokens(ids: pa.ListArray, tokens: pa.Array) -> pa.Array:
+    """The text of each row of ids: tokens with a blank between; unknown and null ids are left out, null rows stay null."""
+    values = ids.flatten()  # without the null rows
+    named = pc.and_(pc.greater_equal(values, 0), pc.less(values, len(tokens)))
+    found = tokens.take(pc.if_else(named, values, None))
+    lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    known = np.concatenate([[0], np.cumsum(found.is_valid().to_numpy(zero_copy_only=False))])
+    offsets = known[np.concatenate([[0], np.cumsum(lengths)])]
+    text = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), found.drop_null()), " ")
+    return pc.if_else(ids.is_valid(), text, None)
+
+
 def encode(df: DataFrame, definition: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns and ``ids``, the token ids of each whole text.
 
@@ -156,7 +183,7 @@ def encode(df: DataFrame, definition: str, text: str = "text", keep: list[str] |
     shared = df.sparkSession.sparkContext.broadcast(definition)
 
     def start():
-        coder = WordBpe(shared.value)
+        coder = word_bpe(shared.value)
 
         def step(batch: pa.RecordBatch):
             offsets, chunks = [0], []
@@ -182,21 +209,10 @@ def decode(df: DataFrame, definition: str, ids: str = "ids") -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(definition)
 
     def start():
-        spec = json.loads(shared.value)
-        names = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
-        tokens = pa.array([names.get(i) for i in range(max(names) + 1)], pa.string())
+        tokens = token_names(shared.value)
 
         def step(batch: pa.RecordBatch):
-            column = batch.column(batch.schema.get_field_index(ids))
-            out = []
-            for row in column:
-                if not row.is_valid:
-                    out.append(None)
-                    continue
-                values = row.values
-                values = pc.filter(values, pc.and_(pc.greater_equal(values, 0), pc.less(values, len(tokens))))
-                out.append(" ".join(t for t in tokens.take(values).to_pylist() if t is not None))
-            return {"decoded": out}
+            return {"decoded": joined_tokens(batch.column(batch.schema.get_field_index(ids)), tokens)}
 
         return step
 
