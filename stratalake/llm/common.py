@@ -12,6 +12,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
+MOST_BITS = 27  # powers of two: 16 MB
+
 Batch = Callable[[pa.RecordBatch], dict[str, "pa.Array | list"]]
 
 
@@ -45,6 +47,21 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[str]:
         yield value.as_py() or ""
 
 
+def may_be_in(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` and ``_may``: false if the row's ``on`` is certainly in no row of ``keys``.
+
+    Tells rows that need no join apart before they are shuffled. The keys are marked in a bitmap of 8 to 16 bits a
+    key, ``MOST_BITS`` at most, which is broadcast; fuller ones leave more rows to the join. ``keys`` is read twice.
+    """
+    n_bits = 1 << min(max((8 * keys.count()).bit_length(), 12), MOST_BITS)
+    place = F.xxhash64(*on).bitwiseAND(n_bits - 1)
+    word, bit = F.shiftright(place, 6), place.bitwiseAND(63).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    marks = keys.select(word.alias("_word"), one.alias("_one")).groupBy("_word").agg(F.bit_or("_one").alias("_marks"))
+    found = rows.withColumns({"_at": word, "_bit": bit}).join(F.broadcast(marks), F.col("_at") == F.col("_word"), "left")
+    return found.withColumn("_may", F.coalesce(F.getbit("_marks", F.col("_bit")), F.lit(0)) == 1).drop("_at", "_bit", "_word", "_marks")
+
+
 def word_array(text: Column) -> Column:
     """Words of a text as an array; null and blank texts have none."""
     return F.filter(F.split(F.coalesce(text.cast("string"), F.lit("")), GAP), lambda w: w != "")

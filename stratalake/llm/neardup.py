@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from stratalake.llm.common import map_arrow
+from stratalake.llm.common import map_arrow, may_be_in
 from stratalake.llm.components import components
 from stratalake.session import keep
 
@@ -148,10 +148,15 @@ def least_equal(similarity: float) -> int:
     return int(MINIMA * (p - DEVIATIONS * (p * (1 - p) / MINIMA) ** 0.5))
 
 
+def named(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Documents whose ``_doc`` is in ``ids``; the other texts are not shuffled."""
+    return may_be_in(docs, ids, ["_doc"]).where("_may").drop("_may").join(ids, "_doc", "left_semi")
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
     """Pairs ``a``, ``b`` whose full sets have 100 * intersection >= percent * union."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    texts = docs.join(ends, docs["_doc"] == ends["_id"], "left_semi")
+    texts = named(docs, ends.select(F.col("_id").alias("_doc")))
     both = pairs.join(texts.select(F.col("_doc").alias("a"), F.col("_text").alias("_ta")), "a")
     both = both.join(texts.select(F.col("_doc").alias("b"), F.col("_text").alias("_tb")), "b")
 
@@ -229,14 +234,14 @@ def _between(members: DataFrame, known: DataFrame, found: DataFrame, docs: DataF
 
     x, y = rows, rows.select(*[F.col(c).alias(f"_y{c}") for c in rows.columns]).toDF(*rows.columns)  # columns of its own
     open_rows = keep(x.join(y, meet(x, y), "left_semi").select(*rows.columns), "open")
-    wanted = open_rows.select("_rep").distinct()
+    wanted = open_rows.select(F.col("_rep").alias("_doc")).distinct()
 
     def start():
         shingles = shingler(size)
         return lambda batch: {"_set": [shingles(t.as_py()).view(np.int64) for t in batch.column(batch.schema.get_field_index("_text"))]}
 
     added = T.StructType([T.StructField("_set", T.ArrayType(T.LongType()))])
-    texts = docs.join(wanted, docs["_doc"] == wanted["_rep"], "left_semi").dropDuplicates(["_doc"])
+    texts = named(docs, wanted).dropDuplicates(["_doc"])
     sets = keep(map_arrow(texts, ["_doc", "_text"], added, start).select(F.col("_doc").alias("_rep"), "_set"), "sets")
     # members of a bucket meet in blocks: (i, j) holds the rows of its blocks i and j
     blocks = open_rows.groupBy("_band").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("_n"))
