@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from stratalake.llm.common import may_be_in
 from stratalake.session import discard, keep
 
 SIZE, PERCENT = 5, 75
@@ -120,7 +121,9 @@ def earlier_matches(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     """``LINE`` of every line that an earlier line matches."""
     lines = split_lines(df, key, text)
     copies = later_copies(lines)
-    words = hashed(lines.join(copies, LINE, "left_anti"))
+    # only lines that may be copies are shuffled to take the copies out
+    some = may_be_in(lines, copies, LINE)
+    words = hashed(some.where("not _may").drop("_may")).unionByName(hashed(some.where("_may").drop("_may").join(copies, LINE, "left_anti")))
     counts = word_places(lines)
     ranks = {n: i for i, n in enumerate(sorted(set(counts)))}
     table = F.split(F.lit(",".join(str(ranks[n]) for n in counts)), ",").cast("array<int>")  # folded to one literal
@@ -140,7 +143,9 @@ def earlier_matches(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     rows = rows.withColumn("_again", again).where(~F.coalesce("_again", F.lit(False))).drop("_again")
     shared = rows.withColumns({"_rn": F.row_number().over(order), "_next": F.lead("_doc").over(order)})
     shared = keep(shared.where((F.col("_rn") > 1) | F.col("_next").isNotNull()).select("_token", *line, "_pos", "_rn"), "shared")
-    lines = keep(lines.join(shared.select(*line).distinct(), line, "left_semi"), "lines")  # read in each round
+    several = keep(shared.select(*line).distinct(), "several")
+    lines = keep(may_be_in(lines, several, line).where("_may").drop("_may").join(several, line, "left_semi"), "lines")  # read in each round
+    discard(several)
     me = F.struct(*line, "_n", "_sa", "_sb", "_pos")
     signed = shared.join(signatures(lines), line)
     met = keep(signed.withColumn("_pivot", F.first(me).over(order)), "met")
@@ -182,7 +187,8 @@ def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     names = dict(zip("dcl", LINE))
     one = [F.struct(*[F.col(f"{s}_{c}").alias(n) for c, n in names.items()]) for s in "xy"]
     both = pairs.select(F.explode(F.array(*one)).alias("e")).select("e.*").distinct()
-    words = hashed(lines.join(both, LINE, "left_semi")).select(*LINE, F.array_distinct(shingles("_h")).alias("_s")).dropDuplicates(LINE)
+    lines = may_be_in(lines, both, LINE).where("_may").drop("_may").join(both, LINE, "left_semi")
+    words = hashed(lines).select(*LINE, F.array_distinct(shingles("_h")).alias("_s")).dropDuplicates(LINE)
     for side in "xy":
         named = [F.col(n).alias(f"{side}_{c}") for c, n in names.items()]
         pairs = pairs.join(words.select(*named, F.col("_s").alias(f"_s{side}")), [f"{side}_{c}" for c in names])
