@@ -47,13 +47,13 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[str]:
         yield value.as_py() or ""
 
 
-def may_be_in(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+def may_be_in(rows: DataFrame, keys: DataFrame, on: list[str], bits: int = 8) -> DataFrame:
     """``rows`` and ``_may``: false if the row's ``on`` is certainly in no row of ``keys``.
 
-    Tells rows that need no join apart before they are shuffled. The keys are marked in a bitmap of 8 to 16 bits a
-    key, ``MOST_BITS`` at most, which is broadcast; fuller ones leave more rows to the join. ``keys`` is read twice.
+    Tells rows that need no join apart before they are shuffled. The keys are marked in a bitmap of ``bits`` to twice
+    as many a key, 2 to the power ``MOST_BITS`` at most, which is broadcast; fuller ones leave more rows to the join. ``keys`` is read twice.
     """
-    n_bits = 1 << min(max((8 * keys.count()).bit_length(), 12), MOST_BITS)
+    n_bits = 1 << min(max((bits * keys.count()).bit_length(), 12), MOST_BITS)
     place = F.xxhash64(*on).bitwiseAND(n_bits - 1)
     word, bit = F.shiftright(place, 6), place.bitwiseAND(63).cast("int")
     one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)

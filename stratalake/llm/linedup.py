@@ -9,8 +9,8 @@ Pairs that meet pass a length filter, a positional filter and one by signatures:
 of the tokens that fall on it. As many tokens differ as bits do at least, and similar lines differ in few, so
 lines that only share a passage part without their sets. The rest are verified on full sets.
 
-Lines with the same text are found first, by two 64-bit hashes: all but the earliest go, and only
-the earliest takes part in the join, as it is earlier than a line whenever one of its copies is.
+Lines with the same text are found first, by two 64-bit hashes: all but the earliest go, and but for a
+few only the earliest takes part in the join, as it is earlier than a line whenever one of its copies is.
 
 Lines that meet in a token are numbered in their order. Each line is first tried against the
 first line of each of its tokens, those without a match against the following ones, 64 times as
@@ -28,14 +28,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from stratalake.llm import common
 from stratalake.llm.common import may_be_in
 from stratalake.session import discard, keep
 
 SIZE, PERCENT = 5, 75
 PLACES = 1 << 15  # hash places of word counts
 GROWTH = 64  # of the number of earlier lines tried per round
+SPARSE = 64  # bits a key of bitmaps that stand for a join
 LINE = ["_doc", "_copy", "_no"]  # names a line: rows that share a doc_id are told apart by a hash of their texts
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+CASED = r"[\p{Lu}\p{Lt}\p{IsUppercase}\p{Cn}&&[^A-Z]]"  # what ``lower`` may change beyond A-Z; unassigned ones as it may know newer letters
+BLANKS = "\t\v\f\r"  # and the blank itself
 
 
 def hold(value: Column) -> Column:
@@ -44,32 +48,30 @@ def hold(value: Column) -> Column:
 
 
 def lowered(line: Column) -> Column:
-    """A-Z lower-cased; ``lower`` does the same on ASCII text, at a fraction of the time."""
-    return F.when(F.length(line) == F.octet_length(line), F.lower(line)).otherwise(F.translate(line, UPPER, LOWER))
+    """A-Z lower-cased; ``lower`` does the same on text without other capital letters, at a fraction of the time."""
+    same = (F.length(line) == F.octet_length(line)) | ~F.regexp_like(line, F.lit(CASED))
+    return F.when(same, F.lower(line)).otherwise(F.translate(line, UPPER, LOWER))
 
 
-def line_words(line: Column) -> Column:
-    """The words of one line, split at single blanks."""
-    return F.array_remove(blank_split(line), "")
-
-
-def blank_split(line: Column) -> Column:
-    """The words of one line and empty texts between blanks that follow each other."""
-    for blank in "\t\v\f\r":
-        line = F.replace(line, F.lit(blank), F.lit(" "))
-    return F.split(line, " ")
+def blanked(text: Column) -> Column:
+    """``BLANKS`` as blanks; most texts have none and are only searched."""
+    plain, found = text, F.lit(False)
+    for blank in BLANKS:
+        plain, found = F.replace(plain, F.lit(blank), F.lit(" ")), found | F.contains(text, F.lit(blank))
+    return F.when(found, plain).otherwise(text)
 
 
 def split_lines(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``LINE``, ``_line``: all lines, A-Z lower-cased."""
+    """``LINE``, ``_line``: all lines, their words between single or several blanks."""
     whole = F.col(text).cast("string")
-    rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("_doc"), F.xxhash64(whole).alias("_copy"), F.posexplode(F.split(whole, "\n")).alias("_no", "_line"))
-    return rows.select(*LINE, lowered(F.col("_line")).alias("_line"))
+    rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("_doc"), F.xxhash64(whole).alias("_copy"), hold(blanked(whole)).alias("_text"))
+    return rows.select("_doc", "_copy", F.posexplode(F.split("_text", "\n")).alias("_no", "_line"))
 
 
 def hashed(lines: DataFrame) -> DataFrame:
-    """``LINE``, ``_h``: the lines with a word, as arrays of word hashes."""
-    rows = lines.select(*LINE, hold(line_words(F.col("_line"))).alias("_w")).where(F.size("_w") > 0)
+    """``LINE``, ``_h``: the lines with a word, A-Z lower-cased, as arrays of word hashes."""
+    words = F.array_remove(F.split(lowered(F.col("_line")), " "), "")
+    rows = lines.select(*LINE, hold(words).alias("_w")).where(F.size("_w") > 0)
     return rows.select(*LINE, hold(F.transform("_w", lambda w: F.xxhash64(w))).alias("_h"))
 
 
@@ -96,9 +98,10 @@ def signatures(lines: DataFrame) -> DataFrame:
     return sets.select(*LINE, F.size("_s").alias("_n"), parity("_s", 0).alias("_sa"), parity("_s", 1).alias("_sb")).dropDuplicates(LINE)
 
 
-def word_places(lines: DataFrame) -> list[int]:
-    """How often each hash place of words occurs; its size is fixed."""
-    words = lines.select(F.explode(blank_split(F.col("_line"))).alias("_word")).where("_word != ''")
+def word_places(df: DataFrame, text: str) -> list[int]:
+    """How often each hash place of words occurs; its size is fixed. Only the order of tokens depends on it, so ``lower`` will do."""
+    whole = F.lower(F.replace(F.col(text).cast("string"), F.lit("\n"), F.lit(" ")))
+    words = df.select(F.explode(F.split(whole, " ")).alias("_word")).where("_word != ''")
     counted = words.select(F.xxhash64("_word").bitwiseAND(PLACES - 1).alias("p")).groupBy("p").count().collect()
     found = [0] * PLACES
     for place, n in counted:
@@ -106,30 +109,37 @@ def word_places(lines: DataFrame) -> list[int]:
     return found
 
 
-def later_copies(lines: DataFrame) -> DataFrame:
-    """``LINE`` of the lines with a word that equal an earlier line."""
-    worded = lines.where(F.regexp_like("_line", F.lit(r"[^\x20\x09-\x0D]")))
+def looks_in(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``may_be_in`` for lines, with few enough rows marked wrongly to do without the join."""
+    return common.may_be_in(rows, keys, LINE, SPARSE)
+
+
+def later_copies(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``LINE`` of the lines with a word that equal an earlier line; and of those that equal none but look so in a bitmap of the former."""
+    worded = lines.where(F.ltrim("_line") != "")
     rows = keep(worded.select(*LINE, F.xxhash64("_line").alias("_a"), F.xxhash64(F.lit(1), "_line").alias("_b")), "hashes")
     first = rows.groupBy("_a", "_b").agg(F.min(F.struct(*LINE)).alias("_first"), F.count("*").alias("_c")).where("_c > 1")
     first = keep(first.drop("_c"), "first")  # a line that many rows share can then be split
     copies = keep(rows.join(first, ["_a", "_b"]).where(F.struct(*LINE) != F.col("_first")).select(*LINE).distinct(), "copies")
+    alike = looks_in(rows.select(*LINE), copies).where("_may").drop("_may")
+    lone = keep(alike.join(copies, LINE, "left_anti"), "lone")
     discard(rows, first)
-    return copies
+    return copies, lone
 
 
 def earlier_matches(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``LINE`` of every line that an earlier line matches."""
     lines = split_lines(df, key, text)
-    copies = later_copies(lines)
-    # only lines that may be copies are shuffled to take the copies out
-    some = may_be_in(lines, copies, LINE)
-    words = hashed(some.where("not _may").drop("_may")).unionByName(hashed(some.where("_may").drop("_may").join(copies, LINE, "left_anti")))
-    counts = word_places(lines)
+    copies, lone = later_copies(lines)
+    # copies leave by two bitmaps, without a shuffle; a few that both bitmaps mark stay and are matched like other lines
+    some = looks_in(lines, copies).withColumnRenamed("_may", "_alike")
+    words = hashed(looks_in(some, lone).where("not _alike or _may"))
+    counts = word_places(df, text)
     ranks = {n: i for i, n in enumerate(sorted(set(counts)))}
-    table = F.split(F.lit(",".join(str(ranks[n]) for n in counts)), ",").cast("array<int>")  # folded to one literal
+    table = F.split(F.lit(",".join(str(ranks[n] << 44) for n in counts)), ",").cast("array<long>")  # folded to one literal
     size = F.greatest(F.size("_h") - (SIZE - 1), F.lit(1))
-    # rank of the word's place above, its hash below: one order for all lines
-    keys = F.transform(F.slice("_h", 1, size), lambda h: F.shiftleft(F.get(table, h.bitwiseAND(PLACES - 1).cast("int")).cast("long"), 44).bitwiseOR(F.shiftrightunsigned(h, 20)))
+    # rank of the word's place above, its hash below: one order for all lines; known not to be null, they are sorted as numbers
+    keys = F.transform(F.slice("_h", 1, size), lambda h: F.coalesce(table[h.bitwiseAND(PLACES - 1)], F.lit(0).cast("long")).bitwiseOR(F.shiftrightunsigned(h, 20)))
     keyed = words.select(*LINE, "_h", size.alias("_n"), hold(keys).alias("_k"))
     keyed = keyed.select(*LINE, "_h", "_n", "_k", hold(F.sort_array(F.array_distinct("_k"))).alias("_sorted"))
     length = F.col("_n") - F.ceil(F.col("_n") * PERCENT / 100).cast("int") + 1
@@ -138,13 +148,15 @@ def earlier_matches(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     rows = rows.select(shingle("_h", F.col("_i")).alias("_token"), *LINE, (F.array_position("_sorted", F.col("_key")) - 1).cast("int").alias("_pos"))
 
     line = LINE
+    # few tokens are met again; only their lines are put in order
+    rows = rows.withColumn("_met", F.count("*").over(Window.partitionBy("_token"))).where("_met > 1").drop("_met")
     order = Window.partitionBy("_token").orderBy(*line)
     again = F.lag(F.struct(*line)).over(order) == F.struct(*line)  # a shingle that its line repeats
     rows = rows.withColumn("_again", again).where(~F.coalesce("_again", F.lit(False))).drop("_again")
     shared = rows.withColumns({"_rn": F.row_number().over(order), "_next": F.lead("_doc").over(order)})
     shared = keep(shared.where((F.col("_rn") > 1) | F.col("_next").isNotNull()).select("_token", *line, "_pos", "_rn"), "shared")
     several = keep(shared.select(*line).distinct(), "several")
-    lines = keep(may_be_in(lines, several, line).where("_may").drop("_may").join(several, line, "left_semi"), "lines")  # read in each round
+    lines = keep(looks_in(lines, several).where("_may").drop("_may"), "lines")  # with a few others; read in each round
     discard(several)
     me = F.struct(*line, "_n", "_sa", "_sb", "_pos")
     signed = shared.join(signatures(lines), line)
@@ -166,6 +178,7 @@ def earlier_matches(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     ends = [f"{s}_{c}" for s in "xy" for c in "dcl"]
     pairs = met.where("_rn > 1").select(*side("", "x"), *side("_pivot.", "y"))
     matched, low, high = copies, 1, 1
+    open_rows = met
     while True:
         pairs = pairs.where(close("x", "y") & (F.struct("x_d", "x_c", "x_l") != F.struct("y_d", "y_c", "y_l")))
         pairs = keep(pairs.select(*ends).distinct(), "pairs")
@@ -173,7 +186,8 @@ def earlier_matches(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
         discard(pairs)
         matched = matched.unionByName(found)
         low, high = high + 1, high * GROWTH
-        open_rows = met.where(F.col("_rn") > low).join(matched, line, "left_anti")
+        some = may_be_in(open_rows.where(F.col("_rn") > low), found, line)
+        open_rows = some.where("not _may").drop("_may").unionByName(some.where("_may").drop("_may").join(found, line, "left_anti"))
         x = open_rows.select("_token", F.col("_rn").alias("_rx"), *side("", "x"))
         if x.isEmpty():
             discard(met, lines)
@@ -208,7 +222,7 @@ def line_dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     starts, ends = F.concat(F.array(F.lit(-1)), "_gone"), F.concat("_gone", F.array(F.size(lines)))
     left = F.flatten(F.zip_with(starts, ends, lambda a, b: F.slice(lines, a + 2, b - a - 1)))
     cleaned = F.when(F.col("_gone").isNull(), F.col(f"_in.`{text}`")).otherwise(F.array_join(left, "\n"))
-    n_lines = F.coalesce(F.size(F.filter(lines, lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]")))), F.lit(0))
+    n_lines = F.coalesce(F.size(F.filter(lines, lambda x: F.ltrim(x, F.lit(" " + BLANKS)) != "")), F.lit(0))
     n_removed = F.coalesce(F.size("_gone"), F.lit(0))
     names = [c for c in df.columns if c not in ("n_lines", "n_removed")]
     columns = [cleaned.alias(c) if c == text else F.col(f"_in.`{c}`").alias(c) for c in names]
