@@ -6,14 +6,14 @@ import json
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, types as T
 
 from stratalake.operators.aggregates import GOLD_TABLES
 from stratalake.operators.normalize import normalize_cases
 from stratalake.operators.validate import read_text, validate_files
 from stratalake.plans.silver import to_silver
 from stratalake.session import configure
-from stratalake.sources.files import SOURCE_FILE, has_input, scan_jsonl, scan_jsonl_tolerant, scan_parquet, store_bad_lines, write_by_date, write_layer
+from stratalake.sources.files import BAD_LINES, SOURCE_FILE, has_input, scan_jsonl, scan_jsonl_tolerant, scan_parquet, store_bad_lines, write_by_date, write_layer
 from stratalake.sources.schemas import infer_jsonl_schema, whole_schema
 
 log = logging.getLogger(__name__)
@@ -33,16 +33,18 @@ def build_bronze(
 ) -> DataFrame | None:
     """Raw JSON lines to Parquet, one row for each JSON object; nothing is written when no file matches.
 
-    Lines that are no JSON object are counted and stored beside the layer (``bad_lines_path``).
+    Lines that are no JSON object are counted while the layer is written; if there are any, the files are
+    read once more to store them beside it (``bad_lines_path``).
     """
     if not has_input(spark, raw_glob):
         log.warning("no files match %s, bronze is left as it is", raw_glob)
         return None
     if schema is None:
         schema = infer_jsonl_schema(spark.read.text(raw_glob))
-    write_layer(scan_jsonl(spark, raw_glob, schema), out)
+    seen = Observation()
+    write_layer(scan_jsonl(spark, raw_glob, schema, seen), out)
     _, bad = scan_jsonl_tolerant(spark, raw_glob, schema)
-    if n_bad := store_bad_lines(bad, out):
+    if n_bad := store_bad_lines(bad if seen.get[BAD_LINES] else bad.limit(0), out):
         log.warning("%d lines of %s are no JSON object", n_bad, raw_glob)
     return scan_parquet(spark, out)
 

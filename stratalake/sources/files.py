@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from stratalake.sources.schemas import infer_jsonl_schema
 
 CORRUPT = "_corrupt_record"
+BAD_LINES = "n_bad_lines"
 SOURCE_FILE = "source_file"
 CHUNK = 100
 
@@ -26,14 +27,17 @@ def as_struct(schema: T.StructType | str) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
-def scan_jsonl(spark: SparkSession, glob: str, schema: T.StructType | str | None = None) -> DataFrame:
+def scan_jsonl(
+    spark: SparkSession, glob: str, schema: T.StructType | str | None = None, seen: Observation | None = None
+) -> DataFrame:
     """JSON lines of all matching files; a key missing in a file is null.
 
     Without a schema the union of all keys is found first. The path is given twice, as
     ``filename`` and ``source_file``, because both columns are part of the bronze layout.
     Lines that are no JSON object are no rows: ``scan_jsonl_tolerant`` gives them as well.
     """
-    good, _ = scan_jsonl_tolerant(spark, glob, infer_jsonl_schema(spark.read.text(glob)) if schema is None else schema)
+    schema = infer_jsonl_schema(spark.read.text(glob)) if schema is None else schema
+    good, _ = scan_jsonl_tolerant(spark, glob, schema, seen)
     rest = [c for c in good.columns if c != SOURCE_FILE]
     return good.select(*[F.col(f"`{c}`") for c in rest], F.col(SOURCE_FILE).alias("filename"), SOURCE_FILE)
 
@@ -46,9 +50,9 @@ def parse_lines(lines: DataFrame, schema: T.StructType | str, column: str = "val
     """
     struct = as_struct(schema)
     with_mark = T.StructType([*struct.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = lines.filter(F.trim(F.col(column)) != "").withColumn(
-        "_parsed", F.from_json(column, with_mark, {"columnNameOfCorruptRecord": CORRUPT})
-    )
+    typed = F.from_json(column, with_mark, {"columnNameOfCorruptRecord": CORRUPT})
+    # a filter on the marks would parse every line once more below a projection, but cannot go below an explode
+    parsed = lines.filter(F.trim(F.col(column)) != "").withColumn("_parsed", F.explode(F.array(typed)))
     flagged = F.col(f"_parsed.{CORRUPT}")
     # only lines the typed parser objected to are parsed a second time
     not_object = ~F.coalesce(
@@ -63,12 +67,16 @@ def parse_lines(lines: DataFrame, schema: T.StructType | str, column: str = "val
 
 
 def scan_jsonl_tolerant(
-    spark: SparkSession, glob: str, schema: T.StructType | str
+    spark: SparkSession, glob: str, schema: T.StructType | str, seen: Observation | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Good rows and bad lines, each with the file they came from."""
+    """Good rows and bad lines, each with the file they came from.
+
+    ``seen`` gets the number of bad lines (``BAD_LINES``) when the good rows are computed.
+    """
     lines = spark.read.text(glob).select("value", F.col("_metadata.file_path").alias(SOURCE_FILE))
     parsed = parse_lines(lines, schema)
-    good = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    counted = parsed if seen is None else parsed.observe(seen, F.count(CORRUPT).alias(BAD_LINES))
+    good = counted.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     bad = parsed.filter(F.col(CORRUPT).isNotNull()).select(SOURCE_FILE, CORRUPT)
     return good, bad
 
