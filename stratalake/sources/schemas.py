@@ -14,6 +14,8 @@ SCALARS = {
     "null": T.StringType(),
 }
 
+JSON_BLANKS = " \t\r\n"
+
 # Only the blocks of a case record the layers read, not the whole record and no default:
 # ``whole_schema`` adds what a schema document and the data have besides.
 CASE_SCHEMA = """
@@ -75,6 +77,16 @@ def struct_from_json_schema(schema: dict) -> T.StructType:
     return struct
 
 
+def _merged_type(lines: DataFrame, column: str) -> DataFrame:
+    """The type of all JSON objects as text, in one row.
+
+    An object is told by its first character, so a line is parsed once and its own type is not written out.
+    Malformed lines parse to null, which has no type.
+    """
+    objects = lines.filter(F.ltrim(F.col(column), F.lit(JSON_BLANKS)).startswith("{"))
+    return objects.agg(F.schema_of_variant_agg(F.try_parse_json(column)))
+
+
 def infer_jsonl_schema(lines: DataFrame, column: str = "value") -> T.StructType:
     """Union of all keys over all lines, as one distributed aggregate.
 
@@ -82,8 +94,7 @@ def infer_jsonl_schema(lines: DataFrame, column: str = "value") -> T.StructType:
     rows are read: keys seen only with null and values of mixed kinds become strings, numbers
     with a fraction doubles.
     """
-    parsed = lines.select(F.try_parse_json(column).alias("v")).filter(F.schema_of_variant("v").startswith("OBJECT"))
-    found = parsed.agg(F.schema_of_variant_agg("v")).first()[0]
+    found = _merged_type(lines, column).first()[0]
     if not found or not found.startswith("OBJECT<"):
         return T.StructType()
     # quoted keys stay as they are
